@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from segloom.operators.assign import PID, SEGMENT
-from segloom.sources.formats import check_storage, writable_format
+from segloom.sources.formats import JSON_WRITE_OPTIONS, check_storage, writable_format
 from segloom.sources.schema import PartitionSpec
 
 # Row group size of a segment file, compression codec, local default folder.
@@ -66,7 +66,7 @@ def route(
     if fmt == "parquet":
         writer = writer.option("compression", PARQUET_CODEC).option("parquet.block.size", ROW_GROUP_BYTES)
     elif fmt == "json":
-        writer = writer.option("ignoreNullFields", False)
+        writer = writer.options(**JSON_WRITE_OPTIONS)
     writer.format(fmt).save(path)
     return path
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from segloom.sources.formats import check_storage, stageable_format
+from segloom.sources.formats import JSON_WRITE_OPTIONS, check_storage, stageable_format
 
 PARQUET_CODEC = "snappy"
 
@@ -25,7 +25,7 @@ def stage(df: DataFrame, destination: str, fmt: str) -> str:
     path = destination.strip().rstrip("/")
     writer = df.write.mode("overwrite")
     if fmt == "json":
-        writer.option("ignoreNullFields", False).json(path)
+        writer.options(**JSON_WRITE_OPTIONS).json(path)
     else:
         writer.option("compression", PARQUET_CODEC).parquet(path)
     return path

@@ -10,6 +10,13 @@ from pyspark.sql import SparkSession
 READABLE = ("avro", "parquet", "json")
 STAGEABLE = ("json", "parquet")
 
+# Spark's default JSON time format stops at milliseconds. Null fields are written out.
+JSON_WRITE_OPTIONS = {
+    "ignoreNullFields": "false",
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+}
+
 
 def readable_format(spark: SparkSession, name: str) -> str:
     """Canonical name of an input format; Avro needs Spark's external Avro module."""
