@@ -28,23 +28,19 @@ def hashcode_pid(key: str, partitions: int) -> str:
     return f"({signed} % {partitions})::int"
 
 
-def _word(digits: str, start: str, size: int = 4) -> str:
-    """Little-endian number of ``size`` bytes of a hexadecimal text, from byte ``start``."""
-    return " + ".join(
-        f"coalesce(try_cast('0x' || nullif(substr({digits}, (2 * ({start}) + {2 * i + 1})::int, 2), '') as bigint), 0) * {1 << 8 * i}"
-        for i in range(size)
-    )
+def _little_endian(digits: str) -> str:
+    """Number of up to four bytes written in hexadecimal, lowest byte first; '' is 0."""
+    swapped = " || ".join(f"substr({digits}, {start}, 2)" for start in (7, 5, 3, 1))
+    return f"coalesce(try_cast('0x' || nullif({swapped}, '') as bigint), 0)"
 
 
 def murmur_pid(key: str, partitions: int) -> str:
-    """Murmur2 in five steps, each a list of one value so that it can be named."""
-    digits = f"hex(encode({key}))"
-    n = f"(length({digits}) // 2)"
-    words = f"list_transform(range({n} // 4), lambda i: (({_word('d', '4 * i')}) * {MULTIPLIER}) & {MASK})"
+    """Murmur2 over the key's bytes in hexadecimal; lists of one value name the steps."""
+    n = "(length(d) // 2)"
+    words = f"list_transform(regexp_extract_all(d, '.{{8}}'), lambda w: ({_little_endian('w')} * {MULTIPLIER}) & {MASK})"
     mixed = f"list_transform({words}, lambda k: (xor(k, k >> 24) * {MULTIPLIER}) & {MASK})"
-    body = f"list_reduce({mixed}, lambda h, k: xor((h * {MULTIPLIER}) & {MASK}, k), xor({SEED}::bigint, {n}))"
-    tail = f"({_word('d', f'{n} // 4 * 4', 3)})"
-    steps = f"[{body}]"
+    steps = f"[list_reduce({mixed}, lambda h, k: xor((h * {MULTIPLIER}) & {MASK}, k), xor({SEED}::bigint, {n}))]"
+    tail = _little_endian(f"substr(d, ({n} // 4 * 8 + 1)::int)")
     for step in (
         f"case when {n} % 4 > 0 then (xor(h, {tail}) * {MULTIPLIER}) & {MASK} else h end",
         f"(xor(h, h >> 13) * {MULTIPLIER}) & {MASK}",
@@ -52,9 +48,7 @@ def murmur_pid(key: str, partitions: int) -> str:
         f"((h & 2147483647) % {partitions})::int",
     ):
         steps = f"list_transform({steps}, lambda h: {step})"
-    # The hexadecimal text is computed once and bound as d.
-    inner = steps.replace(digits, "d")
-    return f"list_transform([{digits}], lambda d: ({inner})[1])[1]"
+    return f"list_transform([hex(encode({key}))], lambda d: ({steps})[1])[1]"
 
 
 def modulo_pid(key: str, partitions: int) -> str:

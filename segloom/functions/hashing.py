@@ -73,19 +73,18 @@ def _xorshift(value: Column, bits: int) -> Column:
 
 def murmur2(key: Column) -> Column:
     """Murmur2 over the UTF-8 bytes of ``key``, as an unsigned 32-bit bigint."""
-    # Read as Latin-1, every byte becomes one character; the last block may be short.
-    one_char_per_byte = F.decode(F.encode(key, "UTF-8"), "ISO-8859-1")
-    blocks = F.regexp_extract_all(one_char_per_byte, F.lit("(?s).{1,4}"), F.lit(0))
-
-    def fold(acc: Column, block: Column) -> Column:
-        mixed = _times(_xorshift(_times(_word(block)), 24))
-        return F.when(F.length(block) == 4, _times(acc).bitwiseXOR(mixed)).otherwise(
-            _times(acc.bitwiseXOR(_word(block)))
-        )
-
-    start = F.lit(MURMUR2_SEED).bitwiseXOR(F.octet_length(key).cast("long"))
-    folded = F.aggregate(blocks, start, fold, lambda acc: _times(_xorshift(acc, 13)))
-    return _bind(folded, lambda acc: _xorshift(acc, 15))
+    # Read as Latin-1, every byte becomes one character.
+    by_byte = F.decode(F.encode(key, "UTF-8"), "ISO-8859-1")
+    length = F.octet_length(key)
+    odd = length % 4
+    blocks = F.regexp_extract_all(by_byte, F.lit("(?s).{4}"), F.lit(0))
+    words = F.transform(blocks, lambda block: _times(_word(block)))
+    mixed = F.transform(words, lambda word: _times(_xorshift(word, 24)))
+    start = F.lit(MURMUR2_SEED).bitwiseXOR(length.cast("long"))
+    whole = F.aggregate(mixed, start, lambda acc, word: _times(acc).bitwiseXOR(word))
+    tail = _word(F.substring(by_byte, length - odd + 1, odd))
+    finished = F.when(odd > 0, _times(whole.bitwiseXOR(tail))).otherwise(whole)
+    return _bind(_bind(finished, lambda h: _times(_xorshift(h, 13))), lambda h: _xorshift(h, 15))
 
 
 def hashcode_id(raw: Column, partitions: int) -> Column:

@@ -53,7 +53,8 @@ def segment_manifest(
     The scan needs no column but the directory's, hence only file footers are read. The
     location of an empty segment holds no file.
     """
-    counts = segment_record_count(scan_segments(spark, target))
+    # A declared schema needs no file to infer it from: a run may have written none.
+    counts = segment_record_count(scan_segments(spark, target, schema=T.StructType().add(SEGMENT, T.IntegerType())))
     measures = counts.join(segment_byte_size(spark, target), SEGMENT, "full")
     segment = F.col(SEGMENT)
     return emit_empty_segments(measures, segments).select(

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import re
-from pathlib import PurePosixPath
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,7 +29,7 @@ def load_template(spark: SparkSession, path: str | None) -> str | None:
     """Template text of ``path``; no path means no template, a missing file fails."""
     if path is None or not path.strip():
         return None
-    return spark.read.option("wholetext", True).text(str(PurePosixPath(path.strip()))).first()[0]
+    return spark.read.text(path.strip(), wholetext=True).first()[0]
 
 
 def render_payload(template: str | None) -> Column:
