@@ -137,7 +137,7 @@ def test_json_staging_writes_explicit_nulls(spark):
 def test_bad_json_fails_the_scan(spark):
     path = fresh_path(spark, "bad")
     spark.createDataFrame([("{not json",)], "value string").write.text(path)
-    with pytest.raises(PySparkException):
+    with pytest.raises(Exception, match="MALFORMED_RECORD"):
         scan(spark, path, "json", T.StructType().add("a", T.IntegerType())).collect()
 
 
