@@ -3,8 +3,8 @@
 ``hashing`` folds over the characters of a text, which Spark interprets. The forms here stay
 in generated code:
 
-* the string hash of a whole-number column comes from its decimal digits, by divisions by
-  constants, without making the text;
+* the string hash of a whole-number column comes from divisions by constants, without making
+  the text;
 * Murmur2 takes a short text four characters at a time, as slices of its hexadecimal form.
   Only longer texts take the fold.
 
@@ -48,27 +48,38 @@ def _temp(name: str) -> str:
     return f"__h_{name}"
 
 
+def _signed32(value: int) -> int:
+    """Member of [-2**31, 2**31) with the same low 32 bits, so that products fit a bigint."""
+    return (value + (1 << 31)) % (1 << 32) - (1 << 31)
+
+
 def with_hashcode_integral(df: DataFrame, column: str, partitions: int, name: str) -> DataFrame:
-    """Partition id by the string hash of a whole-number column; null counts as empty text."""
+    """Partition id by the string hash of a whole-number column; null counts as empty text.
+
+    With q(j) = n div 10**j the digit at place j is q(j) - 10 q(j+1). Hence the sum of
+    digit * 31**j equals n plus the sum of q(j) * 21 * 31**(j-1) over j >= 1, and no digit
+    has to be taken out. Each character adds a further CODE_ZERO * 31**j.
+    """
     key, size = _quoted(column), _temp("size")
     wide = f"cast({key} as bigint)"
     # Negated magnitude, so that the smallest bigint needs no special case.
     magnitude = F.expr(f"case when {wide} > 0 then -{wide} else {wide} end")
-    terms = [f"({CODE_ZERO} - {size} % 10)"]
-    for place in range(1, MAX_DIGITS):
-        power, weight = 10**place, pow(31, place, 1 << 32)
-        digit = f"({CODE_ZERO} - ({size} div {power}L) % 10) * {weight}L"
-        terms.append(f"case when {size} <= -{power}L then {digit} else 0L end")
+    terms = [f"({size} & {MASK32}L)"] + [
+        f"((({size} div {10**j}L) & {MASK32}L) * {_signed32(21 * 31 ** (j - 1))}L & {MASK32}L)"
+        for j in range(1, MAX_DIGITS)
+    ]
+
+    def by_digits(constant: Callable[[int], int]) -> str:
+        branches = " ".join(f"when {size} > -{10**d}L then {_signed32(constant(d))}L" for d in range(1, MAX_DIGITS))
+        return f"case {branches} else {_signed32(constant(MAX_DIGITS))}L end"
+
+    zeros = by_digits(lambda digits: CODE_ZERO * sum(31**j for j in range(digits)))
     # The minus sign stands left of all digits, so its weight depends on their number.
-    sign = " ".join(
-        f"when {key} > -{10**digits}L then {CODE_MINUS * pow(31, digits, 1 << 32)}L"
-        for digits in range(1, MAX_DIGITS)
-    )
-    longest = CODE_MINUS * pow(31, MAX_DIGITS, 1 << 32)
-    terms.append(f"case when {key} >= 0 then 0L {sign} else {longest}L end")
+    sign = f"case when {key} >= 0 then 0L else {by_digits(lambda digits: CODE_MINUS * 31**digits)} end"
+    raw = F.expr(f"{zeros} + {sign} - ({' + '.join(terms)})")
     return (
         df.withColumn(size, magnitude)
-        .withColumn(name, F.coalesce(hashcode_id(F.expr(" + ".join(terms)), partitions), F.lit(0)))
+        .withColumn(name, F.coalesce(hashcode_id(raw, partitions), F.lit(0)))
         .drop(size)
     )
 

@@ -40,8 +40,9 @@ TAG = "__tag"
 
 # A window task sorts this many rows; the sort spills, so it bounds time rather than memory.
 ROWS_PER_CELL = 1_000_000
-# Cell boundaries come from a sample of this many rows per cell.
+# Cell boundaries come from a sample of this many rows per cell, but not fewer than this in all.
 SAMPLE_PER_CELL = 24
+MIN_SAMPLE = 10_000
 # The boundaries are the only data that reaches the driver, so their number is bounded.
 # Beyond it the cells grow; the result does not depend on their number.
 MAX_CELLS = 1 << 15
@@ -101,36 +102,41 @@ def assign_segments(
     ``order_by`` is needed for S > P only and should be unique. Then ``df`` is read more
     than once, so it should be a staged table rather than a long query.
     """
-    routed = with_partition_id(df, spec.column, spec.function, spec.partition_count)
     if not spec.spreads:
         first, _ = segment_range(F.col(PID), spec)
-        return routed.withColumn(SEGMENT, first)
+        return _routed(df, spec).withColumn(SEGMENT, first)
     if not order_by:
         raise ValueError("more segments than partitions: order_by has to name a unique key")
     blocks = SegmentBlocks(spec.partition_count, spec.segment_count)
-    ranked = with_partition_rank(routed, order_by, rows_per_cell)
+    ranked = with_partition_rank(df, spec, order_by, rows_per_cell)
     turn = (F.col(RANK) % blocks.size(F.col(PID))).cast("int")
     return ranked.withColumn(SEGMENT, blocks.first(F.col(PID)) + turn).drop(RANK)
 
 
-def with_partition_rank(df: DataFrame, order_by: list[str], rows_per_cell: int = ROWS_PER_CELL) -> DataFrame:
-    """Add the 0-based rank of each row within its ``pid``, in the order of ``order_by``."""
-    sizes = df.groupBy(PID).agg(F.count(F.lit(1)).alias("n"))
-    largest, total = sizes.agg(F.max("n"), F.sum("n")).first()
-    if (largest or 0) <= rows_per_cell:
-        return _rank_within(df, [PID], order_by)
+def _routed(df: DataFrame, spec: PartitionSpec) -> DataFrame:
+    return with_partition_id(df, spec.column, spec.function, spec.partition_count)
 
-    cells = min(-(-largest // rows_per_cell), MAX_CELLS)
-    celled, offsets, fullest = _cut(df, order_by, cells, total)
-    if fullest > CROWDED * max(rows_per_cell, largest // cells):
+
+def with_partition_rank(
+    df: DataFrame, spec: PartitionSpec, order_by: list[str], rows_per_cell: int = ROWS_PER_CELL
+) -> DataFrame:
+    """Add ``pid`` and the 0-based rank of each row within it, in the order of ``order_by``."""
+    # Without a filter this reads file footers only.
+    total = df.count()
+    if total <= rows_per_cell:
+        return _rank_within(_routed(df, spec), [PID], order_by)
+
+    cells = _plan_cells(df, spec, order_by, total, rows_per_cell)
+    cut = _cut(df, spec, cells)
+    if cut.fullest > CROWDED * max(rows_per_cell, total // MAX_CELLS):
         df, order_by = _break_ties(df, order_by)
-        celled, offsets, _ = _cut(df, order_by, cells, total)
-    local = _rank_within(celled, [PID, CELL], order_by)
+        cut = _cut(df, spec, _plan_cells(df, spec, order_by, total, rows_per_cell))
+    local = _rank_within(cut.rows, [PID, CELL], order_by)
     # The window left the rows hashed and sorted by (pid, cell): this join adds no shuffle of
     # them. A left join cannot lose a row.
-    joined = local.join(offsets, [PID, CELL], "left")
+    joined = local.join(cut.offsets, [PID, CELL], "left")
     rank = F.col(RANK) + F.coalesce(F.col(OFFSET), F.lit(0))
-    return joined.withColumn(RANK, rank).select(*df.columns, RANK).drop(TAG)
+    return joined.withColumn(RANK, rank).select(*df.columns, PID, RANK).drop(TAG)
 
 
 def _rank_within(df: DataFrame, group: list[str], order_by: list[str]) -> DataFrame:
@@ -150,41 +156,73 @@ def _hashable(field: T.StructField) -> Column:
     return F.to_json(F.struct(column)) if "map<" in field.dataType.simpleString() else column
 
 
-def _cut(df: DataFrame, order_by: list[str], cells: int, total: int) -> tuple[DataFrame, DataFrame, int]:
-    """Add each row's cell; give the rows of the partition before each cell, and the fullest."""
-    celled = df.withColumn(CELL, _cell_of(F.struct(*order_by), _boundaries(df, order_by, cells, total), cells))
-    # Few rows (pids x cells) and needed twice: kept in shared storage.
-    counts = materialise(celled.groupBy(PID, CELL).agg(F.count(F.lit(1)).alias("n")))
-    before = Window.partitionBy(PID).orderBy(CELL).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(PID, CELL, F.coalesce(F.sum("n").over(before), F.lit(0)).alias(OFFSET))
-    return celled, offsets, counts.agg(F.max("n")).first()[0]
+@dataclass(frozen=True)
+class CellPlan:
+    """How many cells, the order key that cuts them, and its boundaries as a constant array."""
+
+    cells: int
+    key: Column
+    boundaries: Column
+
 
+@dataclass(frozen=True)
+class Cut:
+    """Rows with their cell, rows of the same pid in earlier cells, size of the fullest cell."""
+
+    rows: DataFrame
+    offsets: DataFrame
+    fullest: int
 
-def _boundaries(df: DataFrame, order_by: list[str], cells: int, total: int) -> Column:
-    """Sorted array of at most ``cells - 1`` order keys, as a constant.
 
-    The sample decides how even the cells are, never the result. Its size depends on
-    ``cells`` only, so one task can sort it.
+def _plan_cells(
+    df: DataFrame, spec: PartitionSpec, order_by: list[str], total: int, rows_per_cell: int
+) -> CellPlan:
+    """Choose cells such that the largest pid has about ``rows_per_cell`` rows in each.
+
+    All of this rests on a sample. It decides how even the cells are, never the result. The
+    sample is bounded by ``MAX_CELLS * SAMPLE_PER_CELL`` rows, so one task can sort it.
     """
-    fraction = min(1.0, cells * SAMPLE_PER_CELL / total)
-    keys = df.select(F.struct(*order_by).alias("k"))
-    sample = keys.sample(fraction, seed=0) if fraction < 1.0 else keys
-    ordered = sample.agg(F.sort_array(F.collect_list("k")).alias("ks"))
+    wanted = SAMPLE_PER_CELL * min(-(-total // rows_per_cell), MAX_CELLS)
+    fraction = min(1.0, max(wanted, MIN_SAMPLE) / total)
+    needed = list(dict.fromkeys([spec.column, *order_by]))
+    # Sampling comes before hashing: only sampled keys are hashed.
+    sample = materialise(
+        _routed(df.select(*needed).sample(fraction, seed=0), spec).select(PID, F.struct(*order_by).alias("k"))
+    )
+    share = sample.groupBy(PID).count().agg(F.max("count") / F.sum("count")).first()[0] or 1.0
+    cells = min(max(-(-int(share * total) // rows_per_cell), 1), MAX_CELLS)
+
+    # One column cuts faster than a struct, unless one of its values would overfill a cell.
+    repeats = sample.groupBy(f"k.{order_by[0]}").count().agg(F.max("count") * cells / F.sum("count"))
+    short = len(order_by) == 1 or (repeats.first()[0] or 0) <= 1
+    sampled, key = (f"k.{order_by[0]}", F.col(order_by[0])) if short else ("k", F.struct(*order_by))
+
+    keys = sample.select(F.col(sampled).alias("k"))
+    ordered = keys.agg(F.sort_array(F.collect_list("k")).alias("ks"))
     step = F.greatest(F.lit(1), F.size("ks") / cells)
-    picks = F.sequence(F.lit(1), F.lit(cells - 1))
+    picks = F.sequence(F.lit(1), F.lit(max(cells - 1, 1)))
     chosen = F.array_distinct(F.transform(picks, lambda i: F.get("ks", F.floor(i * step).cast("int"))))
     # JSON keeps this one short constant in the plan. Rounding in it would only shift a boundary.
     text = ordered.select(F.to_json(F.filter(chosen, lambda k: k.isNotNull()))).first()[0]
     array_type = T.ArrayType(keys.schema["k"].dataType).json()
-    return F.sort_array(F.from_json(F.lit(text), F.lit(array_type)))
+    return CellPlan(cells, key, F.sort_array(F.from_json(F.lit(text), F.lit(array_type))))
+
+
+def _cut(df: DataFrame, spec: PartitionSpec, plan: CellPlan) -> Cut:
+    rows = _routed(df, spec).withColumn(CELL, _cell_of(plan))
+    # Few rows (pids x cells) and needed twice: kept in shared storage.
+    counts = materialise(rows.groupBy(PID, CELL).agg(F.count(F.lit(1)).alias("n")))
+    before = Window.partitionBy(PID).orderBy(CELL).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(PID, CELL, F.coalesce(F.sum("n").over(before), F.lit(0)).alias(OFFSET))
+    return Cut(rows, offsets, counts.agg(F.max("n")).first()[0])
 
 
-def _cell_of(key: Column, boundaries: Column, cells: int) -> Column:
-    """Number of boundaries that are not above ``key``, by binary search."""
-    steps = F.array(*[F.lit(1 << bit) for bit in reversed(range(cells.bit_length()))])
+def _cell_of(plan: CellPlan) -> Column:
+    """Number of boundaries that are not above the key, by binary search."""
+    steps = F.array(*[F.lit(1 << bit) for bit in reversed(range(plan.cells.bit_length()))])
 
     def halve(low: Column, step: Column) -> Column:
-        reached = F.coalesce(F.get(boundaries, low + step - 1) <= key, F.lit(False))
+        reached = F.coalesce(F.get(plan.boundaries, low + step - 1) <= plan.key, F.lit(False))
         return F.when(reached, low + step).otherwise(low)
 
     return F.aggregate(steps, F.lit(0), halve)
