@@ -21,7 +21,6 @@ from catalog.queries import (  # noqa: E402
     KEY,
     ORDERS_SCHEMA,
     layout_json,
-    register,
     stats_source,
     table,
 )
@@ -75,7 +74,7 @@ def prune(spark):
 
 
 def job(spark):
-    register(spark, SF_DIR)
+    table(spark, SF_DIR, "orders").createOrReplaceTempView("orders")
     layout = load_layout(layout_json("orders_OFFLINE", "o_custkey", "Murmur", 4))
     run = run_segment_job(
         spark,

@@ -27,7 +27,9 @@ from pyspark.sql.window import Window
 from segloom.functions.hashing import PARTITION_FUNCTIONS, partition_function_name
 from segloom.functions.keys import is_integral, partition_key
 from segloom.functions.staged import INTEGRAL_FORMS, TEXT_FORMS
-from segloom.session import materialise
+from segloom.session import fresh_path, materialise
+from segloom.sources.extract import stage
+from segloom.sources.scan import ROW_FILE, ROW_INDEX, scan, with_row_position
 from segloom.sources.schema import PartitionSpec
 
 PID = "pid"
@@ -36,7 +38,6 @@ RANK = "__rank"
 CELL = "__cell"
 OFFSET = "__offset"
 TIE = "__tie"
-TAG = "__tag"
 
 # A window task sorts this many rows; the sort spills, so it bounds time rather than memory.
 ROWS_PER_CELL = 1_000_000
@@ -46,6 +47,8 @@ MIN_SAMPLE = 10_000
 # The boundaries are the only data that reaches the driver, so their number is bounded.
 # Beyond it the cells grow; the result does not depend on their number.
 MAX_CELLS = 1 << 15
+# Most tasks of the one exchange of all rows; beyond it they grow and spill.
+MAX_TASKS = 50_000
 # A cell this many times its planned size means equal order keys; see _break_ties.
 CROWDED = 4
 
@@ -121,6 +124,7 @@ def with_partition_rank(
     df: DataFrame, spec: PartitionSpec, order_by: list[str], rows_per_cell: int = ROWS_PER_CELL
 ) -> DataFrame:
     """Add ``pid`` and the 0-based rank of each row within it, in the order of ``order_by``."""
+    columns = df.columns
     # Without a filter this reads file footers only.
     total = df.count()
     if total <= rows_per_cell:
@@ -131,12 +135,13 @@ def with_partition_rank(
     if cut.fullest > CROWDED * max(rows_per_cell, total // MAX_CELLS):
         df, order_by = _break_ties(df, order_by)
         cut = _cut(df, spec, _plan_cells(df, spec, order_by, total, rows_per_cell))
-    local = _rank_within(cut.rows, [PID, CELL], order_by)
+    tasks = exchange_tasks(df, -(-total // rows_per_cell))
+    local = _rank_within(cut.rows.repartition(tasks, PID, CELL), [PID, CELL], order_by)
     # The window left the rows hashed and sorted by (pid, cell): this join adds no shuffle of
     # them. A left join cannot lose a row.
     joined = local.join(cut.offsets, [PID, CELL], "left")
     rank = F.col(RANK) + F.coalesce(F.col(OFFSET), F.lit(0))
-    return joined.withColumn(RANK, rank).select(*df.columns, PID, RANK).drop(TAG)
+    return joined.withColumn(RANK, rank).select(*columns, PID, RANK)
 
 
 def _rank_within(df: DataFrame, group: list[str], order_by: list[str]) -> DataFrame:
@@ -229,6 +234,13 @@ def _cell_of(plan: CellPlan) -> Column:
 
 
 def _break_ties(df: DataFrame, order_by: list[str]) -> tuple[DataFrame, list[str]]:
-    """Number the rows once and for all, so that equal order keys can be cut apart as well."""
-    tagged = df.withColumn(TAG, F.monotonically_increasing_id())
-    return materialise(tagged), [*order_by, TAG]
+    """Store the rows, so that their place in a file can tell equal order keys apart."""
+    spark = df.sparkSession
+    stored = scan(spark, stage(df, fresh_path(spark, "ties"), "parquet"), "parquet", df.schema)
+    return with_row_position(stored), [*order_by, ROW_FILE, ROW_INDEX]
+
+
+def exchange_tasks(df: DataFrame, wanted: int) -> int:
+    """Tasks of an exchange: at least the session's setting, more for more data."""
+    configured = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(configured, min(wanted, MAX_TASKS))

@@ -106,57 +106,49 @@ def segment_column_stats(df: DataFrame, columns: list[str] | None = None, exact:
     side: a value that fills a third of the rows leaves each task once.
     """
     columns = columns or [c for c in df.columns if c not in (PID, SEGMENT)]
-    types = {f.name: f.dataType for f in df.schema.fields}
-    per_column = [_column_stats(c, types[c]) for c in columns]
-    wide = df.groupBy(SEGMENT).agg(
-        F.count(F.lit(1)).alias("record_count"), *[s.alias(f"s{i}") for i, s in enumerate(per_column)]
-    )
-    entries = F.array(
-        *[F.struct(F.lit(c).alias("column_name"), F.col(f"s{i}.*")) for i, c in enumerate(columns)]
-    )
-    stats = wide.select(SEGMENT, "record_count", F.inline(entries))
+    measures = [_column_measures(df, c, estimate=not exact).alias(f"s{i}") for i, c in enumerate(columns)]
+    wide = df.groupBy(SEGMENT).agg(F.count(F.lit(1)).alias("record_count"), *measures)
+    entries = [F.struct(F.lit(c).alias("column_name"), F.col(f"s{i}.*")) for i, c in enumerate(columns)]
+    stats = wide.select(SEGMENT, "record_count", F.inline(F.array(*entries)))
     if not exact:
         return stats
-    distinct = _distinct_counts(df, columns)
-    return stats.drop("distinct_count").join(distinct, [SEGMENT, "column_name"], "left").select(
-        *stats.columns[:-1], F.coalesce("distinct_count", F.lit(0)).alias("distinct_count")
-    )
+    counted = stats.join(_distinct_counts(df, columns), [SEGMENT, "column_name"], "left")
+    return counted.select(*stats.columns, F.coalesce("distinct_count", F.lit(0)).alias("distinct_count"))
 
 
-def _orderable(data_type: T.DataType) -> bool:
-    return not isinstance(data_type, (T.MapType, T.VariantType))
+def _kind(df: DataFrame, name: str) -> tuple[bool, bool]:
+    """Whether a column is nested, and whether its values have an order of their own."""
+    data_type = df.schema[name].dataType
+    nested = isinstance(data_type, T.ArrayType | T.StructType | T.MapType | T.VariantType)
+    return nested, not nested or not any(k in data_type.simpleString() for k in ("map<", "variant"))
 
 
-def _column_stats(name: str, data_type: T.DataType) -> Column:
-    column = F.col(name)
-    text = column.cast("string") if not isinstance(data_type, T.ArrayType | T.StructType) else F.to_json(column)
-    if not _orderable(data_type):
-        column = text = F.to_json(column)
+def _column_measures(df: DataFrame, name: str, estimate: bool) -> Column:
+    nested, ordered = _kind(df, name)
+    text = F.to_json(name) if nested else F.col(name)
+    value = F.col(name) if ordered else text
 
-    def as_text(value: Column) -> Column:
-        if isinstance(data_type, T.ArrayType | T.StructType):
-            return F.to_json(value)
-        return value.cast("string")
+    def shown(extreme: Column) -> Column:
+        return F.to_json(extreme) if nested and ordered else extreme.cast("string")
 
-    return F.struct(
-        as_text(F.min(column)).alias("min_value"),
-        as_text(F.max(column)).alias("max_value"),
-        F.count_if(column.isNull()).alias("null_count"),
-        F.approx_count_distinct(text).alias("distinct_count"),
-    )
+    measures = [
+        shown(F.min(value)).alias("min_value"),
+        shown(F.max(value)).alias("max_value"),
+        F.count_if(F.col(name).isNull()).alias("null_count"),
+    ]
+    if estimate:
+        measures.append(F.approx_count_distinct(text).alias("distinct_count"))
+    return F.struct(*measures)
 
 
 def _distinct_counts(df: DataFrame, columns: list[str]) -> DataFrame:
-    entries = F.array(
-        *[F.struct(F.lit(c).alias("column_name"), _as_key(df, c).alias("value")) for c in columns]
-    )
-    triples = df.select(SEGMENT, F.inline(entries)).where(F.col("value").isNotNull()).distinct()
-    return triples.groupBy(SEGMENT, "column_name").agg(F.count(F.lit(1)).alias("distinct_count"))
+    def entry(name: str) -> Column:
+        value = F.to_json(name) if _kind(df, name)[0] else F.col(name).cast("string")
+        return F.struct(F.lit(name).alias("column_name"), value.alias("value"))
 
-
-def _as_key(df: DataFrame, name: str) -> Column:
-    nested = isinstance(df.schema[name].dataType, T.ArrayType | T.StructType | T.MapType)
-    return F.to_json(F.col(name)) if nested else F.col(name).cast("string")
+    values = df.select(SEGMENT, F.inline(F.array(*[entry(c) for c in columns])))
+    triples = values.where(F.col("value").isNotNull()).distinct()
+    return triples.groupBy(SEGMENT, "column_name").agg(F.count(F.lit(1)).alias("distinct_count"))
 
 
 def segment_time_range(df: DataFrame, time: Column) -> DataFrame:

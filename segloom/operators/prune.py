@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -46,10 +44,6 @@ def prune_segments(df: DataFrame, spec: PartitionSpec, values: list) -> DataFram
 
 
 def key_filter(key: Column, values: list) -> Column:
-    tests = []
     known = [v for v in values if v is not None]
-    if known:
-        tests.append(key.isin(known))
-    if len(known) < len(values):
-        tests.append(key.isNull())
-    return reduce(lambda a, b: a | b, tests, F.lit(False)) if not tests else reduce(lambda a, b: a | b, tests)
+    matches = key.isin(known) if known else F.lit(False)
+    return matches | key.isNull() if len(known) < len(values) else matches

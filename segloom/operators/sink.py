@@ -7,7 +7,7 @@ import secrets
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from segloom.operators.assign import PID, SEGMENT
+from segloom.operators.assign import PID, SEGMENT, exchange_tasks
 from segloom.sources.formats import JSON_WRITE_OPTIONS, check_storage, writable_format
 from segloom.sources.schema import PartitionSpec
 
@@ -16,6 +16,8 @@ ROW_GROUP_BYTES = 16 * 1024 * 1024
 PARQUET_CODEC = "snappy"
 LOCAL_BASE = "file:///tmp/segloom"
 
+SLOTS_PER_SEGMENT = 4
+
 
 def segment_name(table: str, segment_key: str, segment: Column) -> Column:
     return F.concat_ws("_", F.lit(table), F.lit(segment_key), segment.cast("string"))
@@ -38,9 +40,12 @@ def gather_segments(df: DataFrame, spec: PartitionSpec | None = None) -> DataFra
     of the data into several tasks of the advisory size and joins small ones. Rows without a
     partition column all belong to one segment and stay where they are.
     """
-    if spec is not None and spec.column is None:
+    if spec is None:
+        return df.hint("rebalance", SEGMENT)
+    if spec.column is None:
         return df
-    return df.hint("rebalance", SEGMENT)
+    # Several hash slots per segment keep most segments apart; empty slots are merged away.
+    return df.hint("rebalance", exchange_tasks(df, SLOTS_PER_SEGMENT * spec.segment_count), SEGMENT)
 
 
 def route(

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-from segloom.operators.assign import PID, SEGMENT, assign_segments, with_partition_id
+from segloom.operators.assign import PID, SEGMENT, assign_segments
 from segloom.operators.conform import conform
 from segloom.operators.manifest import generation_summary, require_reconciled, segment_manifest
 from segloom.operators.publish import (
@@ -18,7 +18,7 @@ from segloom.operators.publish import (
     with_payload,
 )
 from segloom.operators.sink import target_folder, write_segments
-from segloom.session import fresh_path
+from segloom.session import fresh_path, materialise
 from segloom.sources.extract import extract, stage
 from segloom.sources.scan import ROW_FILE, ROW_INDEX, scan, with_row_position
 from segloom.sources.schema import PartitionSpec, TableLayout, partition_spec
@@ -63,15 +63,17 @@ def run_segment_job(
     staged = stage(result, staging or fresh_path(spark, "staging"), fmt)
     spec = partition_spec(layout, segment_count)
     source = scan(spark, staged, fmt, result.schema)
-    rows = with_partition_id(source, spec.column, spec.function, spec.partition_count)
     assigned = _assign(source, spec, order_by, fmt)
     target = target_folder(base, layout.table_name, segment_key)
     few = spec.spreads and -(-spec.segment_count // spec.partition_count) <= DIRECT_WRITE_SEGMENTS
     write_segments(conform(assigned, schema, keep=[PID, SEGMENT]), target, spec, gather=not few)
 
-    manifest = segment_manifest(spark, target, layout.table_name, segment_key, spec.segment_count)
-    read, _ = require_reconciled(rows, manifest)
-    summary = generation_summary(manifest, source, staged)
+    # One row per segment, used several times below: listed and counted once.
+    manifest = materialise(
+        segment_manifest(spark, target, layout.table_name, segment_key, spec.segment_count)
+    )
+    read, _ = require_reconciled(source, manifest)
+    summary = materialise(generation_summary(manifest, source, staged))
     described = with_payload(with_input_totals(manifest, summary), layout.table_name, template)
     plan = publish_plan(described, upload_mode(base, upload_type), push_delay_seconds)
     return SegmentJob(spec, target, read, manifest, summary, plan)
