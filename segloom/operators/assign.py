@@ -145,11 +145,12 @@ def with_partition_rank(
 
 
 def _rank_within(df: DataFrame, group: list[str], order_by: list[str]) -> DataFrame:
-    # Rows with equal keys fall back to a hash of all their columns. Those that still tie are
-    # copies of each other, so a retry that swaps them changes nothing.
-    window = Window.partitionBy(*group).orderBy(*order_by, TIE)
-    rank = F.row_number().over(window) - 1
-    return df.withColumn(TIE, _content_hash(df)).withColumn(RANK, rank.cast("long")).drop(TIE)
+    if ROW_INDEX not in order_by:
+        # Rows with equal keys fall back to a hash of all their columns. Those that still tie
+        # are copies of each other, so a retry that swaps them changes nothing.
+        df, order_by = df.withColumn(TIE, _content_hash(df)), [*order_by, TIE]
+    rank = F.row_number().over(Window.partitionBy(*group).orderBy(*order_by)) - 1
+    return df.withColumn(RANK, rank.cast("long")).drop(TIE)
 
 
 def _content_hash(df: DataFrame) -> Column:

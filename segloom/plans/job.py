@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from segloom.operators.assign import PID, SEGMENT, assign_segments
-from segloom.operators.conform import conform
+from segloom.operators.conform import conform, project_physical
 from segloom.operators.manifest import generation_summary, require_reconciled, segment_manifest
 from segloom.operators.publish import (
     DEFAULT_PUSH_DELAY_SECONDS,
@@ -63,7 +63,9 @@ def run_segment_job(
     staged = stage(result, staging or fresh_path(spark, "staging"), fmt)
     spec = partition_spec(layout, segment_count)
     source = scan(spark, staged, fmt, result.schema)
-    assigned = _assign(source, spec, order_by, fmt)
+    # Columns that neither the schema nor the routing needs would only burden the exchange.
+    routing = [c for c in dict.fromkeys([spec.column, *(order_by or [])]) if c is not None]
+    assigned = _assign(project_physical(source, schema, keep=routing), spec, order_by, fmt)
     target = target_folder(base, layout.table_name, segment_key)
     few = spec.spreads and -(-spec.segment_count // spec.partition_count) <= DIRECT_WRITE_SEGMENTS
     write_segments(conform(assigned, schema, keep=[PID, SEGMENT]), target, spec, gather=not few)

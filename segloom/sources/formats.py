@@ -18,12 +18,9 @@ JSON_WRITE_OPTIONS = {
 }
 
 
-def readable_format(spark: SparkSession, name: str) -> str:
-    """Canonical name of an input format; Avro needs Spark's external Avro module."""
-    fmt = _known(name)
-    if fmt == "avro":
-        require_avro(spark)
-    return fmt
+def readable_format(name: str) -> str:
+    """Canonical name of an input format."""
+    return _known(name)
 
 
 def stageable_format(name: str) -> str:
@@ -35,8 +32,11 @@ def stageable_format(name: str) -> str:
 
 
 def writable_format(spark: SparkSession, name: str) -> str:
-    """Canonical name of a format that rows can be routed to."""
-    return readable_format(spark, name)
+    """Canonical name of a format that rows can be routed to; Avro needs the spark-avro module."""
+    fmt = _known(name)
+    if fmt == "avro" and not has_avro(spark):
+        raise NotImplementedError("writing Avro needs the spark-avro module on the session's classpath")
+    return fmt
 
 
 def _known(name: str) -> str:
@@ -49,6 +49,7 @@ def _known(name: str) -> str:
 
 
 def has_avro(spark: SparkSession) -> bool:
+    """Whether the external spark-avro module is on the classpath."""
     try:
         spark.read.format("avro").schema("probe int").load([])
     except AnalysisException:
@@ -56,11 +57,6 @@ def has_avro(spark: SparkSession) -> bool:
     return True
 
 
-def require_avro(spark: SparkSession) -> None:
-    if not has_avro(spark):
-        raise NotImplementedError("Avro needs the spark-avro module on the session's classpath")
-
-
 def storage_scheme(uri: str) -> str:
     """Lower-case scheme of a storage URI; none means the local file system."""
     return urlsplit(uri).scheme.lower() or "file"

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from segloom.sources.formats import check_storage, readable_format
+from segloom.sources.formats import check_storage, has_avro, readable_format
 
 # Spark error conditions of a missing path and of a folder without data files.
 NOTHING_THERE = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
@@ -30,10 +30,12 @@ def scan(
     A missing or empty path gives zero rows, for which ``schema`` is needed. JSON always
     needs it too: letting Spark infer a schema would read the whole input twice.
     """
-    fmt = readable_format(spark, fmt)
+    fmt = readable_format(fmt)
     if fmt == "json" and schema is None:
         raise ValueError("scanning JSON needs a schema")
     check_storage(spark, path)
+    if fmt == "avro" and not has_avro(spark):
+        return _scan_avro_text(spark, path, schema, recursive)
     reader = spark.read.format(fmt).option("recursiveFileLookup", recursive)
     if schema is not None:
         reader = reader.schema(schema)
@@ -49,6 +51,38 @@ def scan(
         return empty(spark, schema)
 
 
+def _scan_avro_text(
+    spark: SparkSession, path: str, schema: StructType | None, recursive: bool
+) -> DataFrame:
+    """Avro files without the spark-avro module: Hadoop's input format gives records as JSON.
+
+    It splits files like the module does, but every record passes through Python.
+    """
+    if schema is None:
+        raise ValueError("scanning Avro without the spark-avro module needs a schema")
+    if "binary" in schema.simpleString():
+        raise NotImplementedError("reading Avro bytes needs the spark-avro module")
+    try:
+        spark.read.format("binaryFile").option("recursiveFileLookup", recursive).load(path)
+    except AnalysisException as failure:
+        if failure.getCondition() not in NOTHING_THERE:
+            raise
+        return empty(spark, schema)
+    records = spark.sparkContext.hadoopRDD(
+        "org.apache.avro.mapred.AvroAsTextInputFormat",
+        "org.apache.hadoop.io.Text",
+        "org.apache.hadoop.io.NullWritable",
+        conf={
+            "mapreduce.input.fileinputformat.inputdir": path.replace(",", "\\,"),
+            "mapreduce.input.fileinputformat.input.dir.recursive": str(recursive).lower(),
+            "mapreduce.input.fileinputformat.input.dir.nonrecursive.ignore.subdirs": "true",
+        },
+    )
+    lines = spark.createDataFrame(records.map(lambda pair: (pair[0],)), "value string")
+    parsed = F.from_json("value", schema, {"mode": "FAILFAST"})
+    return lines.select(parsed.alias("record")).select("record.*")
+
+
 def scan_many(frames: list[DataFrame]) -> DataFrame:
     """Several inputs as one row stream; a column that one of them lacks is null there."""
     if not frames:
@@ -61,10 +95,13 @@ def empty(spark: SparkSession, schema: StructType) -> DataFrame:
 
 
 def with_row_position(df: DataFrame) -> DataFrame:
-    """Add the file and the row number in it: a unique, repeatable order for a Parquet scan."""
+    """Add a number for the file and the row number in it: a repeatable order of a Parquet scan.
+
+    The file number is a hash: paths would travel with every row and are slow to compare.
+    """
     return df.select(
         "*",
-        F.col("_metadata.file_path").alias(ROW_FILE),
+        F.xxhash64("_metadata.file_path").alias(ROW_FILE),
         F.col("_metadata.row_index").alias(ROW_INDEX),
     )
 

@@ -12,9 +12,9 @@ from segloom.sources.extract import extract, stage
 from segloom.sources.formats import (
     check_storage,
     has_avro,
-    readable_format,
     stageable_format,
     storage_scheme,
+    writable_format,
 )
 from segloom.sources.scan import input_file_stats, input_files, scan, scan_many, with_row_position
 from segloom.sources.schema import PartitionSpec, load_layout, load_schema, partition_spec
@@ -101,12 +101,47 @@ def test_bad_stage_arguments(spark, destination, fmt):
         stage(spark.range(1), destination, fmt)
 
 
-def test_avro_is_read_only_and_needs_its_module(spark):
+def avro_file(spark, path, rows):
+    """Written by the Avro library itself, in the driver's JVM."""
+    jvm = spark._jvm
+    fields = [{"name": "id", "type": ["null", "string"]}, {"name": "value", "type": "long"}, {"name": "tags", "type": {"type": "array", "items": "int"}}]
+    schema = jvm.org.apache.avro.Schema.Parser().parse(json.dumps({"type": "record", "name": "row", "fields": fields}))
+    writer = jvm.org.apache.avro.file.DataFileWriter(jvm.org.apache.avro.generic.GenericDatumWriter(schema))
+    writer.create(schema, jvm.java.io.File(str(path)))
+    for identifier, value, tags in rows:
+        record = jvm.org.apache.avro.generic.GenericData.Record(schema)
+        items = jvm.java.util.ArrayList()
+        for tag in tags:
+            items.add(tag)
+        record.put("id", identifier)
+        record.put("value", jvm.java.lang.Long.valueOf(value))
+        record.put("tags", items)
+        writer.append(record)
+    writer.close()
+
+
+def test_avro_scan(spark, tmp_path):
+    (tmp_path / "below").mkdir()
+    avro_file(spark, tmp_path / "a.avro", [(AWKWARD, 2**62, [1, 2]), (None, -1, [])])
+    avro_file(spark, tmp_path / "below" / "b.avro", [("z", 3, [7])])
+    schema = T._parse_datatype_string("id string, value long, tags array<int>, missing double")
+    top = [(AWKWARD, 2**62, [1, 2], None), (None, -1, [], None)]
+    assert [tuple(r) for r in scan(spark, str(tmp_path), "Avro", schema, recursive=False).collect()] == top
+    everything = {tuple(map(str, r)) for r in scan(spark, str(tmp_path), "avro", schema).collect()}
+    assert everything == {tuple(map(str, r)) for r in [*top, ("z", 3, [7], None)]}
+    assert scan(spark, str(tmp_path / "none"), "avro", schema).count() == 0
+
+
+def test_avro_limits(spark):
     with pytest.raises(NotImplementedError):
         stageable_format("AVRO")
     if not has_avro(spark):
         with pytest.raises(NotImplementedError, match="spark-avro"):
-            readable_format(spark, "avro")
+            writable_format(spark, "avro")
+        with pytest.raises(ValueError, match="schema"):
+            scan(spark, "/tmp", "avro")
+        with pytest.raises(NotImplementedError, match="bytes"):
+            scan(spark, "/tmp", "avro", T.StructType().add("b", T.BinaryType()))
 
 
 def test_schemes(spark):
