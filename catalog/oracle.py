@@ -161,17 +161,17 @@ def formats() -> str:
 
 ORACLE: dict[str, str] = {
     "query_extract": """
-        select n_name, o_orderstatus, count(*) as n_orders, sum(o_totalprice::decimal(18,2))::decimal(28,2) as total
+        select n_name, o_orderstatus, count(*) as n_orders, sum(o_totalprice::decimal(18,2))::double as total
         from orders join customer on o_custkey = c_custkey join nation on c_nationkey = n_nationkey
         where o_orderpriority <> '5-LOW' group by n_name, o_orderstatus""",
     "stage_json": "select * replace (nullif(event_type, 'error') as event_type) from events",
     "stage_json_text": "select * from documents",
-    "stage_json_nested": "select vec_id, label, len(embedding)::int as dims, embedding[1] as first from embeddings",
+    "stage_json_nested": "select vec_id, label, len(embedding)::int as dims, embedding[1]::double as first from embeddings",
     "stage_parquet": "select * from orders",
     "format_dispatch": formats(),
     "scan_json": "select o_orderkey, o_orderstatus, null::varchar as o_clerk from orders",
     "scan_parquet": """
-        select l_returnflag, count(*) as n, sum(l_quantity::decimal(18,2))::decimal(28,2) as quantity
+        select l_returnflag, count(*) as n, sum(l_quantity::decimal(18,2))::double as quantity
         from lineitem where l_shipdate < timestamp '1996-01-01' group by l_returnflag""",
     "scan_prefix": "select * from orders",
     "scan_dir": "select * from orders where o_orderstatus = 'F'",
@@ -185,8 +185,8 @@ ORACLE: dict[str, str] = {
         from (select {murmur_pid('c_name', 6)} as pid from customer) group by pid""",
     "project_physical": """
         select o_orderkey, o_custkey, o_orderstatus, o_orderpriority, o_totalprice,
-               null::bigint as order_ms, o_orderdate from orders""",
-    "conform_types": "select o_orderkey, o_custkey, o_orderstatus, try_cast(o_orderpriority as bigint) as order_ms from orders",
+               true as order_ms, o_orderdate from orders""",
+    "conform_types": "select o_orderkey, o_custkey, o_orderstatus, try_cast(o_orderpriority as bigint) is null as order_ms from orders",
     "event_time": "select o_orderkey, o_orderdate as event_time from orders",
     "partition_key": "select coalesce(nullif(event_type, 'error'), '') as key, count(*) as n from events group by 1",
     "pid_hashcode": two_keys(hashcode_pid),

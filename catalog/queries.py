@@ -123,7 +123,7 @@ def query_extract(spark, sf_dir):
         spark,
         """
         SELECT n.n_name, o.o_orderstatus, count(*) AS n_orders,
-               sum(cast(o.o_totalprice AS decimal(18,2))) AS total
+               cast(sum(cast(o.o_totalprice AS decimal(18,2))) AS double) AS total
         FROM orders o
         JOIN customer c ON o.o_custkey = c.c_custkey
         JOIN nation n ON c.c_nationkey = n.n_nationkey
@@ -146,7 +146,7 @@ def stage_json_text(spark, sf_dir):
 def stage_json_nested(spark, sf_dir):
     source = table(spark, sf_dir, "embeddings")
     back = scan(spark, stage(source, fresh_path(spark, "json"), "json"), "json", source.schema)
-    return back.select("vec_id", "label", F.size("embedding").alias("dims"), F.expr("embedding[0]").alias("first"))
+    return back.select("vec_id", "label", F.size("embedding").alias("dims"), F.expr("cast(embedding[0] as double)").alias("first"))
 
 
 def stage_parquet(spark, sf_dir):
@@ -175,7 +175,7 @@ def scan_parquet(spark, sf_dir):
     return (
         source.where(F.col("l_shipdate") < F.lit("1996-01-01").cast("timestamp_ntz"))
         .groupBy("l_returnflag")
-        .agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("l_quantity").cast("decimal(18,2)")).alias("quantity"))
+        .agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("l_quantity").cast("decimal(18,2)")).cast("double").alias("quantity"))
     )
 
 
@@ -244,7 +244,8 @@ def table_layout(spark, sf_dir):
 
 def project_physical_query(spark, sf_dir):
     schema = load_schema(ORDERS_SCHEMA)
-    return project_physical(table(spark, sf_dir, "orders"), schema, keep=["o_orderdate"])
+    rows = project_physical(table(spark, sf_dir, "orders"), schema, keep=["o_orderdate"])
+    return rows.withColumn("order_ms", F.col("order_ms").isNull())
 
 
 def conform_types_query(spark, sf_dir):
@@ -254,7 +255,8 @@ def conform_types_query(spark, sf_dir):
         "o_orderstatus",
         F.col("o_orderpriority").alias("order_ms"),
     )
-    return conform_types(texts, load_schema(ORDERS_SCHEMA), strict=False)
+    rows = conform_types(texts, load_schema(ORDERS_SCHEMA), strict=False)
+    return rows.withColumn("order_ms", F.col("order_ms").isNull())
 
 
 def event_time_query(spark, sf_dir):

@@ -60,10 +60,9 @@ def with_hashcode_integral(df: DataFrame, column: str, partitions: int, name: st
     digit * 31**j equals n plus the sum of q(j) * 21 * 31**(j-1) over j >= 1, and no digit
     has to be taken out. Each character adds a further CODE_ZERO * 31**j.
     """
-    key, size = _quoted(column), _temp("size")
-    wide = f"cast({key} as bigint)"
+    key, size, number = _quoted(column), _temp("size"), _temp("number")
     # Negated magnitude, so that the smallest bigint needs no special case.
-    magnitude = F.expr(f"case when {wide} > 0 then -{wide} else {wide} end")
+    magnitude = F.expr(f"case when {number} > 0 then -{number} else {number} end")
     terms = [f"({size} & {MASK32}L)"] + [
         f"((({size} div {10**j}L) & {MASK32}L) * {_signed32(21 * 31 ** (j - 1))}L & {MASK32}L)"
         for j in range(1, MAX_DIGITS)
@@ -75,12 +74,14 @@ def with_hashcode_integral(df: DataFrame, column: str, partitions: int, name: st
 
     zeros = by_digits(lambda digits: CODE_ZERO * sum(31**j for j in range(digits)))
     # The minus sign stands left of all digits, so its weight depends on their number.
-    sign = f"case when {key} >= 0 then 0L else {by_digits(lambda digits: CODE_MINUS * 31**digits)} end"
+    sign = f"case when {number} >= 0 then 0L else {by_digits(lambda digits: CODE_MINUS * 31**digits)} end"
     raw = F.expr(f"{zeros} + {sign} - ({' + '.join(terms)})")
+    # Null is replaced first and put back last: code for values that cannot be null is half as long.
     return (
-        df.withColumn(size, magnitude)
-        .withColumn(name, F.coalesce(hashcode_id(raw, partitions), F.lit(0)))
-        .drop(size)
+        df.withColumn(number, F.expr(f"coalesce(cast({key} as bigint), 0L)"))
+        .withColumn(size, magnitude)
+        .withColumn(name, F.when(F.col(key).isNull(), 0).otherwise(hashcode_id(raw, partitions)))
+        .drop(number, size)
     )
 
 
