@@ -3,8 +3,7 @@
 ``hashing`` folds over the characters of a text, which Spark interprets. The forms here stay
 in generated code:
 
-* the string hash of a whole-number column comes from divisions by constants, without making
-  the text;
+* the string hash of a whole-number column is arithmetic on the number;
 * Murmur2 takes a short text four characters at a time, as slices of its hexadecimal form.
   Only longer texts take the fold.
 
@@ -28,13 +27,14 @@ from segloom.functions.hashing import (
     murmur2,
     murmur_id,
 )
-from segloom.functions.keys import partition_key
+from segloom.functions.keys import is_integral, partition_key
 
-# Character codes of '0' and '-', most digits of a bigint, longest text of one.
+# Character codes of '0' and '-', longest text of a bigint.
 CODE_ZERO = 48
 CODE_MINUS = 45
-MAX_DIGITS = 19
 MAX_LONG_TEXT = 20
+# Digits that are handled at a time; a bigint has two such chunks and one digit more.
+CHUNK_DIGITS = 9
 
 # ASCII texts up to this many bytes avoid the fold.
 SHORT_TEXT = 32
@@ -53,35 +53,45 @@ def _signed32(value: int) -> int:
     return (value + (1 << 31)) % (1 << 32) - (1 << 31)
 
 
-def with_hashcode_integral(df: DataFrame, column: str, partitions: int, name: str) -> DataFrame:
-    """Partition id by the string hash of a whole-number column; null counts as empty text.
+def _digit_polynomial(shifted: str) -> str:
+    """Sum of digit * 31**place of a number below 10**9, given as a double that is 0.5 larger.
 
-    With q(j) = n div 10**j the digit at place j is q(j) - 10 q(j+1). Hence the sum of
-    digit * 31**j equals n plus the sum of q(j) * 21 * 31**(j-1) over j >= 1, and no digit
-    has to be taken out. Each character adds a further CODE_ZERO * 31**j.
+    With q(j) = floor(n / 10**j) the digit at place j is q(j) - 10 q(j+1), so the sum equals n
+    plus the sum of q(j) * 21 * 31**(j-1) over j >= 1, and no digit has to be taken out. The
+    half keeps every quotient away from whole numbers, so rounding in the product cannot move
+    it across one. Doubles hold all values exactly and need no overflow checks.
     """
-    key, size, number = _quoted(column), _temp("size"), _temp("number")
-    # Negated magnitude, so that the smallest bigint needs no special case.
-    magnitude = F.expr(f"case when {number} > 0 then -{number} else {number} end")
-    terms = [f"({size} & {MASK32}L)"] + [
-        f"((({size} div {10**j}L) & {MASK32}L) * {_signed32(21 * 31 ** (j - 1))}L & {MASK32}L)"
-        for j in range(1, MAX_DIGITS)
-    ]
-
-    def by_digits(constant: Callable[[int], int]) -> str:
-        branches = " ".join(f"when {size} > -{10**d}L then {_signed32(constant(d))}L" for d in range(1, MAX_DIGITS))
-        return f"case {branches} else {_signed32(constant(MAX_DIGITS))}L end"
-
-    zeros = by_digits(lambda digits: CODE_ZERO * sum(31**j for j in range(digits)))
-    # The minus sign stands left of all digits, so its weight depends on their number.
-    sign = f"case when {number} >= 0 then 0L else {by_digits(lambda digits: CODE_MINUS * 31**digits)} end"
-    raw = F.expr(f"{zeros} + {sign} - ({' + '.join(terms)})")
-    # Null is replaced first and put back last: code for values that cannot be null is half as long.
+    terms = [f"rint({shifted} * 1E-{j}D - 0.5D) * {21 * 31 ** (j - 1)}D" for j in range(1, CHUNK_DIGITS)]
+    return f"cast({shifted} - 0.5D + {' + '.join(terms)} as bigint)"
+
+
+def with_hashcode_integral(df: DataFrame, column: str, partitions: int, name: str) -> DataFrame:
+    """Partition id by the string hash of a whole-number column; null counts as empty text."""
+    number, size, low, middle = _temp("number"), _temp("size"), _temp("low"), _temp("middle")
+    chunk = 10**CHUNK_DIGITS
+    # What the characters add whatever the digits: a '0' at each place, and the sign.
+    plain = [CODE_ZERO * sum(31**j for j in range(digits)) for digits in range(MAX_LONG_TEXT + 1)]
+    signed = [0] + [plain[n - 1] + CODE_MINUS * 31 ** (n - 1) for n in range(1, MAX_LONG_TEXT + 1)]
+    constants = ", ".join(f"{_signed32(value)}L" for value in plain + signed)
+    position = f"octet_length(cast({number} as string)) + if({number} < 0, {len(plain)}, 0)"
+    raw = F.expr(
+        f"coalesce(get(array({constants}), {position}), 0L) + {_digit_polynomial(low)}"
+        f" + (({_digit_polynomial(middle)} & {MASK32}L) * {_signed32(31**CHUNK_DIGITS)}L & {MASK32}L)"
+        f" - {size} div {chunk * chunk}L * {_signed32(31 ** (2 * CHUNK_DIGITS))}L"
+    )
+    # Null is replaced first and put back last: code for values that cannot be null is shorter.
+    # Negated magnitudes have no special case for the smallest bigint.
     return (
-        df.withColumn(number, F.expr(f"coalesce(cast({key} as bigint), 0L)"))
-        .withColumn(size, magnitude)
-        .withColumn(name, F.when(F.col(key).isNull(), 0).otherwise(hashcode_id(raw, partitions)))
-        .drop(number, size)
+        df.withColumn(number, F.expr(f"coalesce(cast({_quoted(column)} as bigint), 0L)"))
+        .withColumn(size, F.expr(f"if({number} > 0, -{number}, {number})"))
+        .withColumns(
+            {
+                low: F.expr(f"0.5D - {size} % {chunk}L"),
+                middle: F.expr(f"0.5D - {size} div {chunk}L % {chunk}L"),
+            }
+        )
+        .withColumn(name, F.when(F.col(_quoted(column)).isNull(), 0).otherwise(hashcode_id(raw, partitions)))
+        .drop(number, size, low, middle)
     )
 
 
@@ -152,3 +162,14 @@ INTEGRAL_FORMS: dict[str, StagedFunction] = {
     "modulo": with_modulo_integral,
 }
 TEXT_FORMS: dict[str, StagedFunction] = {"murmur": with_murmur_text}
+
+# Columns up to which a form fits into a compiled method together with reading and writing
+# them. Uncompiled, it would be slower than the fold, which is not part of that method.
+WIDEST_TABLE = {"hashcode": 45, "murmur": 65, "modulo": 10_000}
+
+
+def staged_form(df: DataFrame, column: str, function: str) -> StagedFunction | None:
+    """The fast form for ``column``, if there is one that suits its type and the table."""
+    if len(df.columns) > WIDEST_TABLE[function]:
+        return None
+    return (INTEGRAL_FORMS if is_integral(df, column) else TEXT_FORMS).get(function)

@@ -25,8 +25,8 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from segloom.functions.hashing import PARTITION_FUNCTIONS, partition_function_name
-from segloom.functions.keys import is_integral, partition_key
-from segloom.functions.staged import INTEGRAL_FORMS, TEXT_FORMS
+from segloom.functions.keys import partition_key
+from segloom.functions.staged import staged_form
 from segloom.session import fresh_path, materialise
 from segloom.sources.extract import stage
 from segloom.sources.scan import ROW_FILE, ROW_INDEX, scan, with_row_position
@@ -61,9 +61,9 @@ def with_partition_id(
     if column is None:
         return df.withColumn(name, F.lit(0))
     function = partition_function_name(function)
-    staged = INTEGRAL_FORMS if is_integral(df, column) else TEXT_FORMS
-    if function in staged:
-        return staged[function](df, column, partitions, name)
+    staged = staged_form(df, column, function)
+    if staged is not None:
+        return staged(df, column, partitions, name)
     return df.withColumn(name, PARTITION_FUNCTIONS[function](partition_key(F.col(column)), partitions))
 
 

@@ -152,3 +152,11 @@ def test_functions_differ(spark):
     hashed = [r.pid for r in with_partition_id(df, "k", "hashcode", 16).collect()]
     murmured = [r.pid for r in with_partition_id(df, "k", "murmur", 16).collect()]
     assert hashed != murmured and set(murmured) == set(range(16))
+
+
+@pytest.mark.parametrize("function", ["hashcode", "murmur", "modulo"])
+def test_wide_tables_route_alike(spark, function):
+    narrow = spark.range(-50, 50).select(F.col("id").alias("k"))
+    wide = narrow.select("k", *[F.lit(i).alias(f"c{i}") for i in range(80)])
+    expected = {r.k: r.pid for r in with_partition_id(narrow, "k", function, 7).collect()}
+    assert {r.k: r.pid for r in with_partition_id(wide, "k", function, 7).select("k", "pid").collect()} == expected
