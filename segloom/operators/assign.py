@@ -57,6 +57,7 @@ def with_partition_id(
     df: DataFrame, column: str | None, function: str | None, partitions: int, name: str = PID
 ) -> DataFrame:
     """Add the partition id of ``column``; without a column it is 0."""
+    _require_free(df, name)
     partitions = max(partitions, 1)
     if column is None:
         return df.withColumn(name, F.lit(0))
@@ -105,6 +106,7 @@ def assign_segments(
     ``order_by`` is needed for S > P only and should be unique. Then ``df`` is read more
     than once, so it should be a staged table rather than a long query.
     """
+    _require_free(df, SEGMENT)
     if not spec.spreads:
         first, _ = segment_range(F.col(PID), spec)
         return _routed(df, spec).withColumn(SEGMENT, first)
@@ -116,6 +118,11 @@ def assign_segments(
     return ranked.withColumn(SEGMENT, blocks.first(F.col(PID)) + turn).drop(RANK)
 
 
+def _require_free(df: DataFrame, name: str) -> None:
+    if name.lower() in (c.lower() for c in df.columns):
+        raise ValueError(f"the rows already have a column {name}; rename it in the query")
+
+
 def _routed(df: DataFrame, spec: PartitionSpec) -> DataFrame:
     return with_partition_id(df, spec.column, spec.function, spec.partition_count)
 

@@ -17,7 +17,7 @@ from segloom.operators.publish import (
     with_input_totals,
     with_payload,
 )
-from segloom.operators.sink import target_folder, write_segments
+from segloom.operators.sink import clean_target, target_folder, write_segments
 from segloom.session import fresh_path, materialise
 from segloom.sources.extract import extract, stage
 from segloom.sources.scan import ROW_FILE, ROW_INDEX, scan, with_row_position
@@ -53,11 +53,13 @@ def run_segment_job(
     upload_type: str | None = None,
     push_delay_seconds: int = DEFAULT_PUSH_DELAY_SECONDS,
     staging: str | None = None,
+    keep_staging: bool = False,
 ) -> SegmentJob:
     """Stage the query's result, split it into segments below ``base`` and describe them.
 
     Staging fixes the rows in storage, so the passes of a spreading assignment all see the
-    same data. Without ``order_by`` rows are dealt in the order of the staged files.
+    same data; they are removed after a successful run. Without ``order_by`` rows are dealt in
+    the order of the staged files. A failed run leaves no segments behind.
     """
     result = extract(spark, query)
     staged = stage(result, staging or fresh_path(spark, "staging"), fmt)
@@ -68,14 +70,19 @@ def run_segment_job(
     assigned = _assign(project_physical(source, schema, keep=routing), spec, order_by, fmt)
     target = target_folder(base, layout.table_name, segment_key)
     few = spec.spreads and -(-spec.segment_count // spec.partition_count) <= DIRECT_WRITE_SEGMENTS
-    write_segments(conform(assigned, schema, keep=[PID, SEGMENT]), target, spec, gather=not few)
-
-    # One row per segment, used several times below: listed and counted once.
-    manifest = materialise(
-        segment_manifest(spark, target, layout.table_name, segment_key, spec.segment_count)
-    )
-    read, _ = require_reconciled(source, manifest)
+    try:
+        write_segments(conform(assigned, schema, keep=[PID, SEGMENT]), target, spec, gather=not few)
+        # One row per segment, used several times below: listed and counted once.
+        manifest = materialise(
+            segment_manifest(spark, target, layout.table_name, segment_key, spec.segment_count)
+        )
+        read, _ = require_reconciled(source, manifest)
+    except Exception:
+        clean_target(spark, target)
+        raise
     summary = materialise(generation_summary(manifest, source, staged))
+    if not keep_staging:
+        clean_target(spark, staged)
     described = with_payload(with_input_totals(manifest, summary), layout.table_name, template)
     plan = publish_plan(described, upload_mode(base, upload_type), push_delay_seconds)
     return SegmentJob(spec, target, read, manifest, summary, plan)

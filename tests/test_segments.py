@@ -22,6 +22,7 @@ from segloom.operators.prune import candidate_segments, prune_segments, scan_seg
 from segloom.operators.sink import clean_target, gather_segments, route, target_folder, write_segments
 from segloom.plans.job import run_segment_job
 from segloom.session import fresh_path
+from segloom.sources.scan import scan
 from segloom.sources.schema import PartitionSpec, load_layout, load_schema
 
 SPEC = PartitionSpec("k", "murmur", 4, 4)
@@ -249,3 +250,30 @@ def test_job_plan_for_a_local_target(spark):
     plan = job.plan.orderBy("push_order").collect()
     assert [(r.push_order, r.upload_mode, r.push_offset_seconds, r.payload) for r in plan] == [(1, "FILE", 0, None), (2, "FILE", 7, None)]
     assert {(r.base_table_name, r.table_type) for r in plan} == {("test_table", "OFFLINE")}
+
+
+@pytest.mark.parametrize("keep, left", [(False, 0), (True, 2)])
+def test_job_removes_its_staging(spark, keep, left):
+    staging = fresh_path(spark, "staging")
+    job = run_segment_job(
+        spark, small_table(spark, SET_A), load_schema(SCHEMA), load_layout(json.dumps(PLAIN)), "1", fresh_path(spark, "job"),
+        staging=staging, keep_staging=keep,
+    )
+    assert scan(spark, staging, "parquet", load_schema(SCHEMA)).count() == left
+    assert job.plan.count() == job.manifest.count() == 1
+    assert job.summary.first().input_record_count == 2
+
+
+def test_failed_job_leaves_no_segments(spark):
+    base = fresh_path(spark, "job")
+    spark.createDataFrame([("a", "x"), ("b", "12")], "id string, value string").createOrReplaceTempView("bad_values")
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        run_segment_job(spark, "SELECT * FROM bad_values", load_schema(SCHEMA), load_layout(json.dumps(PLAIN)), "1", base)
+    assert scan(spark, base, "parquet", load_schema(SCHEMA)).count() == 0
+
+
+def test_taken_column_names_are_refused(spark):
+    with pytest.raises(ValueError, match="already have"):
+        assign_segments(rows(spark).withColumn("PID", F.lit(1)), SPEC)
+    with pytest.raises(ValueError, match="already have"):
+        assign_segments(rows(spark).withColumn("segment_id", F.lit(1)), SPEC)
