@@ -53,8 +53,8 @@ def test_template_file(spark, tmp_path):
         (" ", None, "FILE"),
         ("/data", "URI", "FILE"),
         ("file:///data", "METADATA", "FILE"),
-        ("oss://b/d", None, "METADATA"),
-        ("oss://b/d", "uri", "URI"),
+        ("s3a://b/d", None, "METADATA"),
+        ("s3a://b/d", "uri", "URI"),
         ("s3a://b/d", "other", "METADATA"),
     ],
 )
@@ -71,7 +71,7 @@ def test_table_names(spark, name, kind, base):
     assert tuple(row) == (kind, base)
 
 
-def manifest(spark, uri="oss://b/seg_"):
+def manifest(spark, uri="s3a://b/seg_"):
     return spark.createDataFrame(
         [(i, f"seg_{i}", None if uri is None else f"{uri}{i}", 10 * (i + 1), 1024 * (i + 1), "t_OFFLINE", "{}") for i in range(3)],
         "segment_id int, segment_name string, segment_uri string, record_count long, byte_size long, table_name string, payload string",
@@ -103,6 +103,6 @@ def test_bad_plans(spark, mode, uri, message):
         require_publishable(publish_plan(manifest(spark, uri), mode))
 
 
-@pytest.mark.parametrize("mode, uri", [("URI", "oss://b/s"), ("METADATA", "s3a://b/s"), ("FILE", "/local/s")])
+@pytest.mark.parametrize("mode, uri", [("URI", "s3a://b/s"), ("METADATA", "s3a://b/s"), ("FILE", "/local/s")])
 def test_good_plans(spark, mode, uri):
     assert require_publishable(publish_plan(manifest(spark, uri), mode)).count() == 3

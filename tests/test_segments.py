@@ -102,7 +102,7 @@ def test_json_route_has_one_object_per_row_with_nulls(spark):
     assert [json.loads(r.value) for r in spark.read.text(path).select("value").collect()] == [{"k": "a\nb", "v": None}]
 
 
-@pytest.mark.parametrize("base, start", [("oss://b/d", "oss://b/d/"), ("oss://b/d/", "oss://b/d/"), (None, "file:///tmp/"), ("  ", "file:///tmp/")])
+@pytest.mark.parametrize("base, start", [("s3a://b/d", "s3a://b/d/"), ("s3a://b/d/", "s3a://b/d/"), (None, "file:///tmp/"), ("  ", "file:///tmp/")])
 def test_target_folder(base, start):
     folder = target_folder(base, "t_OFFLINE", "20260427")
     assert folder.startswith(start)
