@@ -4,11 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from segloom.llm.line_dedup import dedup_lines
+from segloom.llm.packing import pack_documents
+from segloom.llm.rans import read_token_files, write_token_files
 from segloom.llm.simhash import near_duplicates
+from segloom.llm.token_count import count_tokens
+from segloom.session import fresh_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -26,11 +31,30 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counted = count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return counted.select("doc_id", "n_bytes", "n_tokens", "over_limit")
+
+
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = public_tokenizers.path("word_bpe_49k.json")
+    return pack_documents(table(spark, sf_dir, "documents"), vocabulary, with_ids=False).withColumnRenamed("id", "doc_id")
+
+
+def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = fresh_path(spark, "token-files")
+    write_token_files(table(spark, sf_dir, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"))
+    return read_token_files(spark, path, with_ids=False).withColumnRenamed("id", "doc_id")
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
 
 
 QUERIES: dict[str, Query] = {
     "op4_line_dedup": op4_line_dedup,
+    "op5_token_count": op5_token_count,
+    "op6_packing": op6_packing,
+    "op8_token_files": op8_token_files,
     "op10_simhash": op10_simhash,
 }
