@@ -8,11 +8,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from segloom.llm.common import held_out
+from segloom.llm.decontaminate import find_contamination
 from segloom.llm.line_dedup import dedup_lines
 from segloom.llm.packing import pack_documents
+from segloom.llm.quality import fit_quality, quality_score
 from segloom.llm.rans import read_token_files, write_token_files
 from segloom.llm.simhash import near_duplicates
 from segloom.llm.token_count import count_tokens
+from segloom.llm.toxicity import fit_toxicity, score_toxicity
 from segloom.session import fresh_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,6 +26,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, apart = table(spark, sf_dir, "documents"), held_out(F.col("doc_id"), 5, 0)
+    index = fit_toxicity(docs, table(spark, sf_dir, "labels").where(~apart))
+    return score_toxicity(docs, index).select(
+        F.col("id").alias("doc_id"),
+        held_out(F.col("id"), 5, 0).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+        "evidence",
+    )
+
+
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.withColumnRenamed("id", "doc_id").drop("text_hash")
+
+
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_lines(table(spark, sf_dir, "documents")).select(
         "doc_id",
@@ -47,14 +68,24 @@ def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_token_files(spark, path, with_ids=False).withColumnRenamed("id", "doc_id")
 
 
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, apart = table(spark, sf_dir, "documents"), held_out(F.col("doc_id"), 4, 2)
+    model = fit_quality(docs, table(spark, sf_dir, "labels").where(~apart))
+    scored = docs.select("doc_id", apart.alias("held_out"), quality_score(model, F.col("text")).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.7).cast("int"))
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
 
 
 QUERIES: dict[str, Query] = {
+    "op1_toxicity": op1_toxicity,
+    "op3_decontamination": op3_decontamination,
     "op4_line_dedup": op4_line_dedup,
     "op5_token_count": op5_token_count,
     "op6_packing": op6_packing,
     "op8_token_files": op8_token_files,
+    "op9_quality": op9_quality,
     "op10_simhash": op10_simhash,
 }
