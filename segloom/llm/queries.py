@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from segloom.llm.common import held_out
 from segloom.llm.decontaminate import find_contamination
+from segloom.llm.fingerprints import fingerprint_documents
+from segloom.llm.language import identify_languages
 from segloom.llm.line_dedup import dedup_lines
 from segloom.llm.packing import pack_documents
 from segloom.llm.quality import fit_quality, quality_score
@@ -38,6 +40,10 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint_documents(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.withColumnRenamed("id", "doc_id").drop("text_hash")
@@ -62,6 +68,11 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), vocabulary, with_ids=False).withColumnRenamed("id", "doc_id")
 
 
+def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = identify_languages(table(spark, sf_dir, "pages"), table(spark, sf_dir, "documents"))
+    return found.withColumnRenamed("id", "page_id")
+
+
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = fresh_path(spark, "token-files")
     write_token_files(table(spark, sf_dir, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"))
@@ -81,10 +92,12 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_toxicity": op1_toxicity,
+    "op2_fingerprints": op2_fingerprints,
     "op3_decontamination": op3_decontamination,
     "op4_line_dedup": op4_line_dedup,
     "op5_token_count": op5_token_count,
     "op6_packing": op6_packing,
+    "op7_language": op7_language,
     "op8_token_files": op8_token_files,
     "op9_quality": op9_quality,
     "op10_simhash": op10_simhash,
