@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from segloom.llm.decontaminate import UNITS
+
 LINE_DEDUP = r"""
 WITH lines AS (
-    SELECT doc_id, generate_subscripts(parts, 1) AS at, unnest(parts) AS line
+    SELECT doc_id, generate_subscripts(parts, 1) AS pos, unnest(parts) AS line
     FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents)
 ), keyed AS (
     SELECT *, translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
@@ -20,10 +22,80 @@ WITH lines AS (
 SELECT doc_id,
     count(*) AS n_lines,
     count(*) FILTER (WHERE gone) AS n_dropped,
-    sha256(coalesce(string_agg(line, chr(10) ORDER BY at) FILTER (WHERE NOT gone), '')) AS kept_sha256
+    sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '')) AS kept_sha256
 FROM judged GROUP BY doc_id
 """
 
+DECONTAMINATION = r"""
+WITH src AS (
+    SELECT 'd' AS side, doc_id AS id, coalesce(text, '') AS text FROM documents
+    UNION ALL SELECT 'b', item_id, coalesce(text, '') FROM benchmark
+), parts AS (
+    SELECT side, id, string_split(
+        regexp_replace(regexp_replace(regexp_replace(text,
+            '[^\p{L}\p{M}\p{N}.!?: \t\n\x0B\f\r]+', '', 'g'),
+            '[ \t\x0B\f\r]*\n[ \t\n\x0B\f\r]*', '. ', 'g'),
+            '[ \t\x0B\f\r]+', ' ', 'g'), ' ') AS words
+    FROM src
+), raw AS (
+    SELECT side, id, generate_subscripts(words, 1) AS i, unnest(words) AS x FROM parts
+), led AS (
+    SELECT *, coalesce(lag(x) OVER (PARTITION BY side, id ORDER BY i), '') AS before FROM raw
+), typed AS (
+    SELECT side, id, i, lower(rtrim(x, '.!?:')) AS value,
+        CASE WHEN x >= '0' AND x < ':' THEN '<num>'
+            WHEN before >= '0' AND before < ':' AND lower(rtrim(x, '.!?:')) IN (UNITS) THEN '<unit>'
+            WHEN right(before, 1) NOT IN ('', '.', '!', '?', ':') AND lower(substr(x, 1, 1)) <> substr(x, 1, 1)
+                AND upper(substr(x, 2, 1)) <> substr(x, 2, 1) THEN '<name>' END AS kind
+    FROM led
+), tokens AS (
+    SELECT side, id, row_number() OVER (PARTITION BY side, id ORDER BY i) - 1 AS pos,
+        count(*) OVER (PARTITION BY side, id) AS n, kind, value, coalesce(kind, value) AS canon
+    FROM typed WHERE value <> ''
+), runs AS (
+    SELECT side, id, pos, n,
+        list(canon) OVER w AS canons, list(coalesce(kind, '')) OVER w AS kinds, list(value) OVER w AS vals
+    FROM tokens
+    WINDOW w AS (PARTITION BY side, id ORDER BY pos ROWS BETWEEN CURRENT ROW AND 7 FOLLOWING)
+), items AS (
+    SELECT id AS item_id, pos AS item_pos, least(n, 8) AS width, canons[:least(n, 8)] AS run, kinds, vals
+    FROM runs WHERE side = 'b' AND n >= 4 AND pos <= n - least(n, 8)
+), widths AS (
+    SELECT DISTINCT width FROM items
+), texts AS (
+    SELECT id AS doc_id, pos, width, canons[:width] AS run, vals
+    FROM runs, widths WHERE side = 'd' AND pos <= n - width
+), met AS (
+    SELECT doc_id, item_id, item_pos, pos - item_pos AS shift, i.kinds, i.vals AS olds, t.vals AS news, i.width
+    FROM texts t JOIN items i ON t.width = i.width AND t.run = i.run
+), slots AS (
+    SELECT DISTINCT doc_id, item_id, shift, kinds[k] AS kind, olds[k] AS old, news[k] AS new
+    FROM (SELECT *, unnest(range(1, width + 1)) AS k FROM met) WHERE kinds[k] <> ''
+), judged AS (
+    SELECT doc_id, item_id, shift,
+        count(DISTINCT (kind, old)) = count(*) AND count(DISTINCT (kind, new)) = count(*) AS agrees
+    FROM slots GROUP BY ALL
+), counted AS (
+    SELECT m.doc_id, m.item_id, count(DISTINCT item_pos) AS n_windows
+    FROM met m LEFT JOIN judged j ON m.doc_id = j.doc_id AND m.item_id = j.item_id AND m.shift = j.shift
+    WHERE coalesce(j.agrees, true) OR len(list_filter(kinds[:width], lambda k: k <> '')) = 0
+    GROUP BY ALL
+), changed AS (
+    SELECT doc_id, item_id, count(*) AS n_slots, count(*) FILTER (WHERE old <> new) AS n_changed
+    FROM (SELECT DISTINCT s.doc_id, s.item_id, kind, old, new FROM slots s JOIN judged j
+        ON s.doc_id = j.doc_id AND s.item_id = j.item_id AND s.shift = j.shift AND j.agrees)
+    GROUP BY ALL
+), totals AS (
+    SELECT item_id, count(*) AS item_windows FROM items GROUP BY ALL
+)
+SELECT c.doc_id, c.item_id, n_windows, item_windows, n_windows / item_windows AS coverage,
+    coalesce(n_slots, 0) AS n_slots, coalesce(n_changed, 0) AS n_changed
+FROM counted c JOIN totals t ON c.item_id = t.item_id
+LEFT JOIN changed h ON c.doc_id = h.doc_id AND c.item_id = h.item_id
+WHERE n_windows / item_windows >= 0.5
+""".replace("UNITS", ", ".join(f"'{u}'" for u in UNITS))
+
 ORACLE: dict[str, str] = {
+    "op3_decontamination": DECONTAMINATION,
     "op4_line_dedup": LINE_DEDUP,
 }
