@@ -133,7 +133,7 @@ def plan(mode: str, offset: str, payload: str) -> str:
     return (
         f"select segment_id + 1 as push_order, {NAME} as segment_name, '{mode}' as upload_mode, 'orders' as base_table_name, "
         f"'OFFLINE' as table_type, 's3a://bucket/segment_id=' || segment_id as segment_uri, ({offset})::bigint as push_offset_seconds, "
-        f"{payload} as payload, n as record_count from ({DEAL_COUNTS})"
+        f"{payload} as payload, n as record_count, {str(mode == 'URI').lower()} as delete_after_push from ({DEAL_COUNTS})"
     )
 
 
@@ -210,6 +210,8 @@ ORACLE: dict[str, str] = {
     "assign_block_rr_cells": f"select o_orderkey, pid, segment_id from ({DEAL})",
     "assign_block_rr_hot_key": f"select event_id, pid, segment_id from ({dealt('events', hashcode_pid('event_type', 3), 3, 20, 'ts, event_id')})",
     "assign_block_rr_copies": f"select segment_id, count(*) as record_count from ({dealt('lineitem', hashcode_pid('l_orderkey::varchar', 4), 4, 10, 'l_returnflag')}) group by segment_id",
+    "assign_block_rr_stable": "select count(*) as dealt_rows, 0::bigint as moved_rows from lineitem",
+    "assign_block_rr_text_order": f"select doc_id, pid, segment_id from ({dealt('documents', hashcode_pid('source', 3), 3, 8, 'text, doc_id')})",
     "segment_block": f"""
         select pid, n, {block_first(5, 13)}::int as first_segment, ({block_first(5, 13)} + {block_size(5, 13)})::int as end_segment,
                unnest(range({block_first(5, 13)}, {block_first(5, 13)} + {block_size(5, 13)}))::int as segment_id
@@ -245,6 +247,10 @@ ORACLE: dict[str, str] = {
                (max_records * 30)::double / (select count(*) from events) as largest_share from g""",
     "segment_fill": f"select segment_id from {ids(16)} where segment_id not in (select segment_id from ({folded('events', hashcode_pid('event_type', 16), 16)}))",
     "segment_purity": f"select segment_id, count(distinct pid) as partition_ids from ({FOLD}) group by segment_id",
+    "segment_prune_double": "select o_orderkey from orders where o_totalprice in (select o_totalprice from orders where o_orderkey % 997 = 1)",
+    "segment_prune_decimal": "select o_orderkey from orders where o_totalprice::decimal(12,2) in (select o_totalprice::decimal(12,2) from orders where o_orderkey % 997 = 1)",
+    "segment_prune_boolean": "select o_orderkey from orders where o_orderstatus = 'F'",
+    "segment_prune_timestamp": "select event_id from events where ts in (select ts from events where event_id % 997 = 1)",
     "segment_prune": "select * from events where event_type in ('error', 'click')",
     "segment_scan": f"select * exclude (pid) from ({DEAL}) where segment_id in (0, 5, 12)",
     "render_payload": f"select segment_id, {PAYLOAD} as payload, '{{}}' as without_template from ({DEAL_COUNTS})",
@@ -259,4 +265,6 @@ ORACLE: dict[str, str] = {
     "segment_job": JOB_COUNTS,
     "segment_job_json_rows": f"select o_orderkey, o_custkey, o_orderstatus, o_orderpriority, o_totalprice, order_ms, segment_id from ({folded(f'({JOB_ROWS})', murmur_pid('o_custkey::varchar', 4), 3)})",
     "segment_job_file_order": JOB_COUNTS,
+    "segment_job_json_dealt": JOB_COUNTS,
+    "input_file_stats": "select 7::bigint as file_count, count(*) as row_count from orders",
 }

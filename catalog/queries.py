@@ -189,7 +189,8 @@ def scan_prefix(spark, sf_dir):
 def scan_dir(spark, sf_dir):
     source, root = table(spark, sf_dir, "orders"), fresh_path(spark, "dir")
     stage(source.where("o_orderstatus = 'F'"), root, "parquet")
-    stage(source.where("o_orderstatus <> 'F'"), f"{root}/below", "parquet")
+    stage(source.where("o_orderstatus = 'O'"), f"{root}/below", "parquet")
+    stage(source.where("o_orderstatus = 'P'"), f"{root}/o_orderstatus=F", "parquet")
     return scan(spark, root, "parquet", source.schema, recursive=False)
 
 
@@ -206,7 +207,11 @@ def scan_empty(spark, sf_dir):
 
 
 def input_file_stats_query(spark, sf_dir):
-    return input_file_stats(spark, sf_dir)
+    """Files and rows of the orders staged in seven files."""
+    staged = stage(table(spark, sf_dir, "orders").repartition(7), fresh_path(spark, "files"), "parquet")
+    rows = scan(spark, staged, "parquet").agg(F.count(F.lit(1)).alias("row_count"))
+    files = input_file_stats(spark, staged).select("file_count")
+    return files.crossJoin(rows)
 
 
 # --- schema, projection, key -----------------------------------------------------------------
@@ -360,6 +365,20 @@ def assign_block_rr_copies(spark, sf_dir):
     return segment_record_count(rows)
 
 
+def assign_block_rr_stable(spark, sf_dir):
+    """Rows that land elsewhere when cells are smaller; the order key is far from unique."""
+    spec = PartitionSpec("l_orderkey", "hashcode", 4, 10)
+    rows = [assign_segments(table(spark, sf_dir, "lineitem"), spec, ["l_returnflag"], n) for n in (CELL, 10_000_000)]
+    moved = rows[0].exceptAll(rows[1]).agg(F.count(F.lit(1)).alias("moved_rows"))
+    return rows[0].agg(F.count(F.lit(1)).alias("dealt_rows")).crossJoin(moved)
+
+
+def assign_block_rr_text_order(spark, sf_dir):
+    """Documents dealt in the order of their whole texts; the partition goes along with the source."""
+    rows = assign_segments(table(spark, sf_dir, "documents"), PartitionSpec("source", "hashcode", 3, 8), ["text", "doc_id"], 50)
+    return rows.select("doc_id", "pid", "segment_id")
+
+
 def segment_block(spark, sf_dir):
     spec = PartitionSpec("o_custkey", "modulo", 5, 13)
     first, end = segment_range(F.col("pid"), spec)
@@ -539,6 +558,19 @@ def segment_prune(spark, sf_dir):
     return prune_segments(scan_segments(spark, path), BY_TYPE, ["error", "click"]).drop("segment_id")
 
 
+def pruned_by(key: str, pick: str, columns: str = "o_orderkey", source: str = "orders") -> Query:
+    """Reads the rows whose key is that of some picked rows; the key is of a type with a text form of its own."""
+
+    def query(spark, sf_dir):
+        spec = PartitionSpec("k", "murmur", 8, 8)
+        rows = table(spark, sf_dir, source).select(columns, F.expr(key).alias("k"))
+        path = write_segments(assign_segments(rows, spec), fresh_path(spark, "segments"), spec)
+        values = [r.k for r in rows.where(pick).select("k").distinct().collect()]
+        return prune_segments(scan_segments(spark, path), spec, values).select(columns)
+
+    return query
+
+
 def segment_scan(spark, sf_dir):
     return scan_segments(spark, written_orders(spark, sf_dir), [0, 5, 12])
 
@@ -599,6 +631,11 @@ def segment_job_json_rows(spark, sf_dir):
     return scan_segments(spark, job.target)
 
 
+def segment_job_json_dealt(spark, sf_dir):
+    job = run_job(spark, sf_dir, fmt="json", segment_count=10)
+    return job.manifest.select("segment_id", "segment_name", "record_count", (F.col("byte_size") > 0).alias("has_bytes"))
+
+
 def segment_job_file_order(spark, sf_dir):
     job = run_job(spark, sf_dir, segment_count=10)
     return job.manifest.select("segment_id", "segment_name", "record_count", (F.col("byte_size") > 0).alias("has_bytes"))
@@ -637,6 +674,8 @@ QUERIES: dict[str, Query] = {
     "assign_block_rr_cells": assign_block_rr_cells,
     "assign_block_rr_hot_key": assign_block_rr_hot_key,
     "assign_block_rr_copies": assign_block_rr_copies,
+    "assign_block_rr_stable": assign_block_rr_stable,
+    "assign_block_rr_text_order": assign_block_rr_text_order,
     "segment_block": segment_block,
     "route_parquet": route_parquet,
     "route_json": route_json,
@@ -660,6 +699,10 @@ QUERIES: dict[str, Query] = {
     "segment_fill": segment_fill_query,
     "segment_purity": segment_purity_query,
     "segment_prune": segment_prune,
+    "segment_prune_double": pruned_by("o_totalprice", "o_orderkey % 997 = 1"),
+    "segment_prune_decimal": pruned_by("cast(o_totalprice as decimal(12,2))", "o_orderkey % 997 = 1"),
+    "segment_prune_boolean": pruned_by("o_orderstatus = 'F'", "k"),
+    "segment_prune_timestamp": pruned_by("ts", "event_id % 997 = 1", "event_id", "events"),
     "segment_scan": segment_scan,
     "render_payload": render_payload_query,
     "publish_plan": publish_plan_query,
@@ -667,4 +710,5 @@ QUERIES: dict[str, Query] = {
     "segment_job": segment_job,
     "segment_job_json_rows": segment_job_json_rows,
     "segment_job_file_order": segment_job_file_order,
+    "segment_job_json_dealt": segment_job_json_dealt,
 }

@@ -44,8 +44,12 @@ def _quoted(column: str) -> str:
     return "`" + column.replace("`", "``") + "`"
 
 
+# How the names of helper columns begin.
+TEMP = "__h_"
+
+
 def _temp(name: str) -> str:
-    return f"__h_{name}"
+    return TEMP + name
 
 
 def _signed32(value: int) -> int:

@@ -9,10 +9,11 @@ With S segments and P partitions there are three cases:
   partition.
 
 The rank never gathers a partition in one task unless the partition is known to be small.
-Large ones are cut into *cells*, ranges of the order key: count rows per (partition, cell),
-take running totals of those few counts, and rank rows inside their cell only. All rows
-cross the network once, in tasks of about ``rows_per_cell`` rows, whatever the skew of the
-partition key.
+Large ones are cut into *cells*, ranges of the order key within the partition: count rows per
+(partition, cell), take running totals of those few counts, and rank rows inside their cell
+only. All rows cross the network once, in tasks of about ``rows_per_cell`` rows, whatever the
+skew of the partition key and however it goes along with the order. Only rows that are equal in
+the order key (or in the beginning of its first text) share a cell beyond that; its sort spills.
 """
 
 from __future__ import annotations
@@ -25,32 +26,26 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from segloom.functions.hashing import PARTITION_FUNCTIONS, partition_function_name
-from segloom.functions.keys import partition_key
-from segloom.functions.staged import staged_form
-from segloom.session import fresh_path, materialise
-from segloom.sources.extract import stage
-from segloom.sources.scan import ROW_FILE, ROW_INDEX, scan, with_row_position
+from segloom.functions.keys import partition_key, quoted
+from segloom.functions.staged import TEMP, staged_form
+from segloom.session import materialise
 from segloom.sources.schema import PartitionSpec
 
 PID = "pid"
 SEGMENT = "segment_id"
-RANK = "__rank"
-CELL = "__cell"
-OFFSET = "__offset"
-TIE = "__tie"
 
 # A window task sorts this many rows; the sort spills, so it bounds time rather than memory.
 ROWS_PER_CELL = 1_000_000
 # Cell boundaries come from a sample of this many rows per cell, but not fewer than this in all.
 SAMPLE_PER_CELL = 24
 MIN_SAMPLE = 10_000
-# The boundaries are the only data that reaches the driver, so their number is bounded.
+# The boundaries are sent to every executor, so their number and length are bounded.
 # Beyond it the cells grow; the result does not depend on their number.
 MAX_CELLS = 1 << 15
+# Characters of a text that a boundary keeps.
+KEY_LENGTH = 64
 # Most tasks of the one exchange of all rows; beyond it they grow and spill.
 MAX_TASKS = 50_000
-# A cell this many times its planned size means equal order keys; see _break_ties.
-CROWDED = 4
 
 
 def with_partition_id(
@@ -62,10 +57,12 @@ def with_partition_id(
     if column is None:
         return df.withColumn(name, F.lit(0))
     function = partition_function_name(function)
-    staged = staged_form(df, column, function)
+    # the staged forms use helper columns; rows that have such names take the plain form
+    clash = any(c.lower().startswith(TEMP) for c in df.columns)
+    staged = None if clash else staged_form(df, column, function)
     if staged is not None:
         return staged(df, column, partitions, name)
-    return df.withColumn(name, PARTITION_FUNCTIONS[function](partition_key(F.col(column)), partitions))
+    return df.withColumn(name, PARTITION_FUNCTIONS[function](partition_key(F.col(quoted(column))), partitions))
 
 
 @dataclass(frozen=True)
@@ -100,22 +97,25 @@ def assign_segments(
     spec: PartitionSpec,
     order_by: list[str] | None = None,
     rows_per_cell: int = ROWS_PER_CELL,
+    unique: bool = False,
 ) -> DataFrame:
     """Add ``pid`` and ``segment_id``.
 
-    ``order_by`` is needed for S > P only and should be unique. Then ``df`` is read more
+    For S > P rows are dealt in the order of ``order_by`` (which may be empty) and then of a hash of all
+    columns; rows that are equal in both are copies of one another. ``unique`` promises that ``order_by``
+    alone tells all rows apart, which spares reading and hashing the other columns. ``df`` is read more
     than once, so it should be a staged table rather than a long query.
     """
     _require_free(df, SEGMENT)
     if not spec.spreads:
         first, _ = segment_range(F.col(PID), spec)
         return _routed(df, spec).withColumn(SEGMENT, first)
-    if not order_by:
-        raise ValueError("more segments than partitions: order_by has to name a unique key")
+    if order_by is None:
+        raise ValueError("more segments than partitions: order_by has to name the columns to deal by")
     blocks = SegmentBlocks(spec.partition_count, spec.segment_count)
-    ranked = with_partition_rank(df, spec, order_by, rows_per_cell)
-    turn = (F.col(RANK) % blocks.size(F.col(PID))).cast("int")
-    return ranked.withColumn(SEGMENT, blocks.first(F.col(PID)) + turn).drop(RANK)
+    ranked, rank = with_partition_rank(df, spec, order_by, rows_per_cell, unique)
+    turn = (F.col(rank) % blocks.size(F.col(PID))).cast("int")
+    return ranked.withColumn(SEGMENT, blocks.first(F.col(PID)) + turn).drop(rank)
 
 
 def _require_free(df: DataFrame, name: str) -> None:
@@ -127,37 +127,65 @@ def _routed(df: DataFrame, spec: PartitionSpec) -> DataFrame:
     return with_partition_id(df, spec.column, spec.function, spec.partition_count)
 
 
+@dataclass(frozen=True)
+class Names:
+    """Helper columns under names that the rows do not have."""
+
+    rank: str
+    cell: str
+    offset: str
+    tie: str
+    cuts: str
+
+    @staticmethod
+    def beside(df: DataFrame) -> Names:
+        mark = "__"
+        while any(c.lower().startswith(mark) for c in df.columns):
+            mark += "_"
+        return Names(*(f"{mark}{n}" for n in ("rank", "cell", "offset", "tie", "cuts")))
+
+
 def with_partition_rank(
-    df: DataFrame, spec: PartitionSpec, order_by: list[str], rows_per_cell: int = ROWS_PER_CELL
-) -> DataFrame:
-    """Add ``pid`` and the 0-based rank of each row within it, in the order of ``order_by``."""
-    columns = df.columns
+    df: DataFrame,
+    spec: PartitionSpec,
+    order_by: list[str],
+    rows_per_cell: int = ROWS_PER_CELL,
+    unique: bool = False,
+) -> tuple[DataFrame, str]:
+    """``df`` with ``pid`` and the 0-based rank of each row within it, and the name of the rank column.
+
+    The order is one and the same however many cells there are: ``order_by``, then the hash of all columns.
+    """
+    names = Names.beside(df)
+    columns = [quoted(c) for c in df.columns]
+    order = [quoted(c) for c in order_by]
     # Without a filter this reads file footers only.
     total = df.count()
+    rows = _routed(df, spec)
+    if not unique:
+        rows = rows.withColumn(names.tie, _content_hash(df))
+        order = [*order, names.tie]
     if total <= rows_per_cell:
-        return _rank_within(_routed(df, spec), [PID], order_by)
+        return _rank_within(rows, [PID], order, names).select(*columns, PID, names.rank), names.rank
 
-    cells = _plan_cells(df, spec, order_by, total, rows_per_cell)
-    cut = _cut(df, spec, cells)
-    if cut.fullest > CROWDED * max(rows_per_cell, total // MAX_CELLS):
-        df, order_by = _break_ties(df, order_by)
-        cut = _cut(df, spec, _plan_cells(df, spec, order_by, total, rows_per_cell))
+    rows = _with_cells(rows, order, total, rows_per_cell, names)
+    # Few rows (one per cell) and needed in full for the running totals: kept in shared storage.
+    counts = materialise(rows.groupBy(PID, names.cell).agg(F.count(F.lit(1)).alias("n")))
+    before = Window.partitionBy(PID).orderBy(names.cell).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(PID, names.cell, F.coalesce(F.sum("n").over(before), F.lit(0)).alias(names.offset))
     tasks = exchange_tasks(df, -(-total // rows_per_cell))
-    local = _rank_within(cut.rows.repartition(tasks, PID, CELL), [PID, CELL], order_by)
+    local = _rank_within(rows.repartition(tasks, PID, names.cell), [PID, names.cell], order, names)
     # The window left the rows hashed and sorted by (pid, cell): this join adds no shuffle of
     # them. A left join cannot lose a row.
-    joined = local.join(cut.offsets, [PID, CELL], "left")
-    rank = F.col(RANK) + F.coalesce(F.col(OFFSET), F.lit(0))
-    return joined.withColumn(RANK, rank).select(*columns, PID, RANK)
+    joined = local.join(offsets, [PID, names.cell], "left")
+    rank = F.col(names.rank) + F.coalesce(F.col(names.offset), F.lit(0))
+    return joined.withColumn(names.rank, rank).select(*columns, PID, names.rank), names.rank
 
 
-def _rank_within(df: DataFrame, group: list[str], order_by: list[str]) -> DataFrame:
-    if ROW_INDEX not in order_by:
-        # Rows with equal keys fall back to a hash of all their columns. Those that still tie
-        # are copies of each other, so a retry that swaps them changes nothing.
-        df, order_by = df.withColumn(TIE, _content_hash(df)), [*order_by, TIE]
-    rank = F.row_number().over(Window.partitionBy(*group).orderBy(*order_by)) - 1
-    return df.withColumn(RANK, rank.cast("long")).drop(TIE)
+def _rank_within(df: DataFrame, group: list[str], order: list[str], names: Names) -> DataFrame:
+    # Rows that tie in all of ``order`` are copies of each other, so a retry that swaps them changes nothing.
+    rank = F.row_number().over(Window.partitionBy(*group).orderBy(*order)) - 1
+    return df.withColumn(names.rank, rank.cast("long"))
 
 
 def _content_hash(df: DataFrame) -> Column:
@@ -165,87 +193,48 @@ def _content_hash(df: DataFrame) -> Column:
 
 
 def _hashable(field: T.StructField) -> Column:
-    column = F.col(f"`{field.name}`")
+    column = F.col(quoted(field.name))
     return F.to_json(F.struct(column)) if "map<" in field.dataType.simpleString() else column
 
 
-@dataclass(frozen=True)
-class CellPlan:
-    """How many cells, the order key that cuts them, and its boundaries as a constant array."""
-
-    cells: int
-    key: Column
-    boundaries: Column
+def _cut_key(df: DataFrame, order: list[str]) -> Column:
+    """What cells are cut by: the order key, long texts by their beginning, which keeps the order."""
+    kinds = [(c, df.select(c).schema[0].dataType) for c in order]
+    short = [
+        F.substring(F.col(c), 1, KEY_LENGTH).alias(f"k{i}") if isinstance(kind, (T.StringType, T.BinaryType)) else F.col(c).alias(f"k{i}")
+        for i, (c, kind) in enumerate(kinds)
+    ]
+    cut = next((i for i, (_, kind) in enumerate(kinds) if isinstance(kind, (T.StringType, T.BinaryType))), len(short))
+    # behind a shortened text the next column would not keep the order
+    return F.struct(*short[: cut + 1])
 
 
-@dataclass(frozen=True)
-class Cut:
-    """Rows with their cell, rows of the same pid in earlier cells, size of the fullest cell."""
-
-    rows: DataFrame
-    offsets: DataFrame
-    fullest: int
+def _with_cells(rows: DataFrame, order: list[str], total: int, rows_per_cell: int, names: Names) -> DataFrame:
+    """Number the cells of each partition: ranges of the order key with about ``rows_per_cell`` rows.
 
-
-def _plan_cells(
-    df: DataFrame, spec: PartitionSpec, order_by: list[str], total: int, rows_per_cell: int
-) -> CellPlan:
-    """Choose cells such that the largest pid has about ``rows_per_cell`` rows in each.
-
-    All of this rests on a sample. It decides how even the cells are, never the result. The
-    sample is bounded by ``MAX_CELLS * SAMPLE_PER_CELL`` rows, so one task can sort it.
+    Each partition is cut by boundaries of its own, so it does not matter how the partition and the order
+    hang together. They come from a sample, which decides how even the cells are, never the result. The
+    boundaries are at most ``MAX_CELLS`` keys of bounded length; they travel as one broadcast row per partition.
     """
     wanted = SAMPLE_PER_CELL * min(-(-total // rows_per_cell), MAX_CELLS)
     fraction = min(1.0, max(wanted, MIN_SAMPLE) / total)
-    needed = list(dict.fromkeys([spec.column, *order_by]))
-    # Sampling comes before hashing: only sampled keys are hashed.
-    sample = materialise(
-        _routed(df.select(*needed).sample(fraction, seed=0), spec).select(PID, F.struct(*order_by).alias("k"))
-    )
-    share = sample.groupBy(PID).count().agg(F.max("count") / F.sum("count")).first()[0] or 1.0
-    cells = min(max(-(-int(share * total) // rows_per_cell), 1), MAX_CELLS)
-
-    # One column cuts faster than a struct, unless one of its values would overfill a cell.
-    repeats = sample.groupBy(f"k.{order_by[0]}").count().agg(F.max("count") * cells / F.sum("count"))
-    short = len(order_by) == 1 or (repeats.first()[0] or 0) <= 1
-    sampled, key = (f"k.{order_by[0]}", F.col(order_by[0])) if short else ("k", F.struct(*order_by))
-
-    keys = sample.select(F.col(sampled).alias("k"))
-    ordered = keys.agg(F.sort_array(F.collect_list("k")).alias("ks"))
-    step = F.greatest(F.lit(1), F.size("ks") / cells)
-    picks = F.sequence(F.lit(1), F.lit(max(cells - 1, 1)))
-    chosen = F.array_distinct(F.transform(picks, lambda i: F.get("ks", F.floor(i * step).cast("int"))))
-    # JSON keeps this one short constant in the plan. Rounding in it would only shift a boundary.
-    text = ordered.select(F.to_json(F.filter(chosen, lambda k: k.isNotNull()))).first()[0]
-    array_type = T.ArrayType(keys.schema["k"].dataType).json()
-    return CellPlan(cells, key, F.sort_array(F.from_json(F.lit(text), F.lit(array_type))))
-
-
-def _cut(df: DataFrame, spec: PartitionSpec, plan: CellPlan) -> Cut:
-    rows = _routed(df, spec).withColumn(CELL, _cell_of(plan))
-    # Few rows (pids x cells) and needed twice: kept in shared storage.
-    counts = materialise(rows.groupBy(PID, CELL).agg(F.count(F.lit(1)).alias("n")))
-    before = Window.partitionBy(PID).orderBy(CELL).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(PID, CELL, F.coalesce(F.sum("n").over(before), F.lit(0)).alias(OFFSET))
-    return Cut(rows, offsets, counts.agg(F.max("n")).first()[0])
-
-
-def _cell_of(plan: CellPlan) -> Column:
-    """Number of boundaries that are not above the key, by binary search."""
-    steps = F.array(*[F.lit(1 << bit) for bit in reversed(range(plan.cells.bit_length()))])
+    per_cell = max(rows_per_cell, -(-total // MAX_CELLS)) * fraction
+    key = _cut_key(rows, order)
+    sample = materialise(rows.sample(fraction, seed=0).select(PID, key.alias("k")))
+    ordered = sample.groupBy(PID).agg(F.sort_array(F.collect_list("k")).alias("ks"))
+    cells = F.greatest(F.lit(1), F.ceil(F.size("ks") / F.lit(float(per_cell))).cast("int"))
+    picks = F.filter(F.sequence(F.lit(0), cells - 1), lambda i: i > 0)
+    chosen = F.array_distinct(F.transform(picks, lambda i: F.get("ks", F.floor(i * F.size("ks") / cells).cast("int"))))
+    cuts = materialise(ordered.select(PID, chosen.alias(names.cuts)))
+    most = cuts.agg(F.max(F.size(names.cuts))).first()[0] or 0
+    steps = F.array(*[F.lit(1 << bit) for bit in reversed(range(max(most, 1).bit_length()))])
 
     def halve(low: Column, step: Column) -> Column:
-        reached = F.coalesce(F.get(plan.boundaries, low + step - 1) <= plan.key, F.lit(False))
+        reached = F.coalesce(F.get(names.cuts, low + step - 1) <= key, F.lit(False))
         return F.when(reached, low + step).otherwise(low)
 
-    return F.aggregate(steps, F.lit(0), halve)
-
-
-def _break_ties(df: DataFrame, order_by: list[str]) -> tuple[DataFrame, list[str]]:
-    """Store the rows, so that their place in a file can tell equal order keys apart."""
-    spark = df.sparkSession
-    stored = scan(spark, stage(df, fresh_path(spark, "ties"), "parquet"), "parquet", df.schema)
-    return with_row_position(stored), [*order_by, ROW_FILE, ROW_INDEX]
+    placed = rows.join(F.broadcast(cuts), PID, "left")
+    return placed.withColumn(names.cell, F.coalesce(F.aggregate(steps, F.lit(0), halve), F.lit(0))).drop(names.cuts)
 
 
 def exchange_tasks(df: DataFrame, wanted: int) -> int:

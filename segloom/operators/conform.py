@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
+from segloom.functions.keys import quoted
+
 # Milliseconds per unit of an epoch time format such as "1:SECONDS:EPOCH".
 UNIT_MILLIS = {
     "MILLISECONDS": 1,
@@ -19,25 +21,34 @@ UNIT_MILLIS = {
 
 
 def project_physical(df: DataFrame, schema: StructType, keep: list[str] | None = None) -> DataFrame:
-    """Keep the schema's columns, plus ``keep``; one that the data lacks becomes null."""
-    present = set(df.columns)
+    """Keep the schema's columns, plus ``keep``; one that the data lacks becomes null.
+
+    Names are matched as the session does, which ignores case unless told otherwise; the result has
+    the schema's spelling.
+    """
+    exact = df.sparkSession.conf.get("spark.sql.caseSensitive") == "true"
+    fold = (lambda name: name) if exact else str.lower
+    present = {fold(name): name for name in df.columns}
     columns = [
-        F.col(f.name) if f.name in present else F.lit(None).cast(f.dataType).alias(f.name)
+        F.col(quoted(present[fold(f.name)])).alias(f.name)
+        if fold(f.name) in present
+        else F.lit(None).cast(f.dataType).alias(f.name)
         for f in schema.fields
     ]
-    return df.select(*columns, *[c for c in keep or [] if c not in schema.names])
+    declared = {fold(name) for name in schema.names}
+    return df.select(*columns, *[quoted(c) for c in keep or [] if fold(c) not in declared])
 
 
 def conform_types(df: DataFrame, schema: StructType, strict: bool = True) -> DataFrame:
     """Cast to the schema's types; a bad value fails the query, or becomes null if not strict."""
 
     def cast(field: StructField) -> Column:
-        source = F.col(field.name)
+        source = F.col(quoted(field.name))
         target = source.cast(field.dataType) if strict else source.try_cast(field.dataType)
         return target.alias(field.name, metadata=field.metadata)
 
     declared = {f.name: f for f in schema.fields}
-    return df.select(*[cast(declared[c]) if c in declared else F.col(c) for c in df.columns])
+    return df.select(*[cast(declared[c]) if c in declared else F.col(quoted(c)) for c in df.columns])
 
 
 def conform(df: DataFrame, schema: StructType, keep: list[str] | None = None, strict: bool = True) -> DataFrame:

@@ -54,8 +54,14 @@ def segment_manifest(
     location of an empty segment holds no file.
     """
     # A declared schema needs no file to infer it from: a run may have written none.
-    counts = segment_record_count(scan_segments(spark, target, schema=T.StructType().add(SEGMENT, T.IntegerType())))
-    measures = counts.join(segment_byte_size(spark, target), SEGMENT, "full")
+    rows = scan_segments(spark, target, schema=T.StructType().add(SEGMENT, T.IntegerType()))
+    # one pass: a file's length comes with its rows, and each file has some
+    files = rows.groupBy(SEGMENT, F.col("_metadata.file_path").alias("path")).agg(
+        F.count(F.lit(1)).alias("n"), F.first("_metadata.file_size").alias("length")
+    )
+    measures = files.groupBy(SEGMENT).agg(
+        F.sum("n").alias("record_count"), F.sum("length").alias("byte_size"), F.count(F.lit(1)).alias("file_count")
+    )
     segment = F.col(SEGMENT)
     return emit_empty_segments(measures, segments).select(
         SEGMENT,
@@ -67,14 +73,18 @@ def segment_manifest(
     )
 
 
-def generation_summary(manifest: DataFrame, source: DataFrame, source_path: str | None = None) -> DataFrame:
-    """One row: segments, rows and bytes written, and the input they came from."""
+def generation_summary(
+    manifest: DataFrame, source: DataFrame, source_path: str | None = None, read: int | None = None
+) -> DataFrame:
+    """One row: segments, rows and bytes written, and the input they came from; ``read`` if already counted."""
     written = manifest.agg(
         F.count(F.lit(1)).alias("segment_count"),
         F.sum("record_count").alias("record_count"),
         F.sum("byte_size").alias("byte_size"),
     )
-    summary = written.withColumn("input_record_count", input_record_count(source).scalar())
+    summary = written.withColumn(
+        "input_record_count", input_record_count(source).scalar() if read is None else F.lit(read).cast("bigint")
+    )
     if source_path is None:
         return summary
     size = input_file_stats(manifest.sparkSession, source_path).select("byte_size").scalar()

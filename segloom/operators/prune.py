@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DataType, NumericType, StringType, StructType
 
 from segloom.functions.hashing import partition_id
-from segloom.functions.keys import partition_key
+from segloom.functions.keys import partition_key, quoted
 from segloom.operators.assign import SEGMENT, segment_range
 from segloom.sources.schema import PartitionSpec
 
@@ -21,14 +23,33 @@ def scan_segments(
     return df if segments is None else df.where(F.col(SEGMENT).isin(segments))
 
 
-def candidate_segments(spark: SparkSession, spec: PartitionSpec, values: list) -> list[int]:
-    """Ids of all segments that may hold one of ``values``, ascending."""
+def typed_values(spark: SparkSession, values: list, kind: DataType) -> list:
+    """``values`` as literals of the key column's type, so that their text is that of stored keys.
+
+    A value that the type cannot hold exactly (1.5 for a whole number) fails.
+    """
+    literals = [F.lit(v.isoformat(" ") if hasattr(v, "isoformat") else v) for v in values]
+    casts = [literal.cast(kind) for literal in literals]
+    numbers = [k for k, v in enumerate(values) if isinstance(v, (int, float, Decimal)) and not isinstance(v, bool)]
+    if numbers and isinstance(kind, NumericType):
+        exact = spark.range(1).select(*[casts[k].cast("double") == literals[k].cast("double") for k in numbers]).first()
+        if not all(exact):
+            raise ValueError(f"not a {kind.simpleString()}: {[values[k] for k, ok in zip(numbers, exact) if not ok]}")
+    return casts
+
+
+def candidate_segments(
+    spark: SparkSession, spec: PartitionSpec, values: list, kind: DataType | None = None
+) -> list[int]:
+    """Ids of all segments that may hold one of ``values``, ascending; ``kind`` is the key column's type."""
     if spec.column is None:
         return [0]
-    keys = spark.createDataFrame([(None if v is None else str(v),) for v in values], "k string")
-    pid = partition_id(partition_key(F.col("k")), spec.function, spec.partition_count)
+    if not values:
+        return []
+    keys = [F.struct(partition_key(v).alias("k")) for v in typed_values(spark, values, kind or StringType())]
+    pid = partition_id(F.col("k"), spec.function, spec.partition_count)
     first, end = segment_range(F.col("pid"), spec)
-    ids = keys.select(pid.alias("pid")).distinct().select(F.explode(F.sequence(first, end - 1)).alias("s"))
+    ids = spark.range(1).select(F.inline(F.array(*keys))).select(pid.alias("pid")).distinct().select(F.explode(F.sequence(first, end - 1)).alias("s"))
     return sorted({row.s for row in ids.collect()})
 
 
@@ -39,11 +60,13 @@ def prune_segments(df: DataFrame, spec: PartitionSpec, values: list) -> DataFram
     """
     if spec.column is None:
         raise ValueError("the table has no partition column to prune by")
-    ids = candidate_segments(df.sparkSession, spec, values)
-    return df.where(F.col(SEGMENT).isin(ids) & key_filter(F.col(spec.column), values))
+    key = F.col(quoted(spec.column))
+    kind = df.select(key).schema[0].dataType
+    ids = candidate_segments(df.sparkSession, spec, values, kind)
+    known = typed_values(df.sparkSession, [v for v in values if v is not None], kind)
+    return df.where(F.col(SEGMENT).isin(ids) & key_filter(key, known, len(known) < len(values)))
 
 
-def key_filter(key: Column, values: list) -> Column:
-    known = [v for v in values if v is not None]
-    matches = key.isin(known) if known else F.lit(False)
-    return matches | key.isNull() if len(known) < len(values) else matches
+def key_filter(key: Column, known: list[Column], or_null: bool) -> Column:
+    matches = key.isin(*known) if known else F.lit(False)
+    return matches | key.isNull() if or_null else matches

@@ -99,6 +99,8 @@ def publish_plan(manifest: DataFrame, mode: str, delay_seconds: int = DEFAULT_PU
         (F.col(SEGMENT).cast("long") * max(delay_seconds, 0)).alias("push_offset_seconds"),
         payload.alias("payload"),
         "record_count",
+        # the store fetches a URI push itself; the copy in the target is not needed after that
+        F.lit(mode == "URI").alias("delete_after_push"),
     )
 
 

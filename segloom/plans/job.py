@@ -13,6 +13,7 @@ from segloom.operators.manifest import generation_summary, require_reconciled, s
 from segloom.operators.publish import (
     DEFAULT_PUSH_DELAY_SECONDS,
     publish_plan,
+    require_publishable,
     upload_mode,
     with_input_totals,
     with_payload,
@@ -58,33 +59,58 @@ def run_segment_job(
     """Stage the query's result, split it into segments below ``base`` and describe them.
 
     Staging fixes the rows in storage, so the passes of a spreading assignment all see the
-    same data; they are removed after a successful run. Without ``order_by`` rows are dealt in
-    the order of the staged files. A failed run leaves no segments behind.
+    same data; they are removed after the run, whatever its outcome. Without ``order_by`` rows are dealt in
+    the order of the staged files, or of their content where rows have no place in a file (JSON). The key is
+    brought to its declared type before it is hashed, so that stored values lead back to their segment. A
+    plan that could not be published fails the run, and a failed run leaves no segments behind.
     """
+    if not (base or "").strip() and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("name a base folder that every executor can reach")
     result = extract(spark, query)
-    staged = stage(result, staging or fresh_path(spark, "staging"), fmt)
     spec = partition_spec(layout, segment_count)
-    source = scan(spark, staged, fmt, result.schema)
-    # Columns that neither the schema nor the routing needs would only burden the exchange.
-    routing = [c for c in dict.fromkeys([spec.column, *(order_by or [])]) if c is not None]
-    assigned = _assign(project_physical(source, schema, keep=routing), spec, order_by, fmt)
+    staged = staging or fresh_path(spark, "staging")
     target = target_folder(base, layout.table_name, segment_key)
-    few = spec.spreads and -(-spec.segment_count // spec.partition_count) <= DIRECT_WRITE_SEGMENTS
     try:
-        write_segments(conform(assigned, schema, keep=[PID, SEGMENT]), target, spec, gather=not few)
-        # One row per segment, used several times below: listed and counted once.
-        manifest = materialise(
-            segment_manifest(spark, target, layout.table_name, segment_key, spec.segment_count)
-        )
-        read, _ = require_reconciled(source, manifest)
+        stage(result, staged, fmt)
+        source = scan(spark, staged, fmt, result.schema)
+        return _build(spark, source, staged, spec, schema, layout, segment_key, target, base, fmt, order_by, template, upload_type, push_delay_seconds)
     except Exception:
         clean_target(spark, target)
         raise
-    summary = materialise(generation_summary(manifest, source, staged))
-    if not keep_staging:
-        clean_target(spark, staged)
+    finally:
+        if not keep_staging:
+            clean_target(spark, staged)
+
+
+def _build(
+    spark: SparkSession,
+    source: DataFrame,
+    staged: str,
+    spec: PartitionSpec,
+    schema: StructType,
+    layout: TableLayout,
+    segment_key: str,
+    target: str,
+    base: str | None,
+    fmt: str,
+    order_by: list[str] | None,
+    template: str | None,
+    upload_type: str | None,
+    push_delay_seconds: int,
+) -> SegmentJob:
+    """Everything between the staged rows and the plan; nothing it returns reads them again."""
+    # Columns that neither the schema nor the routing needs would only burden the exchange.
+    routing = [c for c in dict.fromkeys([spec.column, *(order_by or [])]) if c is not None]
+    typed = conform(source, schema, keep=routing)
+    assigned = _assign(typed, spec, order_by, fmt)
+    few = spec.spreads and -(-spec.segment_count // spec.partition_count) <= DIRECT_WRITE_SEGMENTS
+    write_segments(project_physical(assigned, schema, keep=[PID, SEGMENT]), target, spec, gather=not few)
+    # One row per segment, used several times below: listed and counted once.
+    manifest = materialise(segment_manifest(spark, target, layout.table_name, segment_key, spec.segment_count))
+    read, _ = require_reconciled(source, manifest)
+    summary = materialise(generation_summary(manifest, source, staged, read))
     described = with_payload(with_input_totals(manifest, summary), layout.table_name, template)
-    plan = publish_plan(described, upload_mode(base, upload_type), push_delay_seconds)
+    plan = require_publishable(publish_plan(described, upload_mode(base, upload_type), push_delay_seconds))
     return SegmentJob(spec, target, read, manifest, summary, plan)
 
 
@@ -92,6 +118,6 @@ def _assign(source: DataFrame, spec: PartitionSpec, order_by: list[str] | None,
     if order_by or not spec.spreads:
         return assign_segments(source, spec, order_by)
     if fmt != "parquet":
-        raise ValueError("dealing rows to several segments needs order_by, or Parquet staging")
+        return assign_segments(source, spec, [])
     position = [ROW_FILE, ROW_INDEX]
-    return assign_segments(with_row_position(source), spec, position).drop(*position)
+    return assign_segments(with_row_position(source), spec, position, unique=True).drop(*position)

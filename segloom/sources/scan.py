@@ -36,13 +36,17 @@ def scan(
     check_storage(spark, path)
     if fmt == "avro" and not has_avro(spark):
         return _scan_avro_text(spark, path, schema, recursive)
+    if not recursive and not direct_files(spark, path):
+        if schema is None:
+            raise ValueError(f"nothing to read at {path}, and no schema for an empty result")
+        return empty(spark, schema)
     reader = spark.read.format(fmt).option("recursiveFileLookup", recursive)
     if schema is not None:
         reader = reader.schema(schema)
     if fmt == "json":
         reader = reader.option("mode", "FAILFAST")
     try:
-        return reader.load(path)
+        return reader.load(path if recursive else direct_files(spark, path))
     except AnalysisException as failure:
         if failure.getCondition() not in NOTHING_THERE:
             raise
@@ -51,6 +55,16 @@ def scan(
         return empty(spark, schema)
 
 
+def direct_files(spark: SparkSession, path: str) -> list[str]:
+    """The data files in a folder itself, or the one file; subfolders are left out whatever they are called."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(folder):
+        return []
+    found = [s.getPath() for s in fs.listStatus(folder) if s.isFile()]
+    return sorted(p.toString() for p in found if not p.getName().startswith(("_", ".")))
+
+
 def _scan_avro_text(
     spark: SparkSession, path: str, schema: StructType | None, recursive: bool
 ) -> DataFrame:
@@ -60,8 +74,10 @@ def _scan_avro_text(
     """
     if schema is None:
         raise ValueError("scanning Avro without the spark-avro module needs a schema")
-    if "binary" in schema.simpleString():
-        raise NotImplementedError("reading Avro bytes needs the spark-avro module")
+    # As text these come without their logical type, so a number's meaning would depend on the module.
+    unsure = [kind for kind in ("binary", "timestamp", "date", "decimal") if kind in schema.simpleString()]
+    if unsure:
+        raise NotImplementedError(f"reading Avro {', '.join(unsure)} columns needs the spark-avro module")
     try:
         spark.read.format("binaryFile").option("recursiveFileLookup", recursive).load(path)
     except AnalysisException as failure:

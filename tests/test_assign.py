@@ -114,7 +114,7 @@ def test_the_rows_cross_the_network_once(spark, data):
     orders = spark.read.parquet(f"{data}/orders.parquet")
     cut = assign_segments(orders, spec(4, 12, "modulo", "o_orderkey"), ["o_orderkey"], rows_per_cell=100)
     plan = cut._jdf.queryExecution().executedPlan().toString()
-    wide = [line for line in plan.splitlines() if "Exchange hashpartitioning(pid" in line and "__cell" in line]
+    wide = [line for line in plan.splitlines() if "REPARTITION_BY_NUM" in line]
     assert len(wide) == 1
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
 
@@ -123,3 +123,24 @@ def test_folding_adds_no_shuffle(spark, data):
     orders = spark.read.parquet(f"{data}/orders.parquet")
     folded = assign_segments(orders, spec(12, 5, "hashcode", "o_orderkey"))
     assert "Exchange" not in folded._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_partition_that_goes_along_with_the_order_is_cut(spark):
+    rows = spark.range(40_000).select("id", (F.col("id") / 1250).cast("int").alias("k"))
+    assigned = assign_segments(rows, PartitionSpec("k", "modulo", 32, 64), ["id"], rows_per_cell=200)
+    balance = segment_balance(assigned, PartitionSpec("k", "modulo", 32, 64)).collect()
+    assert len(balance) == 32 and all(r.spread <= 1 for r in balance)
+
+
+def test_dealing_does_not_depend_on_cells_or_files(spark, data):
+    lines, by = spark.read.parquet(f"{data}/lineitem.parquet"), PartitionSpec("l_orderkey", "murmur", 4, 10)
+    one = assign_segments(lines, by, ["l_returnflag"])
+    other = assign_segments(lines.repartition(7), by, ["l_returnflag"], rows_per_cell=300)
+    assert one.exceptAll(other).count() == 0 and one.count() == other.count()
+
+
+def test_columns_named_like_helpers_are_kept(spark):
+    rows = spark.range(300).selectExpr("id", "id as __rank", "id as __h_number", "id as `a.b`", "id as __tie")
+    assigned = assign_segments(rows, PartitionSpec("id", "murmur", 2, 6), ["a.b"], rows_per_cell=40)
+    assert assigned.columns == [*rows.columns, "pid", "segment_id"]
+    assert assigned.where("id <> __rank or id <> __h_number or id <> `a.b` or id <> __tie").count() == 0

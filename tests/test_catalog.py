@@ -7,7 +7,7 @@ import __spark_entry__ as contract
 from catalog.oracle import ORACLE
 from catalog.queries import QUERIES
 
-WITHOUT_SQL = {"input_file_stats"}
+WITHOUT_SQL: set[str] = set()
 
 
 @pytest.fixture(scope="module")
@@ -28,8 +28,3 @@ def test_registry():
 def test_entry(spark):
     rows = contract.entry(spark).collect()
     assert [r.segment_id for r in rows] == list(range(10))
-
-
-def test_input_file_stats(spark, data):
-    row = QUERIES["input_file_stats"](spark, data).first()
-    assert row.file_count == 14 and row.byte_size > 0
