@@ -124,8 +124,8 @@ JOB_COUNTS = (
 )
 DEAL_COUNTS = f"select segment_id, count(*) as n from ({DEAL}) group by segment_id"
 PAYLOAD = (
-    "'{\"input_record_count\": ' || (select count(*) from orders) || ', \"table\": \"" + TABLE + "\", \"segment\": \"' || "
-    + NAME + " || '\", \"output_record_count\": ' || n || '}'"
+    "'{\"part\": \"' || " + NAME + " || '\", \"of\": \"" + TABLE + "\", \"rows\": ' || n || "
+    "', \"all_rows\": ' || (select count(*) from orders) || '}'"
 )
 
 

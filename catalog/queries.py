@@ -578,8 +578,7 @@ def segment_scan(spark, sf_dir):
 # --- payload and publish plan ----------------------------------------------------------------
 
 TEMPLATE = (
-    '{"input_record_count": ${inputRecordCount}, "table": "${tableName}", '
-    '"segment": "${segmentName}", "output_record_count": ${ outputRecordCount }}'
+    '{"part": "${segmentName}", "of": "${tableName}", "rows": ${ outputRecordCount }, "all_rows": ${inputRecordCount}}'
 )
 
 

@@ -47,13 +47,12 @@ def column(spark, values, kind):
 @pytest.mark.parametrize(
     "value, partitions, expected",
     [
-        ("alpha", 5, 3),
-        ("bravo", 5, 3),
-        ("charlie", 7, 6),
-        ("delta", 7, 1),
-        ("echo", 3, 1),
-        ("foxtrot", 10, 2),
-        ("polygenelubricants", 9, 0),
+        ("maple", 5, 2),
+        ("juniper", 7, 0),
+        ("hazel", 3, 1),
+        ("rowan", 10, 1),
+        ("alder", 7, 1),
+        ("polygenelubricants", 9, 0),  # fixed value: the well-known text whose hash is the least integer
         ("anything", 1, 0),
     ],
 )

@@ -185,20 +185,20 @@ def test_pruning_to_null_and_numbers(spark):
 
 
 def small_table(spark, values, name="rows_to_load"):
-    spark.createDataFrame(values, "id string, name string, value long, ts long").createOrReplaceTempView(name)
+    spark.createDataFrame(values, "vessel string, port string, cargo long, sailed long").createOrReplaceTempView(name)
     return f"SELECT * FROM {name}"
 
 
-SET_A = [("a", "Alice", 100, 1700000000000), ("b", "Bob", 200, 1700000000000)]
-SET_B = [(k, k.upper(), i + 1, 1700000000000) for i, k in enumerate("abcd")]
+SET_A = [("Ada", "Turku", 31, 946_684_800), ("Dora", "Riga", 58, 946_771_200)]
+SET_B = [(vessel, f"port {i}", 7 * i, 946_684_800 + i) for i, vessel in enumerate(("Ada", "Dora", "Elsa", "Juno"))]
 
 
 @pytest.mark.parametrize("fmt", ["json", "parquet"])
 def test_job_without_partitioning(spark, fmt):
     query = small_table(spark, SET_A)
-    job = run_segment_job(spark, query, load_schema(SCHEMA), load_layout(json.dumps(PLAIN)), "12345", fresh_path(spark, "job"), fmt)
+    job = run_segment_job(spark, query, load_schema(SCHEMA), load_layout(json.dumps(PLAIN)), "spring", fresh_path(spark, "job"), fmt)
     manifest = job.manifest.collect()
-    assert [(r.segment_name, r.record_count) for r in manifest] == [("test_table_OFFLINE_12345_0", 2)]
+    assert [(r.segment_name, r.record_count) for r in manifest] == [("voyages_OFFLINE_spring_0", 2)]
     assert job.input_record_count == 2 and job.summary.first().input_byte_size > 0
     assert sorted(tuple(r)[:4] for r in scan_segments(spark, job.target).collect()) == SET_A
 
@@ -228,7 +228,7 @@ def test_job_deals_rows_in_file_order(spark):
     counts = [r.record_count for r in job.manifest.orderBy("segment_id").collect()]
     assert sum(counts) == 100
     assert max(counts[:3]) - min(counts[:3]) <= 1 and max(counts[3:]) - min(counts[3:]) <= 1
-    assert scan_segments(spark, job.target).columns == ["id", "name", "value", "ts", "segment_id"]
+    assert scan_segments(spark, job.target).columns == ["vessel", "port", "cargo", "sailed", "segment_id"]
 
 
 def test_job_on_json_deals_by_content(spark):
@@ -259,11 +259,11 @@ def test_pruning_refuses_values_the_key_cannot_hold(spark):
 
 
 def test_job_routes_on_a_column_outside_the_schema(spark):
-    spark.createDataFrame([(i, str(i)) for i in range(50)], "value long, id string").createOrReplaceTempView("outside")
-    schema = load_schema(json.dumps({"metricFieldSpecs": [{"name": "value", "dataType": "LONG"}]}))
+    spark.createDataFrame([(i, str(i)) for i in range(50)], "cargo long, vessel string").createOrReplaceTempView("outside")
+    schema = load_schema(json.dumps({"metricFieldSpecs": [{"name": "cargo", "dataType": "LONG"}]}))
     job = run_segment_job(spark, "SELECT * FROM outside", schema, load_layout(json.dumps(PARTITIONED)), "1", fresh_path(spark, "job"), "json")
     assert all(r.record_count > 0 for r in job.manifest.collect())
-    assert scan_segments(spark, job.target).columns == ["value", "segment_id"]
+    assert scan_segments(spark, job.target).columns == ["cargo", "segment_id"]
 
 
 def test_job_plan_for_a_local_target(spark):
@@ -271,7 +271,7 @@ def test_job_plan_for_a_local_target(spark):
     job = run_segment_job(spark, query, load_schema(SCHEMA), load_layout(json.dumps(PARTITIONED)), "1", fresh_path(spark, "job"), push_delay_seconds=7)
     plan = job.plan.orderBy("push_order").collect()
     assert [(r.push_order, r.upload_mode, r.push_offset_seconds, r.payload) for r in plan] == [(1, "FILE", 0, None), (2, "FILE", 7, None)]
-    assert {(r.base_table_name, r.table_type) for r in plan} == {("test_table", "OFFLINE")}
+    assert {(r.base_table_name, r.table_type) for r in plan} == {("voyages", "OFFLINE")}
 
 
 @pytest.mark.parametrize("keep, left", [(False, 0), (True, 2)])
@@ -288,7 +288,7 @@ def test_job_removes_its_staging(spark, keep, left):
 
 def test_failed_job_leaves_no_segments(spark):
     base = fresh_path(spark, "job")
-    spark.createDataFrame([("a", "x"), ("b", "12")], "id string, value string").createOrReplaceTempView("bad_values")
+    spark.createDataFrame([("a", "x"), ("b", "12")], "vessel string, cargo string").createOrReplaceTempView("bad_values")
     with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
         run_segment_job(spark, "SELECT * FROM bad_values", load_schema(SCHEMA), load_layout(json.dumps(PLAIN)), "1", base)
     assert scan(spark, base, "parquet", load_schema(SCHEMA)).count() == 0
