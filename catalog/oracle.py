@@ -166,7 +166,7 @@ ORACLE: dict[str, str] = {
         where o_orderpriority <> '5-LOW' group by n_name, o_orderstatus""",
     "stage_json": "select * replace (nullif(event_type, 'error') as event_type) from events",
     "stage_json_text": "select * from documents",
-    "stage_json_nested": "select vec_id, label, len(embedding)::int as dims, embedding[1]::double as first from embeddings",
+    "stage_json_nested": "select vec_id, label, (generate_subscripts(embedding, 1) - 1)::int as place, unnest(embedding)::double as x from embeddings",
     "stage_parquet": "select * from orders",
     "format_dispatch": formats(),
     "scan_json": "select o_orderkey, o_orderstatus, null::varchar as o_clerk from orders",
@@ -263,6 +263,7 @@ ORACLE: dict[str, str] = {
                case r when 1 then 'no remote location' else 'location is not remote' end as problem from p where r in (1, 2)
         union all select segment_id + 1, segment_name, 'FILE', 'no local path' from p where r = 1""",
     "segment_job": JOB_COUNTS,
+    "segment_job_rows": f"select o_orderkey, o_custkey, o_orderstatus, o_orderpriority, o_totalprice, order_ms, segment_id from ({dealt(f'({JOB_ROWS})', murmur_pid('o_custkey::varchar', 4), 4, 10, 'o_orderkey')})",
     "segment_job_json_rows": f"select o_orderkey, o_custkey, o_orderstatus, o_orderpriority, o_totalprice, order_ms, segment_id from ({folded(f'({JOB_ROWS})', murmur_pid('o_custkey::varchar', 4), 3)})",
     "segment_job_file_order": JOB_COUNTS,
     "segment_job_json_dealt": JOB_COUNTS,

@@ -146,7 +146,8 @@ def stage_json_text(spark, sf_dir):
 def stage_json_nested(spark, sf_dir):
     source = table(spark, sf_dir, "embeddings")
     back = scan(spark, stage(source, fresh_path(spark, "json"), "json"), "json", source.schema)
-    return back.select("vec_id", "label", F.size("embedding").alias("dims"), F.expr("cast(embedding[0] as double)").alias("first"))
+    values = back.select("vec_id", "label", F.posexplode("embedding").alias("place", "x"))
+    return values.withColumn("x", F.col("x").cast("double"))
 
 
 def stage_parquet(spark, sf_dir):
@@ -625,6 +626,11 @@ def segment_job(spark, sf_dir):
     return job.manifest.select("segment_id", "segment_name", "record_count", (F.col("byte_size") > 0).alias("has_bytes"))
 
 
+def segment_job_rows(spark, sf_dir):
+    job = run_job(spark, sf_dir, segment_count=10, order_by=["o_orderkey"])
+    return scan_segments(spark, job.target)
+
+
 def segment_job_json_rows(spark, sf_dir):
     job = run_job(spark, sf_dir, fmt="json", segment_count=3)
     return scan_segments(spark, job.target)
@@ -707,6 +713,7 @@ QUERIES: dict[str, Query] = {
     "publish_plan": publish_plan_query,
     "publish_validate": publish_validate,
     "segment_job": segment_job,
+    "segment_job_rows": segment_job_rows,
     "segment_job_json_rows": segment_job_json_rows,
     "segment_job_file_order": segment_job_file_order,
     "segment_job_json_dealt": segment_job_json_dealt,
