@@ -197,16 +197,21 @@ def _hashable(field: T.StructField) -> Column:
     return F.to_json(F.struct(column)) if "map<" in field.dataType.simpleString() else column
 
 
-def _cut_key(df: DataFrame, order: list[str]) -> Column:
-    """What cells are cut by: the order key, long texts by their beginning, which keeps the order."""
-    kinds = [(c, df.select(c).schema[0].dataType) for c in order]
-    short = [
-        F.substring(F.col(c), 1, KEY_LENGTH).alias(f"k{i}") if isinstance(kind, (T.StringType, T.BinaryType)) else F.col(c).alias(f"k{i}")
-        for i, (c, kind) in enumerate(kinds)
-    ]
-    cut = next((i for i, (_, kind) in enumerate(kinds) if isinstance(kind, (T.StringType, T.BinaryType))), len(short))
-    # behind a shortened text the next column would not keep the order
-    return F.struct(*short[: cut + 1])
+def _cut_columns(df: DataFrame, order: list[str]) -> list[Column]:
+    """What cells can be cut by: the order's columns, up to the first text, of which the beginning keeps the order."""
+    columns = []
+    for i, name in enumerate(order):
+        kind = df.select(name).schema[0].dataType
+        if isinstance(kind, (T.StringType, T.BinaryType)):
+            return [*columns, F.substring(F.col(name), 1, KEY_LENGTH).alias(f"k{i}")]
+        columns.append(F.col(name).alias(f"k{i}"))
+    return columns
+
+
+def _repeats(sample: DataFrame, width: int) -> int:
+    """Most sampled rows of a partition that agree in the first ``width`` columns."""
+    same = sample.groupBy(PID, *[f"k{i}" for i in range(width)]).count()
+    return same.agg(F.max("count")).first()[0] or 0
 
 
 def _with_cells(rows: DataFrame, order: list[str], total: int, rows_per_cell: int, names: Names) -> DataFrame:
@@ -219,9 +224,13 @@ def _with_cells(rows: DataFrame, order: list[str], total: int, rows_per_cell: in
     wanted = SAMPLE_PER_CELL * min(-(-total // rows_per_cell), MAX_CELLS)
     fraction = min(1.0, max(wanted, MIN_SAMPLE) / total)
     per_cell = max(rows_per_cell, -(-total // MAX_CELLS)) * fraction
-    key = _cut_key(rows, order)
-    sample = materialise(rows.sample(fraction, seed=0).select(PID, key.alias("k")))
-    ordered = sample.groupBy(PID).agg(F.sort_array(F.collect_list("k")).alias("ks"))
+    columns = _cut_columns(rows, order)
+    sample = materialise(rows.sample(fraction, seed=0).select(PID, *columns))
+    # as few columns as tell rows apart well enough: the others need not be read to place a row
+    width = next(w for w in range(1, len(columns) + 1) if w == len(columns) or _repeats(sample, w) <= per_cell)
+    key = columns[0] if width == 1 else F.struct(*columns[:width])
+    sampled = F.col("k0") if width == 1 else F.struct(*[f"k{i}" for i in range(width)])
+    ordered = sample.select(PID, sampled.alias("k")).groupBy(PID).agg(F.sort_array(F.collect_list("k")).alias("ks"))
     cells = F.greatest(F.lit(1), F.ceil(F.size("ks") / F.lit(float(per_cell))).cast("int"))
     picks = F.filter(F.sequence(F.lit(0), cells - 1), lambda i: i > 0)
     chosen = F.array_distinct(F.transform(picks, lambda i: F.get("ks", F.floor(i * F.size("ks") / cells).cast("int"))))
