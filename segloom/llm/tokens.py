@@ -8,8 +8,8 @@ import re
 from array import array
 
 #: Entries of a worker's memories of pieces and of words; a full one starts anew.
-KNOWN_PIECES = 300_000
-KNOWN_WORDS = 800_000
+KNOWN_PIECES = 1_000_000
+KNOWN_WORDS = 1_000_000
 LONGEST_KNOWN = 64
 
 #: White space besides the blank and the line feed, as Unicode has it.
