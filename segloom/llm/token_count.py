@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from segloom.llm.common import packed, unpacked, with_package
-from segloom.llm.tokens import KNOWN_PIECES, KNOWN_WORDS, LONGEST_KNOWN, TAIL
+from segloom.llm.tokens import KNOWN_PIECES, KNOWN_WORDS, LONGEST_KNOWN, TAIL, byte_letters
 
 
 class TokenCounter:
@@ -123,13 +123,6 @@ class TokenCounter:
         return done
 
 
-def byte_letters() -> list[str]:
-    """The printable character that stands for each byte in byte-level vocabularies."""
-    plain = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
-    spare = iter(range(0x100, 0x200))
-    return [chr(b if b in plain else next(spare)) for b in range(256)]
-
-
 @functools.lru_cache(maxsize=2)
 def token_counter(path: str) -> TokenCounter:
     """One per worker process and vocabulary."""

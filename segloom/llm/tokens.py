@@ -18,10 +18,19 @@ OTHER_SPACE = [*"\t\x0b\x0c\r\x85\xa0     　", *map(chr, range(0x2000
 SEPARATORS = [*"\x1c\x1d\x1e\x1f"]
 
 
+#: Fixed value: the last letter of Latin Extended-B.
+LAST_LATIN = "\u024f"
 #: Marks that often end a word; a run of them is a token run of its own after letters.
 TAIL = ".,;:!?|%*$#&"
 
 
+def byte_letters() -> list[str]:
+    """The printable character that stands for each byte in byte-level vocabularies."""
+    plain = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    spare = iter(range(0x100, 0x200))
+    return [chr(b if b in plain else next(spare)) for b in range(256)]
+
+
 class TextEncoder:
     """Ids by the tokenizers library, pieced together from texts' cut-out pieces.
 
@@ -43,6 +52,8 @@ class TextEncoder:
         kind = str(self.tokenizer.pre_tokenizer.__getstate__())
         self.drops_space = '"behavior":"Removed"' in kind or "behavior: Removed" in kind
         self.specials = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.model = self.tokenizer.model
+        self.letters = byte_letters() if type(self.model).__name__ == "BPE" and "ByteLevel" in kind else None
         self.known: dict[str, bytes] = {}
         self.words: dict[str, bytes] = {}
 
@@ -81,8 +92,11 @@ class TextEncoder:
             self.known = {}
         words = self.words
         if wanted:
-            encoded = self.tokenizer.encode_batch_fast(wanted, add_special_tokens=False)
-            fresh = {w: self.pack(e.ids) for w, e in zip(wanted, encoded)}
+            plain = {w: self._symbols(w) for w in wanted}
+            fresh = {w: self.pack([t.id for t in self.model.tokenize(s)]) for w, s in plain.items() if s}
+            others = [w for w in wanted if not plain[w]]
+            encoded = self.tokenizer.encode_batch_fast(others, add_special_tokens=False)
+            fresh.update((w, self.pack(e.ids)) for w, e in zip(others, encoded))
             if len(words) > KNOWN_WORDS:
                 words = {w: words[w] for pair in parts.values() for w in pair if w in words}
                 self.words = words
@@ -95,6 +109,17 @@ class TextEncoder:
                 del words[word]
         return ids
 
+    def _symbols(self, word: str) -> str | None:
+        """A word of plain letters as the library's model takes it, for which the rest of the library changes nothing."""
+        letters = word[1:] if word[:1] == " " else word
+        if self.letters is None or not letters.isalpha():
+            return None
+        if word.isascii():
+            return word.replace(" ", self.letters[32])
+        if self.drops_space or max(word) > LAST_LATIN:
+            return None
+        return "".join([self.letters[b] for b in word.encode()])
+
     def _parts(self, piece: str) -> tuple[str, str]:
         word = piece.rstrip(TAIL)
         letters = word[1:] if word[:1] == " " else word
