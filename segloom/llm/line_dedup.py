@@ -5,7 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from segloom.llm.common import ASCII_LOWER, ASCII_SPACE, ASCII_UPPER, packed, unpacked
+from segloom.llm.common import ASCII_LOWER, ASCII_SPACE, ASCII_UPPER, packed, staged, unpacked
+
+#: Keys that are sent to every executor, at most; they take some 30 bytes each.
+HOT_KEYS = 10_000
+#: Holders that a key has at least to be one of them.
+HOT_HOLDERS = 1_000
 
 
 def line_key(line: Column) -> Column:
@@ -35,8 +40,9 @@ def dedup_lines(
     Lines are exploded and hashed; documents per hash are counted after a partial count on the
     map side, each document once per key. The lines that go are gathered by document as
     positions, and a text is put together again from the positions that stay. Texts cross the
-    network once, hashes twice. The lines meeting their hash are an equi-join whose other
-    side has one row per key, so adaptive execution splits a line that fills a third of the table.
+    network once, hashes twice. Keys with the most holders are broadcast, and their lines are spread over
+    all tasks instead of meeting in one: a key is among them if it has over ``HOT_HOLDERS`` holders
+    and over a ``HOT_KEYS``-th of all keys' holders, so there are fewer than ``HOT_KEYS`` of them.
 
     Defined cases: a null or empty text is one empty line and stays as the empty text; each
     row counts as one document, so repeated rows count repeatedly and are treated alike; a row
@@ -54,13 +60,22 @@ def dedup_lines(
         .groupBy("h1", "h2")
         .agg(F.count(F.lit(1)).alias("holders"), F.max("id").alias("keeper"))
         .where(F.col("holders") >= min_docs)
-        .select("h1", "h2", "keeper")
     )
-    drops = (
+    repeated = staged(repeated, "repeated-lines")
+    often = max(HOT_HOLDERS, (repeated.agg(F.sum("holders")).first()[0] or 0) // HOT_KEYS)
+    hot = repeated.where(F.col("holders") > often).select("h1", "h2", F.struct("keeper").alias("hot"))
+    lines = (
         rows.select("id", "text_hash", F.posexplode(keys).alias("at", "key"))
         .where(F.char_length("key") >= min_chars)
         .select("id", "text_hash", "at", *hashes(F.col("key")))
-        .join(repeated, ["h1", "h2"])
+        .join(F.broadcast(hot), ["h1", "h2"], "left")
+        .withColumn("h1", F.when(F.col("hot").isNull(), F.col("h1")).otherwise(F.xxhash64("id", "text_hash", "at")))
+    )
+    found = lines.join(repeated.select("h1", "h2", F.struct("keeper").alias("other")), ["h1", "h2"], "left")
+    keeper = F.coalesce("hot", "other")
+    drops = (
+        found.where(keeper.isNotNull())
+        .select("id", "text_hash", "at", keeper["keeper"].alias("keeper"))
         .where(F.coalesce(F.col("id") < F.col("keeper"), F.col("keeper").isNotNull()))
         .groupBy(F.col("id").alias("drop_id"), F.col("text_hash").alias("drop_hash"))
         .agg(F.collect_set("at").alias("dropped"))

@@ -37,7 +37,9 @@ def brute_lines(texts):
     return out
 
 
-def test_lines_against_brute_force(spark):
+@pytest.mark.parametrize("hot_holders", [1_000, 5])
+def test_lines_against_brute_force(spark, monkeypatch, hot_holders):
+    monkeypatch.setattr("segloom.llm.line_dedup.HOT_HOLDERS", hot_holders)
     rng = random.Random(1)
     pool = [f"{'Shared line number':<18} {k} É" for k in range(12)] + ["short", "", "  "]
     texts = ["\n".join(rng.choice(pool) + rng.choice(["", "  ", "\t", " x"]) for _ in range(rng.randrange(6))) for _ in range(60)]
