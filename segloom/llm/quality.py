@@ -71,6 +71,8 @@ class QualityModel:
     weights: np.ndarray
     knots: np.ndarray
     values: np.ndarray
+    #: False if no labelled document was found.
+    fitted: bool = True
 
     def raw(self, stats: np.ndarray) -> np.ndarray:
         return fourier(stats, self.mean, self.scale) @ self.weights
@@ -158,7 +160,7 @@ def fit_quality(
         total[row.cell] = row.v
     halves = total.reshape(2, size, size + 2)
     if not halves[:, 0, size + 1].sum():
-        return QualityModel(mean, scale, np.zeros(size), np.zeros(1), np.full(1, 0.5))
+        return QualityModel(mean, scale, np.zeros(size), np.zeros(1), np.full(1, 0.5), fitted=False)
     solved = [solve(h) for h in (halves[1], halves[0], halves.sum(0))]
 
     def cross(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
