@@ -14,6 +14,7 @@ from segloom.llm.fingerprints import fingerprint_documents
 from segloom.llm.language import identify_languages
 from segloom.llm.line_dedup import dedup_lines
 from segloom.llm.packing import pack_documents
+from segloom.llm.periodic import periodic_runs
 from segloom.llm.quality import fit_quality, quality_score
 from segloom.llm.rans import read_token_files, write_token_files
 from segloom.llm.simhash import near_duplicates
@@ -90,6 +91,41 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
 
 
+def with_planted_periods(docs: DataFrame) -> DataFrame:
+    """Of one text in ten (by its id's checksum) the words from a certain one on repeat with a certain period."""
+    return docs.selectExpr(
+        "doc_id",
+        r"""
+        CASE WHEN crc32(cast(coalesce(cast(doc_id AS string), '') AS binary)) % 10 = 0 THEN
+            transform(array(named_struct(
+                'words', filter(split(coalesce(text, ''), '[ \\x09-\\x0D]+'), w -> w <> ''),
+                'g', crc32(cast(coalesce(cast(doc_id AS string), '') AS binary)) div 10)),
+            x -> CASE WHEN size(x.words) = 0 THEN '' ELSE
+                transform(array(named_struct('a', cast(x.g % size(x.words) AS int), 'f', 3 + x.g % 8)),
+                y -> transform(array(cast(1 + (size(x.words) - y.a) div y.f AS int)),
+                    p -> array_join(transform(sequence(0, size(x.words) - 1),
+                        i -> x.words[CASE WHEN i < y.a THEN i ELSE y.a + (i - y.a) % p END]), ' '))[0])[0] END)[0]
+        ELSE text END AS text
+        """,
+    )
+
+
+def op11_periodic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs(with_planted_periods(table(spark, sf_dir, "documents")))
+    longest = F.expr("array_max(transform(runs, r -> struct(r.length, -r.start AS start, -r.period AS period)))")
+    listed = F.expr("array_join(transform(runs, r -> concat(r.start, ',', r.length, ',', r.period, '\\n')), '')")
+    return found.withColumn("top", longest).select(
+        "doc_id",
+        "n_runs",
+        (-F.col("top.start")).alias("start"),
+        F.col("top.length").alias("length"),
+        (-F.col("top.period")).alias("period"),
+        F.expr("1000 * top.length div -top.period").alias("exponent_milli"),
+        F.sha2(listed.cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed_text").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_toxicity": op1_toxicity,
     "op2_fingerprints": op2_fingerprints,
@@ -101,4 +137,5 @@ QUERIES: dict[str, Query] = {
     "op8_token_files": op8_token_files,
     "op9_quality": op9_quality,
     "op10_simhash": op10_simhash,
+    "op11_periodic": op11_periodic,
 }
