@@ -95,7 +95,42 @@ LEFT JOIN changed h ON c.doc_id = h.doc_id AND c.item_id = h.item_id
 WHERE n_windows / item_windows >= 0.5
 """.replace("UNITS", ", ".join(f"'{u}'" for u in UNITS))
 
+PHRASES = r"""
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang, list_filter(regexp_split_to_array(unnest(regexp_split_to_array(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[.,;:!?\n\x0B\f\r]')), '[ \t]+'), lambda w: w <> '') AS words
+    FROM documents
+), totals AS (
+    SELECT lang, sum(len(words)) AS n FROM pieces GROUP BY lang
+), places AS (
+    SELECT lang, words, unnest(range(1, len(words) + 1)) AS i FROM pieces
+), grams AS (
+    SELECT lang, k, array_to_string(words[i : i + k - 1], ' ') AS phrase
+    FROM places, range(1, 6) AS sizes(k) WHERE i + k - 1 <= len(words)
+), counts AS (
+    SELECT lang, k, phrase, count(*) AS f FROM grams GROUP BY ALL HAVING count(*) >= 100
+), cuts AS (
+    SELECT c.lang, c.phrase, c.f AS a, l.f AS l, r.f AS r, n, j,
+        (1000::HUGEINT * c.f * n) // (l.f::HUGEINT * r.f) AS score
+    FROM (SELECT *, string_split(phrase, ' ') AS words, unnest(range(1, k)) AS j FROM counts WHERE k > 1) c
+    JOIN counts l ON l.lang = c.lang AND l.phrase = array_to_string(words[:j], ' ')
+    JOIN counts r ON r.lang = c.lang AND r.phrase = array_to_string(words[j + 1 :], ' ')
+    JOIN totals t ON t.lang = c.lang
+), best AS (
+    SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1
+), kept AS (
+    SELECT * FROM best b WHERE NOT EXISTS (
+        SELECT 1 FROM counts c WHERE c.lang = b.lang AND c.phrase <> b.phrase AND 100 * c.f >= 100 * b.a
+            AND contains(' ' || c.phrase || ' ', ' ' || b.phrase || ' '))
+), ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept
+)
+SELECT lang, rank, phrase, a, l, r, n::BIGINT AS n, score::BIGINT AS score FROM ranked WHERE rank <= 2000
+"""
+
 ORACLE: dict[str, str] = {
     "op3_decontamination": DECONTAMINATION,
     "op4_line_dedup": LINE_DEDUP,
+    "op12_phrases": PHRASES,
 }

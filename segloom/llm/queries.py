@@ -15,6 +15,7 @@ from segloom.llm.language import identify_languages
 from segloom.llm.line_dedup import dedup_lines
 from segloom.llm.packing import pack_documents
 from segloom.llm.periodic import periodic_runs
+from segloom.llm.phrases import find_phrases
 from segloom.llm.quality import fit_quality, quality_score
 from segloom.llm.rans import read_token_files, write_token_files
 from segloom.llm.simhash import near_duplicates
@@ -126,6 +127,10 @@ def op11_periodic(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_phrases(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_toxicity": op1_toxicity,
     "op2_fingerprints": op2_fingerprints,
@@ -138,4 +143,5 @@ QUERIES: dict[str, Query] = {
     "op9_quality": op9_quality,
     "op10_simhash": op10_simhash,
     "op11_periodic": op11_periodic,
+    "op12_phrases": op12_phrases,
 }

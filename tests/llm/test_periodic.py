@@ -16,8 +16,10 @@ SMALL = "/root/testdata/sf0.001"
 
 def brute_force(words, least=12):
     """(start, length, period) of all runs, by start, then period."""
-    found = []
+    found, codes = [], np.unique(words, return_inverse=True)[1]
     for period in range(1, len(words) // 2 + 1):
+        if np.count_nonzero(codes[:-period] == codes[period:]) < min(period, least - 1):
+            continue
         k = 0
         while k < len(words) - period:
             first = k
