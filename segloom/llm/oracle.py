@@ -129,8 +129,32 @@ WITH pieces AS (
 SELECT lang, rank, phrase, a, l, r, n::BIGINT AS n, score::BIGINT AS score FROM ranked WHERE rank <= 2000
 """
 
+PASSAGES = r"""
+WITH parts AS (
+    SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[ \t\n\x0B\f\r]+'), lambda w: w <> '') AS words
+    FROM documents
+), places AS (
+    SELECT doc_id, generate_subscripts(words, 1) AS i, unnest(words) AS word, len(words) AS n FROM parts
+), windows AS (
+    SELECT doc_id, i, array_to_string(words[i : i + 49], ' ') AS body
+    FROM (SELECT doc_id, words, unnest(range(1, len(words) - 48)) AS i FROM parts WHERE len(words) >= 50)
+), repeated AS (
+    SELECT doc_id, i FROM (SELECT doc_id, i, min(doc_id) OVER (PARTITION BY body) AS low FROM windows) WHERE low < doc_id
+), judged AS (
+    SELECT p.doc_id, p.i, p.word, max(r.i) OVER (PARTITION BY p.doc_id ORDER BY p.i) AS latest
+    FROM places p LEFT JOIN repeated r ON r.doc_id = p.doc_id AND r.i = p.i
+), summed AS (
+    SELECT doc_id, count(*) FILTER (WHERE i < latest + 50) AS n_removed,
+        string_agg(word, ' ' ORDER BY i) FILTER (WHERE latest IS NULL OR i >= latest + 50) AS kept
+    FROM judged GROUP BY doc_id
+)
+SELECT d.doc_id, len(words)::BIGINT AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM parts d LEFT JOIN summed s ON s.doc_id = d.doc_id
+"""
+
 ORACLE: dict[str, str] = {
     "op3_decontamination": DECONTAMINATION,
     "op4_line_dedup": LINE_DEDUP,
     "op12_phrases": PHRASES,
+    "op13_passages": PASSAGES,
 }

@@ -14,6 +14,7 @@ from segloom.llm.fingerprints import fingerprint_documents
 from segloom.llm.language import identify_languages
 from segloom.llm.line_dedup import dedup_lines
 from segloom.llm.packing import pack_documents
+from segloom.llm.passages import drop_repeated_passages
 from segloom.llm.periodic import periodic_runs
 from segloom.llm.phrases import find_phrases
 from segloom.llm.quality import fit_quality, quality_score
@@ -131,6 +132,12 @@ def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_phrases(table(spark, sf_dir, "documents"))
 
 
+def op13_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return drop_repeated_passages(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256")
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_toxicity": op1_toxicity,
     "op2_fingerprints": op2_fingerprints,
@@ -144,4 +151,5 @@ QUERIES: dict[str, Query] = {
     "op10_simhash": op10_simhash,
     "op11_periodic": op11_periodic,
     "op12_phrases": op12_phrases,
+    "op13_passages": op13_passages,
 }

@@ -21,7 +21,7 @@ def documents(spark):
 
 
 def test_registry():
-    assert {k.split("_")[0] for k in QUERIES} == {f"op{n}" for n in range(1, 13)}
+    assert {k.split("_")[0] for k in QUERIES} == {f"op{n}" for n in range(1, 14)}
     assert set(QUERIES) | {"pipeline"} <= set(contract.queries())
     assert set(ORACLE) <= set(contract.oracle_sql()) & set(QUERIES)
 
