@@ -117,6 +117,24 @@ JOB_ROWS = (
     f"select o_orderkey, o_custkey, o_orderstatus, o_orderpriority, o_totalprice, {MS} as order_ms "
     "from orders join customer on o_custkey = c_custkey where c_mktsegment <> 'BUILDING'"
 )
+JOB_FOLDED = folded(f"({JOB_ROWS})", murmur_pid("o_custkey::varchar", 4), 3)
+MONTHLY = (
+    "select o_orderkey, o_totalprice, ms, o_orderstatus, (month % 24)::int as segment_id from (select o_orderkey, o_totalprice, "
+    f"nullif(o_orderstatus, 'P') as o_orderstatus, {MS} as ms, {MS} // 2592000000 as month from orders) where month < 322"
+)
+
+
+def day(text: str) -> str:
+    return f"epoch_ms(timestamp '{text}')"
+
+
+# what a row must fulfil, and what a segment's least and greatest values must
+CONDITIONS = {
+    "range": (f"ms >= {day('1995-03-01')} and ms < {day('1995-05-01')}", f"max(ms) >= {day('1995-03-01')} and min(ms) < {day('1995-05-01')}"),
+    "or": (f"ms < {day('1995-01-20')} or o_totalprice < 1100", f"min(ms) < {day('1995-01-20')} or min(o_totalprice) < 1100"),
+    "not": (f"not (ms >= {day('1995-02-01')} or o_orderstatus is null)", f"min(ms) < {day('1995-02-01')} and count(o_orderstatus) > 0"),
+    "null": ("o_orderstatus is null and o_orderkey = 77", "count(o_orderstatus) < count(*) and min(o_orderkey) <= 77 and max(o_orderkey) >= 77"),
+}
 JOB_DEALT = dealt(f"({JOB_ROWS})", murmur_pid("o_custkey::varchar", 4), 4, 10, "o_orderkey")
 JOB_COUNTS = (
     f"select i.segment_id, '{TABLE}_{KEY}_' || i.segment_id as segment_name, count(d.segment_id) as record_count, "
@@ -186,7 +204,21 @@ ORACLE: dict[str, str] = {
     "project_physical": """
         select o_orderkey, o_custkey, o_orderstatus, o_orderpriority, o_totalprice,
                true as order_ms, o_orderdate from orders""",
-    "conform_types": "select o_orderkey, o_custkey, o_orderstatus, try_cast(o_orderpriority as bigint) is null as order_ms from orders",
+    "conform_types": f"select o_orderkey, o_custkey, o_orderstatus, case when o_orderkey % 3 = 0 then try_cast(o_orderpriority as bigint) else {MS} end as order_ms from orders",
+    "extract_validate": """
+        with n as (select count(*) as n from orders where o_orderstatus = 'F')
+        select "case", taken, case when taken then (select n from n) else 0 end as n from (values ('0: json', true), ('1: Parquet', true),
+            ('2: json', false), ('3: json', false), ('4: avro', false), ('5: csv', false), ('6: no format', false)) as c("case", taken)""",
+    "part_rejects": """
+        select o_orderkey::varchar as line, o_custkey, case when o_orderkey % 11 <> 0 then o_orderkey end as o_orderkey,
+            case when o_orderkey % 7 <> 0 and o_orderkey % 5 <> 0 then 12.5::double end as o_totalprice,
+            concat_ws('; ', case when o_orderkey % 11 = 0 then 'o_orderkey #' || o_orderkey || ' bigint' end,
+                case when o_orderkey % 7 = 0 then 'o_totalprice n/a double' end) as reasons
+        from orders""",
+    "time_bucket": """
+        select kind, time_bucket(interval '6 hours', ts, timestamp '1970-01-01') as bucket,
+            (epoch_ms(time_bucket(interval '6 hours', ts, timestamp '1970-01-01')) // 21600000)::bigint as number, count(*) as n
+        from events, (values ('LONG'), ('STRING')) as k(kind) group by all""",
     "event_time": "select o_orderkey, o_orderdate as event_time from orders",
     "partition_key": "select coalesce(nullif(event_type, 'error'), '') as key, count(*) as n from events group by 1",
     "pid_hashcode": two_keys(hashcode_pid),
@@ -235,7 +267,12 @@ ORACLE: dict[str, str] = {
     "generation_summary": "select 13::bigint as segment_count, count(*) as record_count, count(*) as input_record_count, true as has_bytes, true as has_input_bytes from orders",
     "reconcile": "select count(*) as input_record_count, count(*) as output_record_count, true as matched from orders",
     "segment_column_stats": stats(STATS_COLUMNS, True),
-    "segment_column_stats_estimated": stats(STATS_COLUMNS, False),
+    "segment_column_stats_estimated": f"select *, true as close from ({stats(STATS_COLUMNS, False)})",
+    "merged_sketches": " union all ".join(
+        f"select '{c}' as column_name, count(*) as record_count, count(*) - count({c}) as null_count, true as distinct_close, true as median_close "
+        "from (select * replace (nullif(o_orderstatus, 'P') as o_orderstatus) from orders)"
+        for c in ("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate")
+    ),
     "segment_time_range": f"select segment_id, min(ts) as min_time, max(ts) as max_time from ({BY_TYPE}) group by segment_id",
     "segment_balance": f"""
         with d as ({dealt('events', hashcode_pid('user_id::varchar', 8), 8, 30, 'event_id')}),
@@ -251,6 +288,16 @@ ORACLE: dict[str, str] = {
     "segment_prune_decimal": "select o_orderkey from orders where o_totalprice::decimal(12,2) in (select o_totalprice::decimal(12,2) from orders where o_orderkey % 997 = 1)",
     "segment_prune_boolean": "select o_orderkey from orders where o_orderstatus = 'F'",
     "segment_prune_timestamp": "select event_id from events where ts in (select ts from events where event_id % 997 = 1)",
+    "segment_prune_date": "select o_orderkey from orders where o_orderdate::date in (select o_orderdate::date from orders where o_orderkey % 499 = 1)",
+    "segment_prune_key_table": "select o.* from orders o where o_custkey in (select c_custkey from customer where c_mktsegment = 'MACHINERY' and c_nationkey < 9)",
+    "zone_prune": " union all ".join(f"select '{n}' as condition, o_orderkey, segment_id from ({MONTHLY}) where {c}" for n, (c, _) in CONDITIONS.items()),
+    "zone_segments": " union all ".join(f"select '{n}' as condition, segment_id from ({MONTHLY}) group by segment_id having {z}" for n, (_, z) in CONDITIONS.items()),
+    "member_prune": " union all ".join(
+        f"select '{by}' as \"by\", * exclude (pid) from ({FOLD}) where {c} in (select {c} from orders where o_orderkey % 499 = 3)"
+        for by, c in (("price", "o_totalprice"), ("date", "o_orderdate"))
+    ),
+    "generation_rows": f"select * exclude (pid) replace (case when segment_id = 3 then o_totalprice * 2 else o_totalprice end as o_totalprice) from ({FOLD})",
+    "generation_changes": f"select segment_id, count(*) as record_count from ({FOLD}) where segment_id = 3 group by segment_id",
     "segment_prune": "select * from events where event_type in ('error', 'click')",
     "segment_scan": f"select * exclude (pid) from ({DEAL}) where segment_id in (0, 5, 12)",
     "render_payload": f"select segment_id, {PAYLOAD} as payload, '{{}}' as without_template from ({DEAL_COUNTS})",
@@ -267,5 +314,17 @@ ORACLE: dict[str, str] = {
     "segment_job_json_rows": f"select o_orderkey, o_custkey, o_orderstatus, o_orderpriority, o_totalprice, order_ms, segment_id from ({folded(f'({JOB_ROWS})', murmur_pid('o_custkey::varchar', 4), 3)})",
     "segment_job_file_order": JOB_COUNTS,
     "segment_job_json_dealt": JOB_COUNTS,
+    "segment_job_json_dealt_rows": f"select *, {murmur_pid('o_custkey::varchar', 4)} as pid, true as own from ({JOB_ROWS})",
+    "segment_job_generations": f"""
+        select * exclude (pid), count(*) over (partition by segment_id) as listed from ({JOB_FOLDED}) where o_orderkey % 4 <> 1""",
+    "segment_job_statistics": f"""
+        with t as ({JOB_FOLDED}), z as (select segment_id, min(order_ms)::varchar as zone_least from t group by segment_id)
+        select s.*, zone_least from z join ("""
+    + " union all ".join(
+        f"select segment_id, count(*) as record_count, '{c}' as column_name, min({c})::varchar as min_value, max({c})::varchar as max_value, "
+        f"count(*) - count({c}) as null_count from t group by segment_id"
+        for c in ("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority", "o_totalprice", "order_ms")
+    )
+    + ") s using (segment_id)",
     "input_file_stats": "select 7::bigint as file_count, count(*) as row_count from orders",
 }

@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,7 +15,15 @@ from pyspark.sql import functions as F
 from segloom.functions.hashing import partition_id
 from segloom.functions.keys import partition_key
 from segloom.operators.assign import assign_segments, segment_range, with_partition_id
-from segloom.operators.conform import conform_types, event_time, project_physical
+from segloom.operators.conform import (
+    bucket_number,
+    conform_types,
+    event_time,
+    part_rejects,
+    project_physical,
+    time_bucket,
+)
+from segloom.operators.generations import changed_segments, scan_generation, write_generation
 from segloom.operators.manifest import (
     emit_empty_segments,
     generation_summary,
@@ -29,7 +38,8 @@ from segloom.operators.manifest import (
     segment_record_count,
     segment_time_range,
 )
-from segloom.operators.prune import prune_segments, scan_segments
+from segloom.operators.members import prune_by_members, write_members
+from segloom.operators.prune import prune_by_keys, prune_segments, scan_segments
 from segloom.operators.publish import (
     publish_plan,
     publish_problems,
@@ -43,6 +53,8 @@ from segloom.operators.sink import (
     target_folder,
     write_segments,
 )
+from segloom.operators.sketches import merge_sketches, segment_sketches, sketch_estimates
+from segloom.operators.zones import Compare, Condition, Missing, Not, between, prune_by_zones, write_zones, zone_segments
 from segloom.plans.job import run_segment_job
 from segloom.session import fresh_path, shared_root
 from segloom.sources.extract import extract, stage
@@ -133,6 +145,21 @@ def query_extract(spark, sf_dir):
     )
 
 
+def extract_validate(spark, sf_dir):
+    """Which queries, destinations and formats a run takes, and the rows that those it takes give."""
+    register(spark, sf_dir)
+    orders, found = "SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F'", []
+    for query, to, fmt in ((orders, "a", "json"), (f" {orders} ;\n", "b/", "Parquet"), (" \n", "c", "json"), (orders, " ", "json"), (orders, "d", "avro"), (orders, "e", "csv"), (orders, "f", "")):
+        case = f"{len(found)}: {fmt or 'no format'}"
+        try:
+            rows = extract(spark, query)
+            path = stage(rows, f"{fresh_path(spark, 'extract')}/{to}" if to.strip() else to, fmt)
+            found.append(scan(spark, path, fmt, rows.schema).agg(F.lit(case).alias("case"), F.lit(True).alias("taken"), F.count(F.lit(1)).alias("n")))
+        except (ValueError, NotImplementedError):
+            found.append(table(spark, sf_dir, "orders").agg(F.lit(case).alias("case"), F.lit(False).alias("taken"), F.count_if(F.lit(False)).alias("n")))
+    return scan_many(found)
+
+
 def stage_json(spark, sf_dir):
     source = table(spark, sf_dir, "events").withColumn("event_type", F.expr("nullif(event_type, 'error')"))
     return scan(spark, stage(source, fresh_path(spark, "json"), "json"), "json", source.schema)
@@ -259,10 +286,27 @@ def conform_types_query(spark, sf_dir):
         F.col("o_orderkey").cast("string").alias("o_orderkey"),
         F.col("o_custkey").cast("string").alias("o_custkey"),
         "o_orderstatus",
-        F.col("o_orderpriority").alias("order_ms"),
+        F.expr("CASE WHEN o_orderkey % 3 = 0 THEN o_orderpriority ELSE cast(unix_millis(cast(o_orderdate AS timestamp)) AS string) END").alias("order_ms"),
+    )
+    return conform_types(texts, load_schema(ORDERS_SCHEMA), strict=False)
+
+
+def part_rejects_query(spark, sf_dir):
+    """Orders as JSON texts, some keys and prices of which are no numbers; good rows and bad ones with their reasons."""
+    texts = table(spark, sf_dir, "orders").selectExpr(
+        "cast(o_custkey AS string) AS o_custkey",
+        "CASE WHEN o_orderkey % 11 = 0 THEN concat('#', o_orderkey) ELSE cast(o_orderkey AS string) END AS o_orderkey",
+        "CASE WHEN o_orderkey % 7 = 0 THEN 'n/a' WHEN o_orderkey % 5 = 0 THEN NULL ELSE '12.5' END AS o_totalprice",
+        "o_orderpriority",
+        "cast(o_orderkey AS string) AS line",
+    )
+    source = scan(spark, stage(texts, fresh_path(spark, "texts"), "json"), "json", texts.schema)
+    good, bad = part_rejects(source, load_schema(ORDERS_SCHEMA), fresh_path(spark, "parted"), keep=["line"])
+    reasons = F.array_join(F.transform("reasons", lambda r: F.concat_ws(" ", r.column_name, r.value, r.wanted)), "; ")
+    columns = ["line", "o_custkey", "o_orderkey", "o_totalprice"]
+    return good.select(*columns, F.lit("").alias("reasons")).unionByName(
+        bad.where(F.col("source_file").isNotNull()).select(*columns, reasons.alias("reasons"))
     )
-    rows = conform_types(texts, load_schema(ORDERS_SCHEMA), strict=False)
-    return rows.withColumn("order_ms", F.col("order_ms").isNull())
 
 
 def event_time_query(spark, sf_dir):
@@ -273,6 +317,21 @@ def event_time_query(spark, sf_dir):
     )
 
 
+def time_bucket_query(spark, sf_dir):
+    """Events by quarter of a day, from their time as seconds and as text."""
+    made = []
+    for kind, fmt, source in (
+        ("LONG", "1:SECONDS:EPOCH", "unix_seconds(cast(ts AS timestamp))"),
+        ("STRING", "1:MINUTES:SIMPLE_DATE_FORMAT:dd/MM/yyyy HH:mm", "date_format(cast(ts AS timestamp), 'dd/MM/yyyy HH:mm')"),
+    ):
+        document = {"dateTimeFieldSpecs": [{"name": "at", "dataType": kind, "format": fmt, "granularity": "6:HOURS"}]}
+        field = load_schema(json.dumps(document))["at"]
+        rows = table(spark, sf_dir, "events").selectExpr(f"{source} AS at")
+        buckets = rows.groupBy(time_bucket(field).cast("timestamp_ntz").alias("bucket"), bucket_number(field).alias("number"))
+        made.append(buckets.agg(F.lit(kind).alias("kind"), F.count(F.lit(1)).alias("n")))
+    return scan_many(made)
+
+
 def partition_key_query(spark, sf_dir):
     events = table(spark, sf_dir, "events").withColumn("k", F.expr("nullif(event_type, 'error')"))
     return events.groupBy(partition_key(F.col("k")).alias("key")).agg(F.count(F.lit(1)).alias("n"))
@@ -529,7 +588,35 @@ def segment_column_stats_query(spark, sf_dir):
 
 
 def segment_column_stats_estimated(spark, sf_dir):
-    return segment_column_stats(stats_source(spark, sf_dir)).drop("distinct_count")
+    """The estimate lies within a fifth of the exact count (four standard errors)."""
+    source = stats_source(spark, sf_dir)
+    exact = segment_column_stats(source, exact=True).select("segment_id", "column_name", F.col("distinct_count").alias("exact"))
+    close = F.abs(F.col("distinct_count") - F.col("exact")) <= 0.2 * F.col("exact")
+    return segment_column_stats(source).join(exact, ["segment_id", "column_name"]).withColumn("close", close).drop("distinct_count", "exact")
+
+
+def merged_sketches(spark, sf_dir):
+    """Sketches of two runs' segments merged: distinct counts within 5 %, medians within 3 % of ranks."""
+    orders = table(spark, sf_dir, "orders").withColumn("o_orderstatus", F.expr("nullif(o_orderstatus, 'P')")).drop("o_orderpriority")
+    runs = [segment_sketches(assign_segments(orders.where(f"o_orderkey % 2 = {k}"), FOLD)) for k in (0, 1)]
+    merged = sketch_estimates(merge_sketches(scan_many(runs)), [0.5])
+    exact = segment_column_stats(orders.withColumn("segment_id", F.lit(0)), exact=True).select("column_name", "distinct_count")
+    numbers = {c: F.col(c) for c in ("o_orderkey", "o_custkey", "o_totalprice")}
+    numbers["o_orderdate"] = F.unix_seconds(F.col("o_orderdate").cast("timestamp")).cast("double")
+    values = F.inline(F.array(*[F.struct(F.lit(c).alias("column_name"), v.cast("double").alias("x")) for c, v in numbers.items()]))
+    below = orders.select(values).join(merged.select("column_name", F.get("quantiles", F.lit(0)).alias("median")), "column_name")
+    ranks = below.groupBy("column_name").agg(F.avg((F.col("x") <= F.col("median")).cast("int")).alias("upto"), F.avg((F.col("x") < F.col("median")).cast("int")).alias("under"))
+    return (
+        merged.join(exact, "column_name")
+        .join(ranks, "column_name", "left")
+        .select(
+            "column_name",
+            "record_count",
+            "null_count",
+            (F.abs(F.col("distinct_estimate") - F.col("distinct_count")) <= 0.05 * F.col("distinct_count")).alias("distinct_close"),
+            F.coalesce((F.col("upto") >= 0.47) & (F.col("under") <= 0.53), F.lit(True)).alias("median_close"),
+        )
+    )
 
 
 def segment_time_range_query(spark, sf_dir):
@@ -566,12 +653,107 @@ def pruned_by(key: str, pick: str, columns: str = "o_orderkey", source: str = "o
         spec = PartitionSpec("k", "murmur", 8, 8)
         rows = table(spark, sf_dir, source).select(columns, F.expr(key).alias("k"))
         path = write_segments(assign_segments(rows, spec), fresh_path(spark, "segments"), spec)
-        values = [r.k for r in rows.where(pick).select("k").distinct().collect()]
-        return prune_segments(scan_segments(spark, path), spec, values).select(columns)
+        return prune_by_keys(scan_segments(spark, path), spec, rows.where(pick), "k").select(columns)
 
     return query
 
 
+def segment_prune_boolean(spark, sf_dir):
+    spec = PartitionSpec("k", "murmur", 8, 8)
+    rows = table(spark, sf_dir, "orders").select("o_orderkey", (F.col("o_orderstatus") == "F").alias("k"))
+    path = write_segments(assign_segments(rows, spec), fresh_path(spark, "segments"), spec)
+    return prune_segments(scan_segments(spark, path), spec, [True]).select("o_orderkey")
+
+
+def segment_prune_key_table(spark, sf_dir):
+    """Orders of the customers of one market, dealt to more segments than partitions."""
+    spec = PartitionSpec("o_custkey", "hashcode", 5, 12)
+    orders = assign_segments(table(spark, sf_dir, "orders"), spec, ["o_orderkey"])
+    path = write_segments(orders, fresh_path(spark, "segments"), spec)
+    wanted = table(spark, sf_dir, "customer").where("c_mktsegment = 'MACHINERY' AND c_nationkey < 9")
+    return prune_by_keys(scan_segments(spark, path), spec, wanted, "c_custkey").drop("segment_id")
+
+
+MONTHLY = PartitionSpec("month", "modulo", 24, 24)
+PLACED = {"dateTimeFieldSpecs": [{"name": "order_ms", "dataType": "LONG", "format": "1:MILLISECONDS:EPOCH", "granularity": "30:DAYS"}]}
+
+
+def orders_by_month(spark, sf_dir) -> DataFrame:
+    """Orders whose partition is the number of their 30 days, so that a segment holds few spans of time."""
+    field = load_schema(json.dumps(PLACED))["order_ms"]
+    rows = typed_orders(spark, sf_dir).withColumn("o_orderstatus", F.expr("nullif(o_orderstatus, 'P')"))
+    return assign_segments(rows.withColumn("month", bucket_number(field)), MONTHLY).where("month < 322")
+
+
+def day(text: str) -> int:
+    return int(datetime.fromisoformat(f"{text}T00:00:00+00:00").timestamp() * 1000)
+
+
+CONDITIONS: dict[str, Condition] = {
+    "range": between("order_ms", day("1995-03-01"), day("1995-05-01")),
+    "or": Compare("order_ms", "<", day("1995-01-20")) | Compare("o_totalprice", "<", 1100),
+    "not": Not(Compare("order_ms", ">=", day("1995-02-01")) | Missing("o_orderstatus")),
+    "null": Missing("o_orderstatus") & Compare("o_orderkey", "=", 77),
+}
+
+
+def zone_prune(spark, sf_dir):
+    path = write_segments(orders_by_month(spark, sf_dir), fresh_path(spark, "segments"), MONTHLY)
+    zones = write_zones(spark, path)
+    rows = [prune_by_zones(scan_segments(spark, path), zones, c, 24).withColumn("condition", F.lit(n)) for n, c in CONDITIONS.items()]
+    return scan_many(rows).select("condition", "o_orderkey", "segment_id")
+
+
+def zone_segments_query(spark, sf_dir):
+    """The segments that each condition has to read."""
+    path = write_segments(orders_by_month(spark, sf_dir), fresh_path(spark, "segments"), MONTHLY)
+    zones, kinds = write_zones(spark, path), scan_segments(spark, path).schema
+    return scan_many([zone_segments(zones, c, kinds).withColumn("condition", F.lit(n)) for n, c in CONDITIONS.items()])
+
+
+def member_prune(spark, sf_dir):
+    """Orders by price, which is not their partition key, from the segments whose filters may hold the price."""
+    path = write_segments(assign_segments(table(spark, sf_dir, "orders"), FOLD), fresh_path(spark, "segments"), FOLD)
+    sketch = write_members(spark, path, ["o_totalprice", "o_orderdate"])
+    wanted = table(spark, sf_dir, "orders").where("o_orderkey % 499 = 3")
+    df = scan_segments(spark, path)
+    by_price = prune_by_members(df, sketch, "o_totalprice", wanted, "o_totalprice", 5).withColumn("by", F.lit("price"))
+    by_date = prune_by_members(df, sketch, "o_orderdate", wanted, "o_orderdate", 5).withColumn("by", F.lit("date"))
+    return by_price.unionByName(by_date)
+
+
+# --- generations -----------------------------------------------------------------------------
+
+
+def two_generations(spark, sf_dir) -> tuple[str, DataFrame]:
+    """A table after two whole runs and two broken ones; the second run changes the orders of one segment."""
+    folder, orders = fresh_path(spark, "table"), assign_segments(table(spark, sf_dir, "orders"), FOLD)
+    write_generation(orders, folder, FOLD, TABLE, KEY)
+    write_segments(orders.where("o_orderstatus = 'F'"), f"{folder}/_data/{KEY}-broken", FOLD)
+
+    def refuse(manifest):
+        raise RuntimeError("the run ends before its commit")
+
+    changed = orders.withColumn("o_totalprice", F.expr("CASE WHEN segment_id = 3 THEN o_totalprice * 2 ELSE o_totalprice END"))
+    try:
+        write_generation(orders.limit(0), folder, FOLD, TABLE, KEY, refuse)
+    except RuntimeError:
+        write_generation(changed, folder, FOLD, TABLE, KEY)
+    return folder, orders
+
+
+def generation_rows(spark, sf_dir):
+    folder, orders = two_generations(spark, sf_dir)
+    return scan_generation(spark, folder, orders.drop("pid").schema)
+
+
+def generation_changes(spark, sf_dir):
+    """Segments that the second run wrote, with their rows."""
+    folder, orders = two_generations(spark, sf_dir)
+    rows = scan_generation(spark, folder, orders.drop("pid").schema)
+    return segment_record_count(rows).join(changed_segments(spark, folder), "segment_id")
+
+
 def segment_scan(spark, sf_dir):
     return scan_segments(spark, written_orders(spark, sf_dir), [0, 5, 12])
 
@@ -641,6 +823,30 @@ def segment_job_json_dealt(spark, sf_dir):
     return job.manifest.select("segment_id", "segment_name", "record_count", (F.col("byte_size") > 0).alias("has_bytes"))
 
 
+def segment_job_json_dealt_rows(spark, sf_dir):
+    """All rows once, whatever turn they got; their segments belong to the partition of their key."""
+    job = run_job(spark, sf_dir, fmt="json", segment_count=10)
+    rows = with_partition_id(scan_segments(spark, job.target), "o_custkey", "murmur", 4)
+    first, end = segment_range(F.col("pid"), job.spec)
+    return rows.withColumn("own", F.col("segment_id").between(first, end - 1)).drop("segment_id")
+
+
+def segment_job_generations(spark, sf_dir):
+    """A job run twice as generations, with fewer rows the second time."""
+    register(spark, sf_dir)
+    layout, base = load_layout(layout_json(TABLE, "o_custkey", "Murmur", 4)), fresh_path(spark, "job")
+    for where in ("", " AND o_orderkey % 4 <> 1"):
+        job = run_segment_job(spark, ORDERS_QUERY + where, load_schema(ORDERS_SCHEMA), layout, KEY, base, segment_count=3, generations=True)
+    counts = job.manifest.select("segment_id", F.col("record_count").alias("listed"))
+    return scan_generation(spark, job.target, load_schema(ORDERS_SCHEMA)).join(counts, "segment_id")
+
+
+def segment_job_statistics(spark, sf_dir):
+    job = run_job(spark, sf_dir, segment_count=3, index=["order_ms"])
+    zones = job.zones.select("segment_id", F.col("zones.order_ms.least").cast("string").alias("zone_least"))
+    return job.statistics.drop("distinct_count").join(zones, "segment_id")
+
+
 def segment_job_file_order(spark, sf_dir):
     job = run_job(spark, sf_dir, segment_count=10)
     return job.manifest.select("segment_id", "segment_name", "record_count", (F.col("byte_size") > 0).alias("has_bytes"))
@@ -648,6 +854,7 @@ def segment_job_file_order(spark, sf_dir):
 
 QUERIES: dict[str, Query] = {
     "query_extract": query_extract,
+    "extract_validate": extract_validate,
     "stage_json": stage_json,
     "stage_json_text": stage_json_text,
     "stage_json_nested": stage_json_nested,
@@ -664,7 +871,9 @@ QUERIES: dict[str, Query] = {
     "table_layout": table_layout,
     "project_physical": project_physical_query,
     "conform_types": conform_types_query,
+    "part_rejects": part_rejects_query,
     "event_time": event_time_query,
+    "time_bucket": time_bucket_query,
     "partition_key": partition_key_query,
     "pid_hashcode": pid_hashcode,
     "pid_hashcode_text": pid_hashcode_text,
@@ -699,6 +908,7 @@ QUERIES: dict[str, Query] = {
     "reconcile": reconcile_query,
     "segment_column_stats": segment_column_stats_query,
     "segment_column_stats_estimated": segment_column_stats_estimated,
+    "merged_sketches": merged_sketches,
     "segment_time_range": segment_time_range_query,
     "segment_balance": segment_balance_query,
     "segment_fill": segment_fill_query,
@@ -706,7 +916,14 @@ QUERIES: dict[str, Query] = {
     "segment_prune": segment_prune,
     "segment_prune_double": pruned_by("o_totalprice", "o_orderkey % 997 = 1"),
     "segment_prune_decimal": pruned_by("cast(o_totalprice as decimal(12,2))", "o_orderkey % 997 = 1"),
-    "segment_prune_boolean": pruned_by("o_orderstatus = 'F'", "k"),
+    "segment_prune_boolean": segment_prune_boolean,
+    "segment_prune_date": pruned_by("cast(o_orderdate as date)", "o_orderkey % 499 = 1"),
+    "segment_prune_key_table": segment_prune_key_table,
+    "zone_prune": zone_prune,
+    "zone_segments": zone_segments_query,
+    "member_prune": member_prune,
+    "generation_rows": generation_rows,
+    "generation_changes": generation_changes,
     "segment_prune_timestamp": pruned_by("ts", "event_id % 997 = 1", "event_id", "events"),
     "segment_scan": segment_scan,
     "render_payload": render_payload_query,
@@ -717,4 +934,7 @@ QUERIES: dict[str, Query] = {
     "segment_job_json_rows": segment_job_json_rows,
     "segment_job_file_order": segment_job_file_order,
     "segment_job_json_dealt": segment_job_json_dealt,
+    "segment_job_json_dealt_rows": segment_job_json_dealt_rows,
+    "segment_job_generations": segment_job_generations,
+    "segment_job_statistics": segment_job_statistics,
 }

@@ -10,7 +10,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 
 def shared_root(spark: SparkSession) -> str:
@@ -37,3 +37,9 @@ def materialise(df: DataFrame) -> DataFrame:
     """Fix ``df`` in shared storage, so that a retry re-reads it instead of recomputing it."""
     shared_root(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def observed(observation: Observation, name: str) -> int | None:
+    """An observed count, or None if the query ended without reporting it."""
+    found = observation._jo.getOrEmpty()  # get would wait for a report that a plan without rows may never make
+    return found.apply(name) if found.contains(name) else None
