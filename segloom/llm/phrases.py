@@ -33,6 +33,8 @@ BLOCK = 1 << 16
 SAMPLED = 200
 SAMPLE = 20_000
 ROWS_PER_TASK = 4_000_000
+#: Parts that a language's phrases are ranked in before all of them are.
+PARTS = 64
 #: Languages whose totals are broadcast; more are joined by a shuffle.
 BROADCAST_ROWS = 10_000
 
@@ -162,7 +164,9 @@ def _frequent_slots(survey: DataFrame, slots: int, least: int) -> np.ndarray:
 
 def _ranges(survey: DataFrame, ranges: int) -> list[tuple[str, bytes]]:
     """Windows that cut the order of (language, window) into ``ranges`` of about the same size."""
-    sample = survey.where("block = -2").orderBy("n").limit(SAMPLE).select("lang", "body").collect()
+    drawn = survey.where("block = -2")  # with random numbers below 2**62
+    share = int((1 << 62) * min(1.0, SAMPLE / max(drawn.count(), 1)))
+    sample = drawn.where(F.col("n") < share).select("lang", "body").collect()
     ordered = sorted({(r.lang, bytes(r.body)) for r in sample})
     return sorted({ordered[k * len(ordered) // ranges] for k in range(1, ranges)}) if ordered else []
 
@@ -350,6 +354,9 @@ def find_phrases(
     left = cut.where("cut = 1").select("lang", F.col("rest").alias("phrase"), F.col("a").alias("longer"))
     longer = right.unionByName(left).groupBy("lang", "phrase").agg(F.max("longer").alias("longer"))
     kept = scored.join(longer.hint("merge"), ["lang", "phrase"], "left").where(F.expr(f"coalesce(100 * longer < {int(contained)} * a, true)"))
-    order = Window.partitionBy("lang").orderBy(F.desc("s.score"), F.desc("a"), "phrase")
-    ranked = kept.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
+    best = [F.desc("s.score"), F.desc("a"), F.col("phrase")]
+    # a language's phrases are ranked in parts first, so that one task gets few of them
+    part = Window.partitionBy("lang", F.pmod(F.xxhash64("phrase"), F.lit(PARTS))).orderBy(*best)
+    first = kept.withColumn("rank", F.row_number().over(part)).where(F.col("rank") <= top)
+    ranked = first.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*best))).where(F.col("rank") <= top)
     return ranked.select("lang", F.col("rank").cast("bigint").alias("rank"), "phrase", "a", "s.l", "s.r", "n", "s.score")
