@@ -17,9 +17,11 @@ from segloom.llm.words import chunks, joined, mixed, rolling, split_words, word_
 #: Words of a window, and of the phrases that stand for windows.
 WINDOW = 50
 PHRASE = 10
-#: Phrases of an automaton, about, and blocks of windows that one task searches with it.
+#: Phrases of an automaton, and blocks of windows of a shard, about; a shard with several times as many blocks
+#: (one document's copies) is searched in several tasks.
 PHRASES = 2_000
-BLOCKS = 4_000
+BLOCKS = 2_000
+SALTED = 4
 #: Repeated windows that a task holds at once, about; a task's windows that are counted before they are sent.
 WINDOWS = 200_000
 #: Documents that are asked for by broadcast; more are asked for by a shuffle.
@@ -192,16 +194,16 @@ def _judge(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.Record
     group, known = None, {}
     for batch in batches:
         out: list[tuple[int, int, int, int]] = []
-        columns = ("shard", "sub", "salt", "digest", "low", "id", "text_hash", "start", "text", "a", "b")
-        for shard, sub, salt, digest, low, number, text_hash, start, text, a, b in zip(*(batch.column(c).to_pylist() for c in columns)):
+        columns = ("shard", "sub", "salt", "digests", "low", "id", "text_hash", "start", "text", "a", "b")
+        for shard, sub, salt, digests, low, number, text_hash, start, text, a, b in zip(*(batch.column(c).to_pylist() for c in columns)):
             if group != (shard, sub, salt):
                 group, known = (shard, sub, salt), {}
-            if digest is not None:
-                known[digest] = low
+            if digests is not None:
+                known.update(dict.fromkeys(digests, low))
                 continue
             starts = [i for first, last in zip(a, b) for i in range(first, last + 1)]
-            digests = window_digests(text.encode().split(b" "), starts, window)
-            gone = [i for i, d in zip(starts, digests) if d in known and known[d] < number]
+            own = window_digests(text.encode().split(b" "), starts, window)
+            gone = [i for i, d in zip(starts, own) if d in known and known[d] < number]
             first = None
             for i, after in zip(gone, [*gone[1:], None]):
                 first = i if first is None else first
@@ -237,14 +239,15 @@ def repeated_stretches(docs: DataFrame, window: int, phrase: int, id_column: str
     key = ["id", "text_hash"]
     texts = packed(docs, id_column, text_column).where("id is not null").select("id", F.xxhash64("text").alias("text_hash"), "text")
     blocks = _blocks(texts, window, phrase)
-    repeated = blocks.groupBy("h1", "h2").agg(F.min("id").alias("source"), F.max("id").alias("last"))
-    repeated = staged(repeated.where("source < last").select("h1", "h2", "source"), "passage-phrases")
-    shards = max(1, -(-repeated.count() // PHRASES))
+    repeated = blocks.groupBy("h1", "h2").agg(F.min("id").alias("source"), F.max("id").alias("last"), F.count(F.lit(1)).alias("n"))
+    repeated = staged(repeated.where("source < last").select("h1", "h2", "source", "n"), "passage-phrases")
+    phrases, found = repeated.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
+    shards = max(1, -(-phrases // PHRASES), -(-found // BLOCKS))
     shard = F.pmod(F.xxhash64("source"), F.lit(shards)).cast("int").alias("shard")
-    met = blocks.join(repeated.select("*", shard), ["h1", "h2"])
+    met = blocks.join(repeated.select("h1", "h2", "source", shard), ["h1", "h2"])
     block = F.struct("a", "b", "at", (F.col("id") == F.col("source")).alias("first"))
     routes = staged(met.groupBy(*key, "shard").agg(F.sort_array(F.collect_set(block)).alias("blocks")), "passage-routes")
-    salts = F.ceil(F.sum(F.size("blocks")) / BLOCKS).cast("int").alias("salts")
+    salts = F.ceil(F.sum(F.size("blocks")) / (SALTED * BLOCKS)).cast("int").alias("salts")
     sizes = staged(routes.groupBy("shard").agg(salts), "passage-shards")
     groups = sizes.agg(F.sum("salts")).first()[0] or 1
     salt = F.pmod(F.xxhash64(*key, "shard"), F.col("salts")).cast("int").alias("salt")
@@ -269,14 +272,15 @@ def repeated_stretches(docs: DataFrame, window: int, phrase: int, id_column: str
     parts = staged(again.groupBy("shard").agg(subs).join(sizes, "shard"), "passage-parts")
     sub = F.pmod(F.xxhash64("digest"), F.col("subs")).cast("int").alias("sub")
     nothing = {"id": "bigint", "text_hash": "bigint", "start": "int", "text": "string", "a": "array<int>", "b": "array<int>"}
-    held = again.join(parts, "shard").select(
-        "shard", sub, F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), "digest", "low", *[F.lit(None).cast(t).alias(c) for c, t in nothing.items()]
+    held = again.join(parts, "shard").groupBy("shard", sub, "salts", "low").agg(F.collect_list("digest").alias("digests"))
+    held = held.select(
+        "shard", "sub", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), "digests", "low", *[F.lit(None).cast(t).alias(c) for c, t in nothing.items()]
     )
     searched = located.where("kind = 1").join(parts, "shard").select(
-        "shard", F.explode(F.sequence(F.lit(0), F.col("subs") - 1)).alias("sub"), "salt", F.lit(None).cast("binary").alias("digest"), F.lit(None).cast("bigint").alias("low"), *nothing
+        "shard", F.explode(F.sequence(F.lit(0), F.col("subs") - 1)).alias("sub"), "salt", F.lit(None).cast("array<binary>").alias("digests"), F.lit(None).cast("bigint").alias("low"), *nothing
     )
     both = held.unionByName(searched).repartition(tasks, "shard", "sub", "salt")
-    gaps = both.sortWithinPartitions("shard", "sub", "salt", F.col("digest").isNull()).mapInArrow(
+    gaps = both.sortWithinPartitions("shard", "sub", "salt", F.col("digests").isNull()).mapInArrow(
         lambda b: _judge(b, window), "id bigint, text_hash bigint, start int, end int"
     )
     return staged(gaps.groupBy(*key).agg(F.collect_set(F.struct("start", "end")).alias("gaps")), "passage-gaps")
