@@ -14,10 +14,14 @@ from pyspark.sql import functions as F
 
 from segloom.llm.common import packed, staged, with_package
 from segloom.llm.tokens import text_encoder
+from segloom.llm.words import chunks
 
 #: Pieces that one packing task places; more pieces make more tasks.
 PIECES_PER_TASK = 30_000
 
+#: Pieces whose places are broadcast; the places of more are brought to their pieces by a shuffle.
+BROADCAST_ROWS = 500_000
+
 PIECES = "uid bigint, id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
 
 
@@ -27,31 +31,30 @@ def token_pieces(docs: DataFrame, vocabulary: str, capacity: int, end_id: int, i
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = text_encoder(vocabulary)
-        kind = np.uint32 if encoder.wide else np.uint16
         uid = TaskContext.get().partitionId() << 40
-        for batch in batches:
+        for batch in chunks(batches):
             rows, ids = [], []
-            for doc, text in zip(batch.column("id").to_pylist(), batch.column("text").to_pylist()):
-                tokens = np.append(np.frombuffer(encoder.encode(text), kind).astype("<u4"), np.uint32(end_id))
-                for piece, start in enumerate(range(0, len(tokens), capacity)):
-                    part = tokens[start : start + capacity]
-                    rows.append((uid, doc, piece, start, len(part), zlib.crc32(part)))
+            tokens, ends = encoder.encode_all(batch.column("text").to_pylist())
+            tokens = np.insert(tokens, ends[1:], end_id).astype("<u4")
+            ends = (ends + np.arange(len(ends))).tolist()
+            for doc, first, end in zip(batch.column("id").to_pylist(), ends, ends[1:]):
+                for piece, at in enumerate(range(first, end, capacity)):
+                    part = tokens[at : min(at + capacity, end)]
+                    rows.append((uid, doc, piece, at - first, len(part), zlib.crc32(part)))
                     uid += 1
                     if with_ids:
-                        ids.append(part)
+                        ids.append(part.tobytes())
             columns = list(zip(*rows)) or [[]] * 6
             types = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
             arrays = [pa.array(c, t) for c, t in zip(columns, types)]
             names = ["uid", "id", "piece", "start", "length", "ids_crc32"]
             if with_ids:
-                offsets = np.concatenate(([0], np.cumsum([len(i) for i in ids]))).astype(np.int32)
-                values = np.concatenate(ids).view("<i4") if ids else np.zeros(0, "<i4")
-                arrays.append(pa.ListArray.from_arrays(pa.array(offsets), pa.array(values)))
+                arrays.append(pa.array(ids, pa.binary()))
                 names.append("ids")
             yield pa.RecordBatch.from_arrays(arrays, names)
 
     rows = packed(docs, id_column, text_column).select("id", "text")
-    return rows.mapInArrow(cut, PIECES + (", ids array<int>" if with_ids else ""))
+    return rows.mapInArrow(cut, PIECES + (", ids binary" if with_ids else ""))
 
 
 def sum_of_squares(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
@@ -105,7 +108,8 @@ def pack_documents(
 
     A document is its text's ids and ``end_id``; longer ones are cut into pieces of ``capacity``,
     the last may be shorter. Returns per piece ``id``, ``piece``, ``start`` (the document's ids
-    before it), ``length``, ``ids_crc32``, ``sequence_id``, ``offset`` and, on request, ``ids``.
+    before it), ``length``, ``ids_crc32``, ``sequence_id``, ``offset`` and, on request, ``ids``
+    (little-endian unsigned 32-bit numbers).
 
     Full pieces are sequences of their own. The others, one per document, are dealt at random to
     tasks of about ``PIECES_PER_TASK``, and each task packs its share by ``sum_of_squares``, longest
@@ -118,7 +122,8 @@ def pack_documents(
     """
     pieces = staged(token_pieces(docs, vocabulary, capacity, end_id, id_column, text_column, with_ids), "pieces")
     partial = pieces.where(F.col("length") < capacity).select("uid", "length")
-    shares = max(1, -(-partial.count() // PIECES_PER_TASK))
+    partial_rows = partial.count()
+    shares = max(1, -(-partial_rows // PIECES_PER_TASK))
 
     def place(share: pd.DataFrame) -> pd.DataFrame:
         share = share.sort_values(["length", "uid"], ascending=[False, True])
@@ -130,6 +135,8 @@ def pack_documents(
     placed = partial.select("uid", "length", share).groupBy("share").applyInPandas(
         place, "uid bigint, sequence_id bigint, offset bigint"
     )
+    if partial_rows <= BROADCAST_ROWS:  # a few numbers each: then the pieces' ids need not be moved
+        placed = F.broadcast(staged(placed, "places"))
     return pieces.join(placed, "uid", "left").select(
         "id",
         "piece",

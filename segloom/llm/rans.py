@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from segloom.llm.common import packed, staged, with_package
 from segloom.llm.tokens import text_encoder
+from segloom.llm.words import chunks
 
 PRECISION = 20
 LOW = np.uint64(1 << 31)
@@ -23,6 +24,8 @@ MASK = np.uint64((1 << 32) - 1)
 BLOCK = 1 << 16
 #: Steps between two checkpoints.
 STRIDE = 512
+#: Blocks whose places in the whole are broadcast; more are joined by a shuffle.
+BROADCAST_ROWS = 200_000
 HEADER = struct.Struct("<4sIIHHII")
 MAGIC = b"rANS"
 
@@ -197,19 +200,33 @@ def _decode(blobs: list[bytes], table: Table, lanes: int) -> list[np.ndarray]:
 
 
 def token_ids(docs: DataFrame, vocabulary: str, end_id: int, id_column: str, text_column: str) -> DataFrame:
-    """``part``, ``nth``, ``id`` and ``ids`` (little-endian bytes) of all documents; (part, nth) follows ascending id."""
+    """``part``, ``nth``, ``id`` and ``ids`` (little-endian bytes) of all documents; (part, nth) follows ascending id.
+
+    After the documents of a part comes a row without ``nth``: its ``ids`` are how often each symbol occurs in the part,
+    as pairs of 64-bit numbers.
+    """
     with_package(docs.sparkSession)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = text_encoder(vocabulary)
-        end, nth = encoder.pack([end_id]), 0
-        for batch in batches:
-            ids = pa.array([encoder.encode(t) + end for t in batch.column("text").to_pylist()], pa.binary())
-            place = pa.array(range(nth, nth + len(ids)), pa.int64())
-            nth += len(ids)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("part"), place, batch.column("id"), ids], ["part", "nth", "id", "ids"]
-            )
+        counts = np.zeros(max(encoder.tokenizer.get_vocab_size(), end_id + 1), np.int64)
+        nth, part = 0, 0
+        for batch in chunks(batches):
+            ids, ends = encoder.encode_all(batch.column("text").to_pylist())
+            n = len(ends) - 1
+            counts += np.bincount(ids, minlength=len(counts))
+            counts[end_id] += n
+            ids = np.insert(ids, ends[1:], end_id)
+            places = (ends + np.arange(n + 1)) * encoder.width
+            blobs = pa.Array.from_buffers(pa.large_binary(), n, [None, pa.py_buffer(places.tobytes()), pa.py_buffer(ids.tobytes())])
+            arrays = [batch.column("part"), pa.array(np.arange(nth, nth + n)), batch.column("id"), blobs.cast(pa.binary())]
+            part, nth = batch.column("part")[0].as_py(), nth + n
+            yield pa.RecordBatch.from_arrays(arrays, ["part", "nth", "id", "ids"])
+        if nth:
+            used = np.nonzero(counts)[0]
+            pairs = np.stack((used, counts[used]), 1).astype("<i8").tobytes()
+            last = [pa.array([part], pa.int32()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.array([pairs], pa.binary())]
+            yield pa.RecordBatch.from_arrays(last, ["part", "nth", "id", "ids"])
 
     rows = packed(docs, id_column, text_column).select("id", "text", F.xxhash64("text").alias("text_hash"))
     ordered = rows.repartitionByRange("id", "text_hash").sortWithinPartitions("id", "text_hash")
@@ -217,18 +234,16 @@ def token_ids(docs: DataFrame, vocabulary: str, end_id: int, id_column: str, tex
     return ordered.mapInArrow(encode, "part int, nth bigint, id bigint, ids binary")
 
 
-def symbol_counts(ids: DataFrame, symbols: int, kind: str) -> np.ndarray:
-    """How often each symbol occurs: summed per task, then by symbol. One number per symbol is collected."""
+def symbol_counts(ids: DataFrame, symbols: int) -> np.ndarray:
+    """How often each symbol occurs, from the parts' counts. One number per symbol is collected."""
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(symbols, np.int64)
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            joined = b"".join(batch.column("ids").to_pylist())
-            total += np.bincount(np.frombuffer(joined, kind), minlength=symbols)
-        used = np.nonzero(total)[0]
-        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], ["symbol", "n"])
+            for pairs in batch.column("ids").to_pylist():
+                found = np.frombuffer(pairs, "<i8").reshape(-1, 2)
+                yield pa.RecordBatch.from_arrays([pa.array(found[:, 0].copy()), pa.array(found[:, 1].copy())], ["symbol", "n"])
 
-    rows = ids.select("ids").mapInArrow(count, "symbol bigint, n bigint").groupBy("symbol").agg(F.sum("n").alias("n"))
+    rows = ids.where("nth is null").select("ids").mapInArrow(spread, "symbol bigint, n bigint").groupBy("symbol").agg(F.sum("n").alias("n"))
     counts = np.zeros(symbols, np.int64)
     for row in rows.collect():
         counts[row.symbol] = row.n
@@ -265,7 +280,7 @@ def write_token_files(
     encoder = text_encoder(vocabulary)
     symbols, kind = max(encoder.tokenizer.get_vocab_size(), end_id + 1), f"<u{encoder.width}"
     ids = staged(token_ids(docs, vocabulary, end_id, id_column, text_column), "token-ids")
-    scaled = scale_counts(symbol_counts(ids, symbols, kind)).astype(np.uint32)
+    scaled = scale_counts(symbol_counts(ids, symbols)).astype(np.uint32)
     spark.createDataFrame(
         [(s, int(n)) for s, n in enumerate(scaled) if n], "symbol int, frequency int"
     ).coalesce(1).write.parquet(f"{path}/frequencies")
@@ -309,7 +324,7 @@ def write_token_files(
         if ready:
             yield flush()
 
-    ids.mapInArrow(encode, BLOCKS).write.option("compression", "none").parquet(f"{path}/blocks")
+    ids.where("nth is not null").mapInArrow(encode, BLOCKS).write.option("compression", "none").parquet(f"{path}/blocks")
 
 
 BLOCK_NAMES = [field.split()[0] for field in BLOCKS.split(", ")]
@@ -350,6 +365,8 @@ def read_token_files(spark, path: str, with_ids: bool = True) -> DataFrame:
     own = F.coalesce(F.sum("symbols").over(Window.partitionBy("part").orderBy("first").rowsBetween(*earlier)), F.lit(0))
     starts = sizes.select("part", "first", own.alias("offset")).join(parts, "part")
     starts = starts.select("part", "first", (F.col("base") + F.col("offset")).alias("base"))
+    if blocks.count() <= BROADCAST_ROWS:  # a row for each 65,536 ids: then documents need not be moved
+        starts = F.broadcast(starts)
     return docs.join(starts, ["part", "first"]).select(
         "id",
         (F.col("base") + F.col("skip")).alias("start"),

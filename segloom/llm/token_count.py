@@ -17,6 +17,11 @@ from segloom.llm.common import packed, unpacked, with_package
 from segloom.llm.tokens import KNOWN_PIECES, KNOWN_WORDS, LONGEST_KNOWN, TAIL, byte_letters
 
 
+#: Letters whose lower form the tokenizers library knows and this Python does not; sigma, which the
+#: library lowers letter by letter, not by its place in the word.
+LOWER = {0x03A3: 0x03C3, 0xA7CB: 0x0264, 0xA7DC: 0x019B}
+
+
 class TokenCounter:
     """Counts the tokens of a text under a byte-level merge list with word ends.
 
@@ -70,8 +75,7 @@ class TokenCounter:
             if len(piece) <= LONGEST_KNOWN:
                 self.pieces[piece] = total
             return total
-        # sigma is lowered letter by letter, not by its place in the word
-        plain = unicodedata.normalize("NFC", piece).replace("Σ", "σ").lower()
+        plain = unicodedata.normalize("NFC", piece).translate(LOWER).lower()
         total = sum(map(self._word, self.word.findall(plain)))
         if len(piece) <= LONGEST_KNOWN:
             self.pieces[piece] = total

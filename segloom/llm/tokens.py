@@ -7,9 +7,14 @@ import os
 import re
 from array import array
 
-#: Entries of a worker's memories of pieces and of words; a full one starts anew.
-KNOWN_PIECES = 1_000_000
-KNOWN_WORDS = 1_000_000
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+
+#: Entries of a worker's memories of pieces and of words, each of at most ``LONGEST_KNOWN`` characters: some
+#: 70 MB a memory, 150 MB at the very most. A full one starts anew.
+KNOWN_PIECES = 300_000
+KNOWN_WORDS = 300_000
 LONGEST_KNOWN = 64
 
 #: White space besides the blank and the line feed, as Unicode has it.
@@ -62,16 +67,54 @@ class TextEncoder:
         return 4 if self.wide else 2
 
     def pieces(self, text: str) -> list[str] | None:
-        if any(s in text for s in self.specials):
-            return None
-        if self.drops_space:
-            return text.replace("\n", " ").split(" ")
-        if "\0" in text or any(c in text for c in SEPARATORS):
+        line = self._marked(text)
+        return None if line is None else line.split(" " if self.drops_space else "\0")
+
+    def _plain(self, text: str) -> str | list[str] | None:
+        if any(s in text for s in self.specials) or "\0" in text or any(c in text for c in SEPARATORS):
             return None
         runs = "  " in text or "\n\n" in text or " \n" in text or "\n " in text
         if runs or text[-1:] in (" ", "\n") or any(c in text for c in OTHER_SPACE):
             return re.findall(r"\s*\S+|\s+", text)
-        return text.replace(" ", "\0 ").replace("\n", "\0\n").split("\0")
+        return text.replace(" ", "\0 ").replace("\n", "\0\n")
+
+    def encode_all(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts in a row, and where each text's ids begin (one more than texts).
+
+        Pieces are cut and told apart for all texts at once, so that each distinct one is looked up once.
+        """
+        marked, alone = [], {}
+        for k, text in enumerate(texts):
+            line = self._marked(text)
+            if line is None:  # for the library as a whole
+                alone[k] = self.pack(self.tokenizer.encode(text, add_special_tokens=False).ids)
+                line = ""
+            marked.append(line)
+        lists = pc.split_pattern(pa.array(marked, pa.string()), " " if self.drops_space else "\0")
+        ends = lists.offsets.to_numpy().astype(np.int64)
+        codes = lists.values.dictionary_encode()
+        pieces, codes = codes.dictionary.to_pylist(), codes.indices.to_numpy().astype(np.int64)
+        found = list(map(self.known.get, pieces))
+        if None in found:
+            fresh = self._learn({p for p, ids in zip(pieces, found) if ids is None})
+            found = [fresh[p] if ids is None else ids for p, ids in zip(pieces, found)]
+        for n, k in enumerate(alone):
+            codes[ends[k]] = len(pieces) + n
+        found.extend(alone.values())
+        own = np.frombuffer(b"".join(found), f"<u{self.width}")
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // self.width
+        starts = np.cumsum(sizes) - sizes
+        many = sizes[codes]
+        after = np.concatenate(([0], np.cumsum(many)))
+        places = np.repeat(starts[codes] - after[:-1], many) + np.arange(after[-1])
+        return own[places], after[ends]
+
+    def _marked(self, text: str) -> str | None:
+        """The text with a mark where it is cut."""
+        if self.drops_space:
+            return None if any(s in text for s in self.specials) else text.replace("\n", " ")
+        pieces = self._plain(text)
+        return pieces if pieces is None or isinstance(pieces, str) else "\0".join(pieces)
 
     def encode(self, text: str) -> bytes:
         """The ids as little-endian unsigned numbers of ``width`` bytes."""

@@ -8,6 +8,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
+from segloom.llm import tokens
 from segloom.llm.packing import pack_documents, sum_of_squares
 from segloom.llm.rans import Table, decode_blocks, encode_blocks, read_token_files, scale_counts, write_token_files
 from segloom.llm.token_count import TokenCounter, count_tokens
@@ -34,6 +35,27 @@ def test_ids_as_the_library_gives_them(path):
         assert list(memoryview(own.encode(text)).cast(own.code)) == library.encode(text, add_special_tokens=False).ids
 
 
+@pytest.mark.parametrize("path", [WORDS, BYTES])
+def test_ids_of_many_texts_at_once(path, monkeypatch):
+    monkeypatch.setattr(tokens, "KNOWN_PIECES", 50)
+    monkeypatch.setattr(tokens, "KNOWN_WORDS", 50)
+    library, own = Tokenizer.from_file(path), TextEncoder(path)
+    texts = odd_texts()
+    want = [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+    for size in (1, 7, 1000):
+        for k in range(0, len(texts) if size > 1 else 60, size):
+            ids, ends = own.encode_all(texts[k : k + size])
+            assert [ids[a:b].tolist() for a, b in zip(ends, ends[1:])] == want[k : k + size]
+    assert [a.tolist() for a in own.encode_all([])] == [[], [0]]
+
+
+def test_counts_of_all_letters():
+    library, own = Tokenizer.from_file(WORDS), TokenCounter(WORDS)
+    texts = [f"a{chr(c)}b {chr(c)}" for c in range(0x20000) if not 0xD800 <= c < 0xE000]
+    found = library.encode_batch_fast(texts, add_special_tokens=False)
+    assert [t for t, e in zip(texts, found) if own.count(t) != len(e.ids)] == []
+
+
 def test_counts_as_the_library_gives_them():
     library, own = Tokenizer.from_file(WORDS), TokenCounter(WORDS)
     for text in odd_texts() * 2:
@@ -72,7 +94,7 @@ def test_packing(spark, data):
     library = Tokenizer.from_file(WORDS)
     for doc, part in rows.sort_values(["id", "piece"]).groupby("id"):
         ids = np.array(library.encode(texts[doc] or "", add_special_tokens=False).ids + [1], "<u4")
-        assert np.array_equal(np.concatenate(part.ids.to_numpy()), ids)
+        assert np.array_equal(np.frombuffer(b"".join(part.ids), "<u4"), ids)
         assert list(part.start) == list(range(0, len(ids), 4096)) and set(part.length[:-1]) <= {4096}
         assert [zlib.crc32(ids[a : a + n]) for a, n in zip(part.start, part.length)] == list(part.ids_crc32)
     rows = rows.sort_values(["sequence_id", "offset"])
