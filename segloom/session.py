@@ -10,6 +10,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
 
 
@@ -41,5 +42,8 @@ def materialise(df: DataFrame) -> DataFrame:
 
 def observed(observation: Observation, name: str) -> int | None:
     """An observed count, or None if the query ended without reporting it."""
-    found = observation._jo.getOrEmpty()  # get would wait for a report that a plan without rows may never make
+    try:
+        found = observation._jo.getOrEmpty()  # get would wait for a report that a plan without rows may never make
+    except Py4JJavaError:  # such a plan reports a row without columns
+        return None
     return found.apply(name) if found.contains(name) else None
