@@ -17,32 +17,41 @@ from segloom.llm.common import packed, quoted, staged, text_or_empty, with_packa
 
 #: Labelled rows of each class that become examples, at most.
 EXAMPLES = 2_000
-#: Terms of the index, at most, and the likelihood ratio that a term's split must reach.
-TERMS = 2_048
-EVIDENCE = 40.0
 NEIGHBOURS = 15
-BLOCK = 64
-PREFIXES = (4, 5)
+#: Examples of a block, and blocks that are searched before the others are held against the best found.
+BLOCK = 256
+FIRST = 3
+#: Votes of an example at distance 0 are worth 1 / NEAREST, those of the common share PRIOR.
+NEAREST = 0.05
+PRIOR = 1.0
+#: Share of the vote itself in a score, so that equal calibrated scores keep the order of their votes.
+TILT = 0.02
 WORD = re.compile(r"[^\W\d_]+")
 
 
 def term_counts(text: str) -> Counter:
-    """Lower-case words, and beginnings of longer words (marked by a star), with their numbers."""
-    words = Counter(WORD.findall(text.lower()))
-    found = Counter(words)
-    for word, n in words.items():
-        for size in PREFIXES:
-            if len(word) > size:
-                found[word[:size] + "*"] += n
-    return found
+    """Lower-case words with their numbers."""
+    return Counter(WORD.findall(text.lower()))
+
+
+def evidence_weight(a: np.ndarray, b: np.ndarray, n1: int, n0: int) -> np.ndarray:
+    """Twice the log likelihood ratio of a term's documents, ``a`` of ``n1`` and ``b`` of ``n0``, against one common rate."""
+
+    def part(seen: np.ndarray, expected: np.ndarray) -> np.ndarray:
+        ratio = np.where(seen > 0, seen, 1) / np.maximum(np.where(seen > 0, expected, 1), 1e-9)
+        return np.where(seen > 0, seen * np.log(ratio), 0.0)
+
+    rate = (a + b) / max(n1 + n0, 1)
+    total = part(a, rate * n1) + part(b, rate * n0) + part(n1 - a, (1 - rate) * n1) + part(n0 - b, (1 - rate) * n0)
+    return np.maximum(2 * total, 0.0) + 1e-3
 
 
 @dataclass
 class ExampleIndex:
-    """Inverted lists over example blocks, with the largest weight of each term in each block."""
+    """Inverted lists of all terms over example blocks, with the largest weight of each term in each block."""
 
     terms: dict[str, int]
-    idf: np.ndarray
+    factor: np.ndarray
     ids: np.ndarray
     labels: np.ndarray
     examples: np.ndarray
@@ -53,39 +62,40 @@ class ExampleIndex:
     unmatched: float = 0.5
 
     @staticmethod
-    def build(terms: list[str], rows: list[tuple[int, int, dict[str, int]]]) -> ExampleIndex:
-        """``rows``: id, label and term counts of each example."""
-        place = {t: k for k, t in enumerate(terms)}
-        seen = np.zeros(len(terms))
-        vectors = []
-        for doc, label, counts in rows:
-            own = sorted((place[t], n) for t, n in counts.items() if t in place)
-            if own:
-                at = np.array([k for k, _ in own])
-                seen[at] += 1
-                vectors.append((doc, label, at, 1 + np.log([n for _, n in own])))
-        idf = np.log((1 + len(vectors)) / (1 + seen)) + 1
-        vectors = [(d, y, at, tf * idf[at] / np.linalg.norm(tf * idf[at])) for d, y, at, tf in vectors]
+    def build(ids: np.ndarray, labels: np.ndarray, terms: list[str], example: np.ndarray, term: np.ndarray, count: np.ndarray) -> ExampleIndex:
+        """``example``, ``term`` and ``count`` are the entries of the examples' term counts, by example."""
+        held = np.bincount(example, minlength=len(ids)) > 0
+        toxic = labels[example] > 0
+        a = np.bincount(term[toxic], minlength=len(terms)).astype(np.float64)
+        b = np.bincount(term[~toxic], minlength=len(terms)).astype(np.float64)
+        idf = np.log((1 + held.sum()) / (1 + a + b)) + 1
+        factor = idf * evidence_weight(a, b, int(labels[held].sum()), int((labels[held] == 0).sum()))
+        weight = (1 + np.log(count)) * factor[term]
+        weight = weight / np.sqrt(np.bincount(example, weight**2, minlength=len(ids)))[example]
         # alike examples side by side, so that few blocks can hold a query's neighbours
-        vectors.sort(key=lambda v: (v[2][v[3].argmax()], v[1], v[0]))
-        blocks = max(1, -(-len(vectors) // BLOCK))
-        term = np.concatenate([v[2] for v in vectors]) if vectors else np.zeros(0, np.int64)
-        example = np.repeat(np.arange(len(vectors)), [len(v[2]) for v in vectors])
-        weight = np.concatenate([v[3] for v in vectors]) if vectors else np.zeros(0)
-        order = np.lexsort((example, term))
-        term, example, weight = term[order], example[order], weight[order]
+        by = np.lexsort((term, -weight, example))
+        strongest = np.full(len(ids), len(terms))
+        lead = by[np.flatnonzero(np.diff(example[by], prepend=-1))]
+        strongest[example[lead]] = term[lead]
+        order = np.lexsort((ids, labels, strongest))
+        order = order[held[order]]
+        place = np.full(len(ids), -1)
+        place[order] = np.arange(len(order))
+        blocks = max(1, -(-len(order) // BLOCK))
+        example = place[example]
+        by = np.lexsort((example, term))
+        term, example, weight = term[by], example[by], weight[by]
         cell = term * blocks + example // BLOCK
-        bounds = np.searchsorted(cell, np.arange(len(terms) * blocks + 1)).astype(np.int32)
-        peaks = np.zeros(len(terms) * blocks)
-        np.maximum.at(peaks, cell, weight)
+        peaks = np.zeros(len(terms) * blocks, np.float32)
+        np.maximum.at(peaks, cell, np.nextafter(weight.astype(np.float32), np.float32(2)))
         return ExampleIndex(
-            place,
-            idf,
-            np.array([v[0] for v in vectors], np.int64),
-            np.array([v[1] for v in vectors], np.float64),
+            {t: k for k, t in enumerate(terms)},
+            factor,
+            ids[order],
+            labels[order].astype(np.float64),
             example.astype(np.int32),
             weight,
-            bounds,
+            np.searchsorted(cell, np.arange(len(terms) * blocks + 1)).astype(np.int32),
             peaks.reshape(len(terms), blocks),
         )
 
@@ -94,47 +104,75 @@ class ExampleIndex:
         if not own:
             return np.zeros(0, np.int64), np.zeros(0)
         at = np.array([k for k, _ in own])
-        value = (1 + np.log([n for _, n in own])) * self.idf[at]
+        value = (1 + np.log([n for _, n in own])) * self.factor[at]
         return at, value / np.linalg.norm(value)
 
+    def vectors(self) -> list[tuple[np.ndarray, np.ndarray]]:
+        """The examples' own vectors."""
+        blocks = self.peaks.shape[1]
+        term = np.repeat(np.arange(len(self.terms)), np.diff(self.bounds[::blocks]))
+        by = np.argsort(self.examples, kind="stable")
+        ends = np.searchsorted(self.examples[by], np.arange(len(self.ids) + 1))
+        return [(term[by[a:b]], self.weights[by[a:b]]) for a, b in zip(ends, ends[1:])]
+
+    def _cosines(self, at: np.ndarray, value: np.ndarray, some: np.ndarray) -> np.ndarray:
+        """Cosines with all examples of ``some`` blocks, 0 elsewhere."""
+        cells = at[:, None] * self.peaks.shape[1] + some
+        low = self.bounds[cells].ravel().astype(np.int64)
+        many = self.bounds[cells + 1].ravel() - low
+        ends = np.cumsum(many)
+        if not len(ends) or not ends[-1]:
+            return np.zeros(len(self.ids))
+        entries = np.arange(ends[-1]) + np.repeat(low - ends + many, many)
+        parts = self.weights[entries] * np.repeat(np.repeat(value, len(some)), many)
+        return np.bincount(self.examples[entries], parts, minlength=len(self.ids))
+
     def nearest(self, at: np.ndarray, value: np.ndarray, k: int = NEIGHBOURS, leave: int = -1) -> tuple[np.ndarray, np.ndarray]:
         """Places and cosines of the ``k`` most similar examples (cosine over 0), the first place among equals.
 
-        Blocks are visited in order of the cosine that their largest weights allow; the search ends
-        at the first block that cannot reach the k-th best found.
+        The blocks whose largest weights allow the highest cosines are searched first; of the others only those that
+        can reach the k-th best found.
         """
-        blocks = self.peaks.shape[1]
         limit = value @ self.peaks[at]
-        best_at, best = np.zeros(0, np.int64), np.zeros(0)
-        for b in np.argsort(-limit, kind="stable"):
-            if limit[b] <= 0 or (len(best) == k and limit[b] < best[-1] - 1e-12):
-                break
-            score = np.zeros(BLOCK)
-            for t, v in zip(at.tolist(), value.tolist()):
-                lo, hi = self.bounds[t * blocks + b], self.bounds[t * blocks + b + 1]
-                score[self.examples[lo:hi] - b * BLOCK] += v * self.weights[lo:hi]
-            hit = np.nonzero(score > 0)[0]
-            places, scores = np.append(best_at, hit + b * BLOCK), np.append(best, score[hit])
-            keep = places != leave
-            places, scores = places[keep], scores[keep]
-            order = np.lexsort((places, -scores))[:k]
-            best_at, best = places[order], scores[order]
-        return best_at, best
+        order = np.argsort(-limit, kind="stable")
+        order = order[limit[order] > 0]
+        found = self._cosines(at, value, order[:FIRST])
+        if leave >= 0:
+            found[leave] = 0
+        best = self._best(found, k)
+        floor = found[best[-1]] if len(best) == k else 0.0
+        rest = order[FIRST:]
+        rest = rest[limit[rest] >= floor - 1e-9]
+        if len(rest):
+            more = self._cosines(at, value, rest)
+            if leave >= 0:
+                more[leave] = 0
+            found = found + more
+            best = self._best(found, k)
+        return best, found[best]
+
+    @staticmethod
+    def _best(found: np.ndarray, k: int) -> np.ndarray:
+        places = np.flatnonzero(found > 0)
+        if len(places) > k:
+            floor = np.partition(found[places], len(places) - k)[len(places) - k]
+            places = places[found[places] >= floor]
+        return places[np.lexsort((places, -found[places]))][:k]
 
     def vote(self, places: np.ndarray, cosines: np.ndarray) -> float | None:
-        """Share of toxic neighbours, each weighed by the inverse of its distance; none: no vote."""
+        """Share of toxic neighbours, each weighed by the inverse of its distance, with a little of the share of all examples."""
         if not len(places):
             return None
-        weight = 1 / (0.05 + 1 - np.minimum(cosines, 1.0))
-        return float((weight * self.labels[places]).sum() / weight.sum())
+        weight = 1 / (NEAREST + 1 - np.minimum(cosines, 1.0))
+        return float(((weight * self.labels[places]).sum() + PRIOR * self.labels.mean()) / (weight.sum() + PRIOR))
 
-    def score(self, text_terms: Counter) -> tuple[float, list[tuple[int, int, float]]]:
-        places, cosines = self.nearest(*self.vector(text_terms))
+    def score(self, counts: Counter) -> tuple[float, list[tuple[int, int, float]]]:
+        places, cosines = self.nearest(*self.vector(counts))
         vote = self.vote(places, cosines)
         if vote is None:
             return self.unmatched, []
         evidence = [(int(self.ids[p]), int(self.labels[p]), float(c)) for p, c in zip(places[:3], cosines[:3])]
-        return float(np.interp(vote, *self.calibration)), evidence
+        return float((1 - TILT) * np.interp(vote, *self.calibration) + TILT * vote), evidence
 
 
 def fit_toxicity(
@@ -147,14 +185,13 @@ def fit_toxicity(
 ) -> ExampleIndex:
     """An index of at most ``examples`` labelled documents of each class, those of the smallest id hashes.
 
-    The terms are words and word beginnings whose documents split between the classes as chance
-    would not (likelihood ratio of at least ``EVIDENCE``), the ``TERMS`` strongest; weights are TF-IDF
-    over the examples. Every example votes on every other; isotonic calibration of those votes, weighed
-    to the classes' shares among all ``labels``, turns votes into scores. Texts without any term
+    All words of the examples are terms; weights are TF-IDF times the term's evidence, the likelihood ratio of its
+    documents' split between the classes. Every example votes on every other, in tasks; isotonic calibration of those
+    votes, weighed to the classes' shares among all ``labels``, turns votes into scores. Texts without any term
     score the share of toxic examples among such texts. Rows without id or label are left
     out; an id labelled twice counts once (its larger label). No labelled document: every score is 0.5.
     """
-    with_package(docs.sparkSession)
+    spark = with_package(docs.sparkSession)
     known = (
         labels.select(F.col(quoted(id_column)).cast("bigint").alias("id"), F.col(quoted(label_column)).cast("int").alias("label"))
         .where("id is not null and label in (0, 1)")
@@ -165,91 +202,68 @@ def fit_toxicity(
     some = [known.where(F.col("label") == y).orderBy(F.xxhash64("id"), "id").limit(examples) for y in (0, 1)]
     texts = docs.select(F.col(quoted(id_column)).cast("bigint").alias("id"), text_or_empty(text_column).alias("text"))
     # twice ``examples`` rows of two numbers at most
-    rows = texts.join(F.broadcast(some[0].unionByName(some[1])), "id")
+    rows = texts.join(F.broadcast(some[0].unionByName(some[1])), "id").withColumn("text_hash", F.xxhash64("text"))
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kind = pa.map_(pa.string(), pa.int64())
         for batch in batches:
-            counts = [list(term_counts(t).items()) for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), batch.column("label"), pa.array(counts, kind)], ["id", "label", "counts"]
-            )
-
-    described = rows.select("id", "label", "text").mapInArrow(describe, "id bigint, label int, counts map<string,bigint>")
-    described = staged(described, "toxicity-fit")
-    n = {row.label: row["count"] for row in described.groupBy("label").count().collect()}
-    if not n:
-        return ExampleIndex.build([], [])
-    split = described.select("label", F.explode(F.map_keys("counts")).alias("term")).groupBy("term").agg(
-        F.sum("label").alias("a"), F.sum(1 - F.col("label")).alias("b")
+            counts = [term_counts(t) for t in batch.column("text").to_pylist()]
+            terms = pa.array([list(c) for c in counts], pa.list_(pa.string()))
+            arrays = [batch.column(c) for c in ("id", "label", "text_hash")]
+            arrays += [terms, pa.array([list(c.values()) for c in counts], pa.list_(pa.int32()))]
+            yield pa.RecordBatch.from_arrays(arrays, ["id", "label", "text_hash", "terms", "counts"])
+
+    described = rows.select("id", "label", "text_hash", "text").mapInArrow(
+        describe, "id bigint, label int, text_hash bigint, terms array<string>, counts array<int>"
     )
-    strength = _likelihood_ratio(F.col("a"), F.col("b"), n.get(1, 0), n.get(0, 0))
-    terms = (
-        split.where("a + b >= 3")
-        .select("term", strength.alias("strength"))
-        .where(F.col("strength") >= EVIDENCE)
-        .orderBy(F.desc("strength"), "term")
-        .limit(TERMS)
+    # the words of at most twice ``examples`` texts
+    found = staged(described, "toxicity-fit").toArrow().sort_by([("id", "ascending"), ("text_hash", "ascending")]).combine_chunks()
+    if not found.num_rows:
+        return ExampleIndex.build(np.zeros(0, np.int64), np.zeros(0, np.int64), [], *[np.zeros(0, np.int64)] * 3)
+    lists = pa.concat_arrays(found.column("terms").chunks)
+    codes = lists.flatten().dictionary_encode()
+    example = np.repeat(np.arange(len(lists)), np.diff(lists.offsets.to_numpy()))
+    counts = pa.concat_arrays(found.column("counts").chunks).flatten().to_numpy()
+    label = found.column("label").to_numpy()
+    index = ExampleIndex.build(
+        found.column("id").to_numpy(), label, codes.dictionary.to_pylist(), example, codes.indices.to_numpy().astype(np.int64), counts
     )
-    terms = [row.term for row in terms.collect()]
-    listed = set(terms)
-
-    def reduce(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            counts = [[(t, c) for t, c in row if t in listed] for row in batch.column("counts").to_pylist()]
-            yield batch.set_column(2, "counts", pa.array(counts, pa.map_(pa.string(), pa.int64())))
-
-    # at most 2 x examples rows with at most TERMS entries
-    sample = described.mapInArrow(reduce, described.schema).collect()
-    index = ExampleIndex.build(terms, [(r.id, r.label, r.counts) for r in sorted(sample, key=lambda r: (r.id, sorted(r.counts.items())))])
-    weight = {y: sizes[y] / n[y] for y in n}
-    return _calibrated(index, [(r.label, len(r.counts)) for r in sample], weight)
-
-
-def _likelihood_ratio(a, b, n1: int, n0: int):
-    """Twice the log likelihood ratio of a term's documents, ``a`` of ``n1`` and ``b`` of ``n0``, against one common rate."""
+    weight = {y: sizes[y] / max((label == y).sum(), 1) for y in sizes}
+    lonely = [(int(y), weight[int(y)]) for y, n in zip(label, np.diff(lists.offsets.to_numpy())) if not n]
+    index.unmatched = (sum(y * w for y, w in lonely) + 0.05) / (sum(w for _, w in lonely) + 1)
+    votes = _votes(spark, index)
+    by_vote: dict[float, list[float]] = {}
+    for place, vote in votes:
+        cell = by_vote.setdefault(round(0.5 if vote is None else vote, 3), [0.0, 0.0])
+        cell[0] += index.labels[place] * weight[int(index.labels[place])]
+        cell[1] += weight[int(index.labels[place])]
+    x = np.array(sorted(by_vote))
+    index.calibration = isotonic(x, *(np.array([by_vote[v][k] for v in sorted(by_vote)]) for k in (0, 1)))
+    return index
 
-    def part(seen, expected):
-        return F.when(seen > 0, seen * F.log(seen / expected)).otherwise(0.0)
 
-    rate = (a + b) / F.lit(float(n1 + n0))
-    rest = 1 - rate
-    return 2 * (
-        part(a, rate * n1) + part(b, rate * n0) + part(n1 - a, F.greatest(rest * n1, F.lit(1e-9))) + part(n0 - b, F.greatest(rest * n0, F.lit(1e-9)))
-    )
+def _votes(spark, index: ExampleIndex) -> list[tuple[int, float | None]]:
+    """Each example's vote by the others; one number per example is collected."""
+    shared, many = spark.sparkContext.broadcast(index), len(index.ids)
 
+    def vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = shared.value
+        vectors = own.vectors()
+        for batch in batches:
+            places = batch.column("id").to_pylist()
+            votes = [own.vote(*own.nearest(*vectors[p], leave=p)) for p in places]
+            yield pa.RecordBatch.from_arrays([pa.array(places), pa.array(votes, pa.float64())], ["place", "vote"])
 
-def _calibrated(index: ExampleIndex, examples: list[tuple[int, int]], weight: dict[int, float]) -> ExampleIndex:
-    """Calibrates on votes that leave the voter's own example out."""
-    votes: dict[float, list[float]] = {}
-    blocks = index.peaks.shape[1]
-    by_example: list[tuple[list[int], list[float]]] = [([], []) for _ in index.ids]
-    for t in range(len(index.terms)):
-        for k in range(index.bounds[t * blocks], index.bounds[(t + 1) * blocks]):
-            by_example[index.examples[k]][0].append(t)
-            by_example[index.examples[k]][1].append(index.weights[k])
-    lonely = [[y, weight[y]] for y, terms in examples if not terms]
-    for place, (at, value) in enumerate(by_example):
-        y = int(index.labels[place])
-        vote = index.vote(*index.nearest(np.array(at), np.array(value), leave=place))
-        if vote is None:
-            vote = 0.5  # the only one with its terms
-        cell = votes.setdefault(round(vote, 3), [0.0, 0.0])
-        cell[0] += y * weight[y]
-        cell[1] += weight[y]
-    x = np.array(sorted(votes))
-    index.calibration = isotonic(x, *(np.array([votes[v][k] for v in sorted(votes)]) for k in (0, 1)))
-    base = sum(y * w for y, w in lonely) + 0.05
-    index.unmatched = base / (sum(w for _, w in lonely) + 1)
-    return index
+    rows = spark.range(0, many, 1, max(1, many // 200)).mapInArrow(vote, "place bigint, vote double").collect()
+    shared.unpersist()
+    return sorted((r.place, r.vote) for r in rows)
 
 
 def score_toxicity(docs: DataFrame, index: ExampleIndex, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """``id``, ``score`` (0 to 1) and ``evidence``, the up to three nearest examples with label and cosine.
 
-    Each text is scored where it is read; the index, of bounded size, goes to every executor once.
+    Each text is scored where it is read; the index, bounded by its examples, goes to every executor once.
     Null and empty texts have no term and score like other texts without one; repeated rows score
-    alike; an empty table gives an empty table.
+    alike; examples at the same distance count in the index's order; an empty table gives an empty table.
     """
     spark = with_package(docs.sparkSession)
     shared = spark.sparkContext.broadcast(index)
@@ -257,10 +271,8 @@ def score_toxicity(docs: DataFrame, index: ExampleIndex, id_column: str = "doc_i
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
-        whole = {t for t in own.terms if not t.endswith("*")}
-        begins = {t[:-1] for t in own.terms if t.endswith("*")}
         for batch in batches:
-            results = [own.score(_known_terms(t, whole, begins)) for t in batch.column("text").to_pylist()]
+            results = [own.score(term_counts(t)) for t in batch.column("text").to_pylist()]
             evidence = [[dict(zip(("doc_id", "label", "cosine"), e)) for e in r[1]] for r in results]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id"), pa.array([r[0] for r in results], pa.float64()), pa.array(evidence, kind)],
@@ -269,15 +281,3 @@ def score_toxicity(docs: DataFrame, index: ExampleIndex, id_column: str = "doc_i
 
     rows = packed(docs, id_column, text_column).select("id", "text")
     return rows.mapInArrow(score, "id bigint, score double, evidence array<struct<doc_id:bigint,label:int,cosine:double>>")
-
-
-def _known_terms(text: str, whole: set[str], begins: set[str]) -> Counter:
-    """The part of ``term_counts`` that is in the index."""
-    found: Counter = Counter()
-    for word, n in Counter(WORD.findall(text.lower())).items():
-        if word in whole:
-            found[word] += n
-        for size in PREFIXES:
-            if len(word) > size and word[:size] in begins:
-                found[word[:size] + "*"] += n
-    return found
