@@ -8,12 +8,12 @@ With S segments and P partitions there are three cases:
   turn, in the order of a unique ``order_by`` key. This one needs each row's rank within its
   partition.
 
-The rank never gathers a partition in one task unless the partition is known to be small.
-Large ones are cut into *cells*, ranges of the order key within the partition: count rows per
-(partition, cell), take running totals of those few counts, and rank rows inside their cell
-only. All rows cross the network once, in tasks of about ``rows_per_cell`` rows, whatever the
-skew of the partition key and however it goes along with the order. Only rows that are equal in
-the order key (or in the beginning of its first text) share a cell beyond that; its sort spills.
+The rank never gathers a partition in one task unless the table is small. Otherwise one range exchange
+puts all rows in the order of (partition id, order key), in tasks of about ``rows_per_cell`` rows
+(*cells*), whatever the skew of the partition key and however it goes along with the order. Copies of a row
+are told apart by where they were read, so they are cut like any others. The ordered rows are written once;
+the rows of each partition id in each cell are counted, running totals of these few counts say where a cell's
+first row ranks, and a row's rank is that plus its place in the cell.
 """
 
 from __future__ import annotations
@@ -28,24 +28,26 @@ from pyspark.sql.window import Window
 from segloom.functions.hashing import PARTITION_FUNCTIONS, partition_function_name
 from segloom.functions.keys import partition_key, quoted
 from segloom.functions.staged import TEMP, staged_form
-from segloom.session import materialise
+from segloom.session import fresh_path, materialise
 from segloom.sources.schema import PartitionSpec
 
 PID = "pid"
 SEGMENT = "segment_id"
 
-# A window task sorts this many rows; the sort spills, so it bounds time rather than memory.
+# A task sorts about this many rows; the sort spills, so it bounds time rather than memory.
 ROWS_PER_CELL = 1_000_000
-# Cell boundaries come from a sample of this many rows per cell, but not fewer than this in all.
-SAMPLE_PER_CELL = 24
-MIN_SAMPLE = 10_000
-# The boundaries are sent to every executor, so their number and length are bounded.
-# Beyond it the cells grow; the result does not depend on their number.
-MAX_CELLS = 1 << 15
-# Characters of a text that a boundary keeps.
-KEY_LENGTH = 64
+# Characters of a text that the ranges of the exchange are cut by: more where texts begin alike.
+KEY_LENGTHS = (64, 256, 1024, 4096)
+# Rows that are looked at for texts that begin alike.
+SAMPLE = 20_000
+# Spark's sample of range keys comes to the driver: this many rows a task, and a million in all at most.
+KEYS_PER_TASK, MOST_KEYS = 100, 1_000_000
+# Characters of texts among them, in all.
+KEY_ROOM = 1 << 27
 # Most tasks of the one exchange of all rows; beyond it they grow and spill.
 MAX_TASKS = 50_000
+# Counts of cells and partition ids that are broadcast; more are joined by a shuffle.
+BROADCAST_CELLS = 1_000_000
 
 
 def with_partition_id(
@@ -98,13 +100,15 @@ def assign_segments(
     order_by: list[str] | None = None,
     rows_per_cell: int = ROWS_PER_CELL,
     unique: bool = False,
+    staging: str | None = None,
 ) -> DataFrame:
     """Add ``pid`` and ``segment_id``.
 
     For S > P rows are dealt in the order of ``order_by`` (which may be empty) and then of a hash of all
     columns; rows that are equal in both are copies of one another. ``unique`` promises that ``order_by``
     alone tells all rows apart, which spares reading and hashing the other columns. ``df`` is read more
-    than once, so it should be a staged table rather than a long query.
+    than once, so it should be a staged table rather than a long query. A table of more than ``rows_per_cell`` rows
+    is put in order and written once, at ``staging``, which the result reads.
     """
     _require_free(df, SEGMENT)
     if not spec.spreads:
@@ -113,7 +117,7 @@ def assign_segments(
     if order_by is None:
         raise ValueError("more segments than partitions: order_by has to name the columns to deal by")
     blocks = SegmentBlocks(spec.partition_count, spec.segment_count)
-    ranked, rank = with_partition_rank(df, spec, order_by, rows_per_cell, unique)
+    ranked, rank = with_partition_rank(df, spec, order_by, rows_per_cell, unique, staging)
     turn = (F.col(rank) % blocks.size(F.col(PID))).cast("int")
     return ranked.withColumn(SEGMENT, blocks.first(F.col(PID)) + turn).drop(rank)
 
@@ -133,16 +137,17 @@ class Names:
 
     rank: str
     cell: str
-    offset: str
+    nth: str
     tie: str
-    cuts: str
+    place: str
+    before: str
 
     @staticmethod
     def beside(df: DataFrame) -> Names:
         mark = "__"
         while any(c.lower().startswith(mark) for c in df.columns):
             mark += "_"
-        return Names(*(f"{mark}{n}" for n in ("rank", "cell", "offset", "tie", "cuts")))
+        return Names(*(f"{mark}{n}" for n in ("rank", "cell", "nth", "tie", "place", "before")))
 
 
 def with_partition_rank(
@@ -151,10 +156,12 @@ def with_partition_rank(
     order_by: list[str],
     rows_per_cell: int = ROWS_PER_CELL,
     unique: bool = False,
+    staging: str | None = None,
 ) -> tuple[DataFrame, str]:
     """``df`` with ``pid`` and the 0-based rank of each row within it, and the name of the rank column.
 
-    The order is one and the same however many cells there are: ``order_by``, then the hash of all columns.
+    The order is one and the same however many cells there are: ``order_by``, then the hash of all columns. The
+    ordered rows of a table of several cells lie at ``staging`` (by default in a new place of the shared folder).
     """
     names = Names.beside(df)
     columns = [quoted(c) for c in df.columns]
@@ -166,26 +173,28 @@ def with_partition_rank(
         rows = rows.withColumn(names.tie, _content_hash(df))
         order = [*order, names.tie]
     if total <= rows_per_cell:
-        return _rank_within(rows, [PID], order, names).select(*columns, PID, names.rank), names.rank
-
-    rows = _with_cells(rows, order, total, rows_per_cell, names)
-    # Few rows (one per cell) and needed in full for the running totals: kept in shared storage.
-    counts = materialise(rows.groupBy(PID, names.cell).agg(F.count(F.lit(1)).alias("n")))
+        rank = F.row_number().over(Window.partitionBy(PID).orderBy(*order)) - 1
+        # Rows that tie in all of ``order`` are copies of each other, so a retry that swaps them changes nothing.
+        return rows.withColumn(names.rank, rank.cast("long")).select(*columns, PID, names.rank), names.rank
+
+    spark, tasks = df.sparkSession, exchange_tasks(df, -(-total // rows_per_cell))
+    rows = rows.withColumn(names.place, F.monotonically_increasing_id())
+    keys = _range_keys(rows, [*order, names.place], total, rows_per_cell, tasks)
+    ordered = rows.repartitionByRange(tasks, *keys).sortWithinPartitions(PID, *order, names.place)
+    nth = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    ordered = ordered.select(*columns, PID, F.spark_partition_id().alias(names.cell), nth.alias(names.nth))
+    path = staging or fresh_path(spark, "dealt")
+    ordered.write.mode("overwrite").parquet(path)
+    ordered = spark.read.schema(ordered.schema).parquet(path)
+    counts = ordered.groupBy(PID, names.cell).agg(F.count(F.lit(1)).alias("n"), F.min(names.nth).alias("first"))
     before = Window.partitionBy(PID).orderBy(names.cell).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(PID, names.cell, F.coalesce(F.sum("n").over(before), F.lit(0)).alias(names.offset))
-    tasks = exchange_tasks(df, -(-total // rows_per_cell))
-    local = _rank_within(rows.repartition(tasks, PID, names.cell), [PID, names.cell], order, names)
-    # The window left the rows hashed and sorted by (pid, cell): this join adds no shuffle of
-    # them. A left join cannot lose a row.
-    joined = local.join(offsets, [PID, names.cell], "left")
-    rank = F.col(names.rank) + F.coalesce(F.col(names.offset), F.lit(0))
-    return joined.withColumn(names.rank, rank).select(*columns, PID, names.rank), names.rank
-
-
-def _rank_within(df: DataFrame, group: list[str], order: list[str], names: Names) -> DataFrame:
-    # Rows that tie in all of ``order`` are copies of each other, so a retry that swaps them changes nothing.
-    rank = F.row_number().over(Window.partitionBy(*group).orderBy(*order)) - 1
-    return df.withColumn(names.rank, rank.cast("long"))
+    # a row per partition id and one more per cell: what a cell's places have to be moved by
+    shift = F.coalesce(F.sum("n").over(before), F.lit(0)) - F.col("first")
+    shifts = materialise(counts.select(PID, names.cell, shift.alias(names.before)))
+    if spec.partition_count + tasks <= BROADCAST_CELLS:
+        shifts = F.broadcast(shifts)
+    joined = ordered.join(shifts, [PID, names.cell])
+    return joined.withColumn(names.rank, F.col(names.nth) + F.col(names.before)).select(*columns, PID, names.rank), names.rank
 
 
 def _content_hash(df: DataFrame) -> Column:
@@ -197,53 +206,40 @@ def _hashable(field: T.StructField) -> Column:
     return F.to_json(F.struct(column)) if "map<" in field.dataType.simpleString() else column
 
 
-def _cut_columns(df: DataFrame, order: list[str]) -> list[Column]:
-    """What cells can be cut by: the order's columns, up to the first text, of which the beginning keeps the order."""
-    columns = []
-    for i, name in enumerate(order):
-        kind = df.select(name).schema[0].dataType
-        if isinstance(kind, (T.StringType, T.BinaryType)):
-            return [*columns, F.substring(F.col(name), 1, KEY_LENGTH).alias(f"k{i}")]
-        columns.append(F.col(name).alias(f"k{i}"))
-    return columns
-
-
-def _repeats(sample: DataFrame, width: int) -> int:
-    """Most sampled rows of a partition that agree in the first ``width`` columns."""
-    same = sample.groupBy(PID, *[f"k{i}" for i in range(width)]).count()
-    return same.agg(F.max("count")).first()[0] or 0
-
-
-def _with_cells(rows: DataFrame, order: list[str], total: int, rows_per_cell: int, names: Names) -> DataFrame:
-    """Number the cells of each partition: ranges of the order key with about ``rows_per_cell`` rows.
+def _range_keys(rows: DataFrame, order: list[str], total: int, rows_per_cell: int, tasks: int) -> list[Column]:
+    """Keys that put rows in the order of (pid, ``order``), with texts cut so that the driver's sample stays small.
 
-    Each partition is cut by boundaries of its own, so it does not matter how the partition and the order
-    hang together. They come from a sample, which decides how even the cells are, never the result. The
-    boundaries are at most ``MAX_CELLS`` keys of bounded length; they travel as one broadcast row per partition.
+    After a cut text come whether it was longer and, if not, the columns behind it: rows whose longer texts begin
+    alike are not told apart any further and share a cell, in which they are sorted by their whole texts.
     """
-    wanted = SAMPLE_PER_CELL * min(-(-total // rows_per_cell), MAX_CELLS)
-    fraction = min(1.0, max(wanted, MIN_SAMPLE) / total)
-    per_cell = max(rows_per_cell, -(-total // MAX_CELLS)) * fraction
-    columns = _cut_columns(rows, order)
-    sample = materialise(rows.sample(fraction, seed=0).select(PID, *columns))
-    # as few columns as tell rows apart well enough: the others need not be read to place a row
-    width = next(w for w in range(1, len(columns) + 1) if w == len(columns) or _repeats(sample, w) <= per_cell)
-    key = columns[0] if width == 1 else F.struct(*columns[:width])
-    sampled = F.col("k0") if width == 1 else F.struct(*[f"k{i}" for i in range(width)])
-    ordered = sample.select(PID, sampled.alias("k")).groupBy(PID).agg(F.sort_array(F.collect_list("k")).alias("ks"))
-    cells = F.greatest(F.lit(1), F.ceil(F.size("ks") / F.lit(float(per_cell))).cast("int"))
-    picks = F.filter(F.sequence(F.lit(0), cells - 1), lambda i: i > 0)
-    chosen = F.array_distinct(F.transform(picks, lambda i: F.get("ks", F.floor(i * F.size("ks") / cells).cast("int"))))
-    cuts = materialise(ordered.select(PID, chosen.alias(names.cuts)))
-    most = cuts.agg(F.max(F.size(names.cuts))).first()[0] or 0
-    steps = F.array(*[F.lit(1 << bit) for bit in reversed(range(max(most, 1).bit_length()))])
-
-    def halve(low: Column, step: Column) -> Column:
-        reached = F.coalesce(F.get(names.cuts, low + step - 1) <= key, F.lit(False))
-        return F.when(reached, low + step).otherwise(low)
-
-    placed = rows.join(F.broadcast(cuts), PID, "left")
-    return placed.withColumn(names.cell, F.coalesce(F.aggregate(steps, F.lit(0), halve), F.lit(0))).drop(names.cuts)
+    keys, whole = [F.col(PID)], None
+
+    def known(column: Column) -> Column:
+        return column if whole is None else F.when(whole, column)
+
+    for name in order:
+        column = F.col(name)
+        if isinstance(rows.select(name).schema[0].dataType, (T.StringType, T.BinaryType)):
+            length = _key_length(rows, name, total, rows_per_cell, tasks)
+            fits = F.coalesce(F.length(column) <= length, F.lit(True))
+            keys += [known(F.substring(column, 1, length)), known(~fits)]
+            whole = fits if whole is None else whole & fits
+        else:
+            keys.append(known(column))
+    return keys
+
+
+def _key_length(rows: DataFrame, name: str, total: int, rows_per_cell: int, tasks: int) -> int:
+    """How much of a text tells rows apart well enough, within the room that the driver's sample has."""
+    room = KEY_ROOM // min(KEYS_PER_TASK * tasks, MOST_KEYS)
+    lengths = [n for n in KEY_LENGTHS if n <= max(room, KEY_LENGTHS[0])]
+    fraction = min(1.0, SAMPLE / total)
+    sample = materialise(rows.where(F.length(name) > lengths[0]).sample(fraction, seed=0).select(PID, F.substring(F.col(name), 1, lengths[-1]).alias("text")))
+    for length in lengths:
+        same = sample.groupBy(PID, F.substring("text", 1, length)).count()
+        if (same.agg(F.max("count")).first()[0] or 0) <= max(rows_per_cell * fraction, 2):
+            return length
+    return lengths[-1]
 
 
 def exchange_tasks(df: DataFrame, wanted: int) -> int:

@@ -114,6 +114,12 @@ def run_segment_job(
     finally:
         if not keep_staging:
             clean_target(spark, staged)
+        clean_target(spark, _dealt(staged))
+
+
+def _dealt(staged: str) -> str:
+    """Where rows lie in the order that they are dealt in."""
+    return f"{staged.rstrip('/')}-dealt"
 
 
 @dataclass(frozen=True)
@@ -155,7 +161,7 @@ def _build(
     typed = _typed(source, spec, schema, order_by)
     if not spec.spreads:  # one pass reads the rows and writes them: it counts them as well
         typed = typed.observe(rows, F.count(F.lit(1)).alias("read"))
-    assigned = _assign(typed, spec, order_by, fmt)
+    assigned = _assign(typed, spec, order_by, fmt, staged)
     few = spec.spreads and -(-spec.segment_count // spec.partition_count) <= DIRECT_WRITE_SEGMENTS
     write_segments(project_physical(assigned, schema, keep=[PID, SEGMENT]), target, spec, gather=not few)
     # One row per segment, used several times below: listed and counted once.
@@ -185,7 +191,7 @@ def _replace(
 ) -> SegmentJob:
     """The run as a generation: reconciled, described and accepted before it is committed."""
     spark, outcome = source.sparkSession, {}
-    assigned = _assign(_typed(source, spec, schema, order_by), spec, order_by, fmt)
+    assigned = _assign(_typed(source, spec, schema, order_by), spec, order_by, fmt, staged)
 
     def accept(committed: DataFrame) -> None:
         manifest = materialise(generation_manifest(committed, folder, describe.table, describe.segment_key, spec.segment_count))
@@ -199,10 +205,10 @@ def _replace(
     return SegmentJob(spec, folder, outcome["read"], outcome["manifest"], summary, plan, statistics, commit=commit)
 
 
-def _assign(source: DataFrame, spec: PartitionSpec, order_by: list[str] | None, fmt: str) -> DataFrame:
+def _assign(source: DataFrame, spec: PartitionSpec, order_by: list[str] | None, fmt: str, staged: str) -> DataFrame:
     if order_by or not spec.spreads:
-        return assign_segments(source, spec, order_by)
+        return assign_segments(source, spec, order_by, staging=_dealt(staged))
     if fmt != "parquet":
-        return assign_segments(source, spec, [])
+        return assign_segments(source, spec, [], staging=_dealt(staged))
     position = [ROW_FILE, ROW_INDEX]
-    return assign_segments(with_row_position(source), spec, position, unique=True).drop(*position)
+    return assign_segments(with_row_position(source), spec, position, unique=True, staging=_dealt(staged)).drop(*position)

@@ -6,6 +6,7 @@ from pyspark.sql.window import Window
 
 from segloom.operators.assign import SegmentBlocks, assign_segments, segment_range
 from segloom.operators.manifest import segment_balance, segment_fill, segment_purity
+from segloom.session import fresh_path
 from segloom.sources.schema import PartitionSpec
 
 
@@ -110,15 +111,37 @@ def test_more_segments_than_partitions_need_an_order(spark):
         assign_segments(users(spark, 10), spec(2, 4))
 
 
-def test_the_rows_cross_the_network_once(spark, data):
+def test_ordered_rows_are_ranked_without_another_shuffle(spark, data):
     orders = spark.read.parquet(f"{data}/orders.parquet")
     cut = assign_segments(orders, spec(4, 12, "modulo", "o_orderkey"), ["o_orderkey"], rows_per_cell=100)
     plan = cut._jdf.queryExecution().executedPlan().toString()
-    wide = [line for line in plan.splitlines() if "REPARTITION_BY_NUM" in line]
-    assert len(wide) == 1
+    assert [line for line in plan.splitlines() if "Exchange" in line and "BroadcastExchange" not in line] == []
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
 
 
+def fullest(spark, rows, by, order_by, rows_per_cell):
+    """Rows of the fullest cell, and whether rows were dealt as by one window."""
+    path = fresh_path(spark, "dealt")
+    cut = assign_segments(rows, by, order_by, rows_per_cell, staging=path)
+    cells = spark.read.parquet(path).groupBy("__cell").count().agg(F.max("count")).first()[0]
+    same = cut.exceptAll(assign_segments(rows, by, order_by, 10**9)).count() == 0
+    return cells, same and cut.count() == rows.count()
+
+
+def test_copies_and_texts_that_begin_alike_fill_no_cell(spark):
+    by = PartitionSpec("k", "hashcode", 2, 6)
+    one = spark.range(20_000).select(F.lit("x").alias("k"), F.lit("the same text").alias("t"))
+    most, same = fullest(spark, one, by, ["t"], 1000)
+    assert same and most <= 4 * 1000
+    alike = spark.range(20_000).select(F.lit("x").alias("k"), F.concat(F.repeat(F.lit("a"), F.lit(100)), F.sha2(F.col("id").cast("string"), 256)).alias("t"), "id")
+    most, same = fullest(spark, alike, by, ["t", "id"], 1000)
+    assert same and most <= 4 * 1000
+    # short texts, longer ones and nulls, equal ones told apart by the column behind them
+    mixed = spark.range(20_000).selectExpr("'x' AS k", "CASE WHEN id % 4 = 0 THEN 'short' WHEN id % 4 = 1 THEN NULL WHEN id % 4 = 2 THEN repeat('b', 64) ELSE concat(repeat('b', 64), id % 50) END AS t", "id % 9000 AS id")
+    most, same = fullest(spark, mixed, by, ["t", "id"], 1000)
+    assert same and most <= 4 * 1000
+
+
 def test_folding_adds_no_shuffle(spark, data):
     orders = spark.read.parquet(f"{data}/orders.parquet")
     folded = assign_segments(orders, spec(12, 5, "hashcode", "o_orderkey"))
