@@ -13,10 +13,10 @@ def connected_components(links: DataFrame) -> DataFrame:
 
     Large-star and small-star steps (Kiveris et al., 2014) are repeated until nothing changes;
     a logarithmic number of rounds in practice, each linear in the links. Neighbourhoods are
-    reduced to their minimum by partial aggregation, never collected, and the join that
-    brings the minimum back has one row per node on its other side, so a hub is split by
-    adaptive execution. Each round is written to the shared folder. Self links and repeated
-    links do not matter; no links give no rows.
+    reduced to their minimum by partial aggregation, never collected. The minimum is written before the
+    join that brings it back, so that both sides of that join are plain exchanges and adaptive
+    execution splits a hub (it leaves a join alone whose one side is an aggregate). Each round is written
+    to the shared folder. Self links and repeated links do not matter; no links give no rows.
     """
     edges = staged(links.where("a <> b").select(F.greatest("a", "b").alias("b"), F.least("a", "b").alias("a")).distinct(), "links")
     before = None
@@ -38,7 +38,7 @@ def connected_components(links: DataFrame) -> DataFrame:
 def _with_minimum(pairs: DataFrame) -> DataFrame:
     """Each (node, neighbour) with the smallest of the node and its neighbours."""
     smallest = pairs.groupBy("node").agg(F.min("neighbour").alias("low"))
-    smallest = smallest.select("node", F.least("low", "node").alias("low"))
+    smallest = staged(smallest.select("node", F.least("low", "node").alias("low")), "lows")
     return pairs.join(smallest, "node")
 
 

@@ -105,11 +105,12 @@ def identify_languages(
     ``lang``, ``probability``, ``text_lang``, ``declared``, ``suffix`` and ``host``.
 
     Pages are parsed once; after that only ids, names and a number per language move. Counts are
-    combined on the map side, so a host with a third of the pages is one row per task; the join that brings
-    them back has one row per host and language on its other side, which adaptive execution splits.
+    combined on the map side, so a host with a third of the pages is one row per task, and written before the
+    join that brings them back: both of its sides are plain exchanges then, and adaptive execution splits the host.
 
     Defined cases: a page without text is judged by the rest; without address or declaration these count
-    as values of their own; null columns are empty; repeated rows are judged alike; no labelled text gives
+    as values of their own; null columns are empty; repeated rows are judged alike; of equally likely languages the
+    first by name counts; a page of any length is judged by all of its text; no labelled text gives
     pages without language (``und``, probability 0); an empty table gives an empty table.
     """
     spark = with_package(pages.sparkSession)
@@ -147,7 +148,7 @@ def identify_languages(
     def tallies(*keys: str) -> DataFrame:
         """Votes per key as an array in the order of ``langs``."""
         cells = [F.sum(F.when(F.col("text_lang") == lang, F.col("count")).otherwise(0)) for lang in langs]
-        return votes.groupBy(*keys).agg(F.array(*cells).alias("n_" + keys[0]))
+        return staged(votes.groupBy(*keys).agg(F.array(*cells).alias("n_" + keys[0])), "tallies")
 
     overall = votes.groupBy("text_lang").agg(F.sum("count").alias("n")).collect()
     seen = {r.text_lang: r.n for r in overall}

@@ -260,8 +260,10 @@ def grouped(docs: DataFrame, words: int, distance: int, id_column: str, text_col
     groups = connected_components(links).withColumnRenamed("node", "fp")
     # a fingerprint without a link is its own group
     firsts = fps.join(groups, "fp", "left").select("fp", "first", F.coalesce("component", "fp").alias("component"))
-    keepers = firsts.groupBy("component").agg(F.min("first").alias("keeper"))
-    named = firsts.join(keepers, "component").select("fp", "keeper")
+    # each side of a join by group or fingerprint is a table, so that adaptive execution can split a large one
+    firsts = staged(firsts, "simhash-firsts")
+    keepers = staged(firsts.groupBy("component").agg(F.min("first").alias("keeper")), "simhash-keepers")
+    named = staged(firsts.join(keepers, "component").select("fp", "keeper"), "simhash-named")
     return marked.join(named, "fp")
 
 
