@@ -8,10 +8,11 @@ from pyspark.sql import functions as F
 from segloom.llm.common import packed, quoted, text_or_empty, unpacked
 
 WINDOW = 8
-#: Items with fewer tokens are not looked for.
+#: Items with fewer tokens are looked for as whole documents only: their words come in any text.
 SHORTEST = 4
-#: Share of an item's windows that a document must hold.
+#: Share of an item's windows that a document must hold, or else so many tokens of it in a row, word for word.
 COVERAGE = 0.5
+RUN = 13
 #: Benchmark windows that are sent to every executor; a row takes some 100 bytes.
 BROADCAST_ROWS = 500_000
 
@@ -90,10 +91,15 @@ def slots(width: int) -> Column:
     return F.filter(run, lambda t: t["kind"].isNotNull())
 
 
+def _verbatim(pairs: Column) -> Column:
+    return F.forall(pairs, lambda p: p["old"] == p["new"])
+
+
 def find_contamination(
     docs: DataFrame,
     benchmark: DataFrame,
     coverage: float = COVERAGE,
+    run: int = RUN,
     width: int = WINDOW,
     id_column: str = "doc_id",
     text_column: str = "text",
@@ -104,9 +110,11 @@ def find_contamination(
 
     Both sides are brought into template form (see ``template``) and cut into runs of ``width`` tokens,
     which meet by an equi-join on their hash; items shorter than that are one run as long as they are.
-    A pair counts if the runs found cover at least ``coverage`` of the item's runs, and if the slots
-    agree: along the same alignment a value of the item always stands for the same value of the
-    document, and the other way round. If they do not agree, only runs without a slot count.
+    A pair counts if the runs found cover at least ``coverage`` of the item's runs, where slots have to agree: along
+    the same alignment a value of the item always stands for the same value of the document (several of the item's
+    may stand for one of the document's). Runs with a slot whose value stands for two are left out, the others
+    count. A pair also counts if ``run`` tokens of the item in a row are in the document word for word, however long
+    the item is. Items of fewer than ``SHORTEST`` tokens are found only where they are the whole document, word for word.
 
     Returns ``id``, ``text_hash``, ``item_id``, ``n_windows`` (runs of the item found), ``item_windows``,
     ``coverage``, ``n_slots`` (slot values compared) and ``n_changed`` (those that differ; over zero for a
@@ -116,8 +124,8 @@ def find_contamination(
     benchmark leave it; the benchmark's runs are broadcast if a count has shown that there are few
     (else both sides are shuffled). What is grouped is bounded by the length of an item.
 
-    Defined cases: null and empty texts hold nothing; items of fewer than ``SHORTEST`` tokens are left
-    out; items with the same id are looked for as one; repeated rows are found once per id and text; rows
+    Defined cases: null and empty texts hold nothing and are not looked for; texts of any length are searched
+    whole; items with the same id are looked for as one; repeated rows are found once per id and text; rows
     without id are found with a null id; empty tables give an empty table.
     """
     rows = with_template(
@@ -128,7 +136,8 @@ def find_contamination(
     ).where(F.col("item_id").isNotNull())
     size = F.size("tokens")
     parts = []
-    for n in range(SHORTEST, width + 1):
+    value_pairs = F.zip_with("item_slots", "slots", lambda a, b: F.struct(a["kind"].alias("kind"), a["value"].alias("old"), b["value"].alias("new")))
+    for n in range(1, width + 1):
         right = windows(items.where(size >= n) if n == width else items.where(size == n), ["item_id"], n)
         right = right.select("item_id", F.col("at").alias("item_at"), "h", slots(n).alias("item_slots"))
         # a benchmark is small and read again here; its count decides how it travels
@@ -136,39 +145,45 @@ def find_contamination(
         if not many and n < width:
             continue
         right = F.broadcast(right) if many <= BROADCAST_ROWS else right
-        left = windows(rows, ["id", "text_hash"], n)
-        met = left.join(right, "h")
-        parts.append(met.select("id", "text_hash", "item_id", "at", "item_at", slots(n).alias("slots"), "item_slots"))
+        left = windows(rows.where(size == n) if n < SHORTEST else rows, ["id", "text_hash"], n)
+        met = left.join(right, "h").select("id", "text_hash", "item_id", "at", "item_at", slots(n).alias("slots"), "item_slots")
+        met = met.select("id", "text_hash", "item_id", "at", "item_at", value_pairs.alias("pairs"))
+        parts.append(met.where(_verbatim(F.col("pairs"))) if n < SHORTEST else met)
     found = parts[0]
     for part in parts[1:]:
         found = found.unionByName(part)
     key = ["id", "text_hash", "item_id"]
-    pair = F.zip_with("item_slots", "slots", lambda a, b: F.struct(a["kind"].alias("kind"), a["value"].alias("old"), b["value"].alias("new")))
-    found = found.select(*key, "item_at", (F.col("at") - F.col("item_at")).alias("shift"), pair.alias("pairs"))
+    found = found.select(*key, (F.col("at") - F.col("item_at")).alias("shift"), F.struct("item_at", "pairs").alias("window"))
     # the same run of an item may be found in several places; each alignment is judged by itself
-    aligned = found.groupBy(*key, "shift").agg(
-        F.collect_set("item_at").alias("all_at"),
-        F.collect_set(F.when(F.size("pairs") == 0, F.col("item_at"))).alias("plain_at"),
-        F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs"),
-    )
-    kinds = lambda name: F.size(F.array_distinct(F.transform("pairs", lambda p: F.struct(p["kind"], p[name]))))
-    agrees = (kinds("old") == F.size("pairs")) & (kinds("new") == F.size("pairs"))
-    judged = aligned.select(
+    aligned = found.groupBy(*key, "shift").agg(F.collect_set("window").alias("windows"))
+    aligned = aligned.select(*key, "windows", F.array_distinct(F.flatten(F.transform("windows", lambda w: w["pairs"]))).alias("pairs"))
+    other = lambda p: lambda q: (q["kind"] == p["kind"]) & (q["old"] == p["old"]) & (q["new"] != p["new"])
+    slot = lambda p: F.struct(p["kind"], p["old"])
+    twisted = F.transform(F.filter("pairs", lambda p: F.exists("pairs", other(p))), slot)
+    aligned = aligned.select(*key, "windows", twisted.alias("twisted"))
+    agreeing = F.filter("windows", lambda w: ~F.exists(w["pairs"], lambda p: F.array_contains("twisted", slot(p))))
+    word_for_word = F.array_sort(F.transform(F.filter("windows", lambda w: _verbatim(w["pairs"])), lambda w: w["item_at"]))
+    judged = aligned.select(*key, agreeing.alias("good"), word_for_word.alias("same"))
+    judged = judged.select(*key, "good", F.transform("same", lambda x, i: x - i).alias("islands"))
+    longest = F.array_max(F.transform(F.array_distinct("islands"), lambda v: F.size(F.filter("islands", lambda x: x == v))))
+    judged = judged.select(
         *key,
-        F.when(agrees, F.col("all_at")).otherwise(F.col("plain_at")).alias("at"),
-        F.when(agrees, F.col("pairs")).otherwise(F.slice("pairs", 1, 0)).alias("pairs"),
+        F.transform("good", lambda w: w["item_at"]).alias("at"),
+        F.array_distinct(F.flatten(F.transform("good", lambda w: w["pairs"]))).alias("pairs"),
+        F.coalesce(longest, F.lit(0)).alias("same"),
     )
     totals = items.groupBy("item_id").agg(
-        F.sum(F.when(size >= width, size - width + 1).when(size >= SHORTEST, 1).otherwise(0)).alias("item_windows")
+        F.sum(F.when(size >= width, size - width + 1).when(size >= 1, 1).otherwise(0)).alias("item_windows")
     )
     covered = judged.groupBy(*key).agg(
         F.size(F.array_distinct(F.flatten(F.collect_set("at")))).cast("bigint").alias("n_windows"),
         F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs"),
+        F.max("same").alias("same"),
     )
     share = F.col("n_windows") / F.col("item_windows")
     return (
         covered.join(totals, "item_id")
-        .where(share >= coverage)
+        .where((share >= coverage) | (F.col("same") >= max(run - width + 1, 1)))
         .select(
             *key,
             "n_windows",
@@ -181,7 +196,11 @@ def find_contamination(
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id", text_column: str = "text", **options) -> DataFrame:
-    """``docs`` without the documents that ``find_contamination`` finds with any item."""
+    """``docs`` without the documents that ``find_contamination`` finds with any item.
+
+    Repeated rows go or stay together; rows without id, null and empty texts are judged like any; an empty table gives
+    an empty one, an empty benchmark leaves all documents.
+    """
     bad = find_contamination(docs, benchmark, id_column=id_column, text_column=text_column, **options)
     bad = bad.select(F.col("id").alias("bad_id"), F.col("text_hash").alias("bad_hash")).distinct().hint("shuffle_hash")
     rows = packed(docs, id_column, text_column).withColumn("text_hash", F.xxhash64("text"))

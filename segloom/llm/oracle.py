@@ -59,40 +59,51 @@ WITH src AS (
     WINDOW w AS (PARTITION BY side, id ORDER BY pos ROWS BETWEEN CURRENT ROW AND 7 FOLLOWING)
 ), items AS (
     SELECT id AS item_id, pos AS item_pos, least(n, 8) AS width, canons[:least(n, 8)] AS run, kinds, vals
-    FROM runs WHERE side = 'b' AND n >= 4 AND pos <= n - least(n, 8)
+    FROM runs WHERE side = 'b' AND pos <= n - least(n, 8)
 ), widths AS (
     SELECT DISTINCT width FROM items
 ), texts AS (
     SELECT id AS doc_id, pos, width, canons[:width] AS run, vals
-    FROM runs, widths WHERE side = 'd' AND pos <= n - width
+    FROM runs, widths WHERE side = 'd' AND pos <= n - width AND (width >= 4 OR n = width)
 ), met AS (
-    SELECT doc_id, item_id, item_pos, pos - item_pos AS shift, i.kinds, i.vals AS olds, t.vals AS news, i.width
+    SELECT DISTINCT doc_id, item_id, item_pos, pos - item_pos AS shift, i.kinds[: i.width] AS kinds,
+        i.vals[: i.width] AS olds, t.vals[: i.width] AS news, i.width
     FROM texts t JOIN items i ON t.width = i.width AND t.run = i.run
+    WHERE i.width >= 4 OR i.vals[: i.width] = t.vals[: i.width]
 ), slots AS (
-    SELECT DISTINCT doc_id, item_id, shift, kinds[k] AS kind, olds[k] AS old, news[k] AS new
+    SELECT doc_id, item_id, shift, item_pos, kinds[k] AS kind, olds[k] AS old, news[k] AS new
     FROM (SELECT *, unnest(range(1, width + 1)) AS k FROM met) WHERE kinds[k] <> ''
-), judged AS (
-    SELECT doc_id, item_id, shift,
-        count(DISTINCT (kind, old)) = count(*) AND count(DISTINCT (kind, new)) = count(*) AS agrees
-    FROM slots GROUP BY ALL
+), twisted AS (
+    SELECT doc_id, item_id, shift, kind, old FROM slots GROUP BY ALL HAVING count(DISTINCT new) > 1
+), bad AS (
+    SELECT DISTINCT s.doc_id, s.item_id, s.shift, s.item_pos FROM slots s JOIN twisted t
+    ON s.doc_id = t.doc_id AND s.item_id = t.item_id AND s.shift = t.shift AND s.kind = t.kind AND s.old = t.old
+), good AS (
+    SELECT DISTINCT doc_id, item_id, shift, item_pos FROM met EXCEPT SELECT * FROM bad
 ), counted AS (
-    SELECT m.doc_id, m.item_id, count(DISTINCT item_pos) AS n_windows
-    FROM met m LEFT JOIN judged j ON m.doc_id = j.doc_id AND m.item_id = j.item_id AND m.shift = j.shift
-    WHERE coalesce(j.agrees, true) OR len(list_filter(kinds[:width], lambda k: k <> '')) = 0
-    GROUP BY ALL
+    SELECT doc_id, item_id, count(DISTINCT item_pos) AS n_windows FROM good GROUP BY ALL
 ), changed AS (
     SELECT doc_id, item_id, count(*) AS n_slots, count(*) FILTER (WHERE old <> new) AS n_changed
-    FROM (SELECT DISTINCT s.doc_id, s.item_id, kind, old, new FROM slots s JOIN judged j
-        ON s.doc_id = j.doc_id AND s.item_id = j.item_id AND s.shift = j.shift AND j.agrees)
+    FROM (SELECT DISTINCT s.doc_id, s.item_id, kind, old, new FROM slots s JOIN good g
+        ON s.doc_id = g.doc_id AND s.item_id = g.item_id AND s.shift = g.shift AND s.item_pos = g.item_pos)
     GROUP BY ALL
+), islands AS (
+    SELECT doc_id, item_id, shift, item_pos - row_number() OVER (PARTITION BY doc_id, item_id, shift ORDER BY item_pos) AS island
+    FROM (SELECT DISTINCT doc_id, item_id, shift, item_pos FROM met WHERE olds = news)
+), longest AS (
+    SELECT doc_id, item_id, max(n) AS same
+    FROM (SELECT doc_id, item_id, shift, island, count(*) AS n FROM islands GROUP BY ALL) GROUP BY ALL
 ), totals AS (
     SELECT item_id, count(*) AS item_windows FROM items GROUP BY ALL
 )
-SELECT c.doc_id, c.item_id, n_windows, item_windows, n_windows / item_windows AS coverage,
+SELECT m.doc_id, m.item_id, coalesce(n_windows, 0) AS n_windows, item_windows, coalesce(n_windows, 0) / item_windows AS coverage,
     coalesce(n_slots, 0) AS n_slots, coalesce(n_changed, 0) AS n_changed
-FROM counted c JOIN totals t ON c.item_id = t.item_id
-LEFT JOIN changed h ON c.doc_id = h.doc_id AND c.item_id = h.item_id
-WHERE n_windows / item_windows >= 0.5
+FROM (SELECT DISTINCT doc_id, item_id FROM met) m
+JOIN totals t ON m.item_id = t.item_id
+LEFT JOIN counted c ON m.doc_id = c.doc_id AND m.item_id = c.item_id
+LEFT JOIN changed h ON m.doc_id = h.doc_id AND m.item_id = h.item_id
+LEFT JOIN longest l ON m.doc_id = l.doc_id AND m.item_id = l.item_id
+WHERE coalesce(n_windows, 0) / item_windows >= 0.5 OR same >= 6
 """.replace("UNITS", ", ".join(f"'{u}'" for u in UNITS))
 
 PHRASES = r"""

@@ -7,6 +7,7 @@ from collections.abc import Iterator
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -22,13 +23,14 @@ PHRASE = 10
 PHRASES = 2_000
 BLOCKS = 2_000
 SALTED = 4
-#: Repeated windows that a task holds at once, about; a task's windows that are counted before they are sent.
+#: Repeated windows that a task holds at once, about.
 WINDOWS = 200_000
 #: Documents that are asked for by broadcast; more are asked for by a shuffle.
 BROADCAST_ROWS = 500_000
 
 FACTORS = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
-BLOCK = "struct<a: int, b: int, at: int, first: boolean>"
+#: Odd factors of the two digests of a window.
+DIGEST_FACTORS = (np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA0761D6478BD642F))
 
 
 def lowest(keys: np.ndarray, width: int) -> np.ndarray:
@@ -112,11 +114,37 @@ def _cut(batches: Iterator[pa.RecordBatch], window: int, phrase: int) -> Iterato
         yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], t) for k, t in enumerate(kinds)], names)
 
 
-def window_digests(words: list[bytes], starts: range | list[int], window: int) -> list[bytes]:
-    """A digest of 128 bits of the words of each window."""
-    line = b" ".join(words) + b" "
-    ends = np.concatenate(([0], np.cumsum([len(w) + 1 for w in words]))).tolist()
-    return [xxhash.xxh3_128_digest(line[ends[k] : ends[k + window]]) for k in starts]
+def window_digests(codes: np.ndarray, hashes: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
+    """Two 64-bit digests of the ``window`` words from each word on; the last ones are short of words."""
+    own = hashes[codes]
+    out = []
+    for factor in DIGEST_FACTORS:
+        total, power, place, have = np.zeros(len(own), np.uint64), 1, 0, 1
+        block, step = mixed(own ^ factor), int(factor)
+        # the hash of a window is put together from those of 1, 2, 4, ... words
+        while place < window:
+            if window & have:
+                total[: len(own) - place] += block[place:] * np.uint64(power)
+                place += have
+                power = power * step % 2**64
+            block[: max(len(own) - have, 0)] += block[have:] * np.uint64(step)
+            step, have = step * step % 2**64, have * 2
+        out.append(mixed(total).view(np.int64))
+    return out[0], out[1]
+
+
+def text_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]:
+    """Words of the texts in a row, where each text's begin, their codes, and the hash of each code."""
+    words, ends = split_words(texts)
+    codes, distinct = word_codes(words)
+    return words, ends, codes, np.fromiter(map(xxhash.xxh64_intdigest, distinct.to_pylist()), np.uint64, len(distinct))
+
+
+def spans(first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """All numbers from each ``first`` to its ``last``, in a row."""
+    many = last - first + 1
+    ends = np.cumsum(many)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(first - ends + many, many)
 
 
 class Occurrences:
@@ -129,89 +157,135 @@ class Occurrences:
     def add(self, phrase: str) -> None:
         self.automaton.add_word(f" {phrase} ", len(phrase) + 1)
 
-    def places(self, text: str, words: list[str]) -> set[int]:
-        """The words of ``text`` that a phrase begins with."""
+    def places(self, text: str, sizes: np.ndarray) -> set[int]:
+        """The words of ``text`` (of ``sizes`` characters) that a phrase begins with."""
         if not self.compiled:
             self.automaton.make_automaton()
             self.compiled = True
         if not len(self.automaton):
             return set()
-        blanks = np.concatenate(([0], np.cumsum([len(w) + 1 for w in words])))
-        found = np.array([end - size for end, size in self.automaton.iter(f" {text} ")], np.int64)
-        return set(np.searchsorted(blanks, found).tolist())
+        found = [end - size for end, size in self.automaton.iter(f" {text} ")]
+        return set(np.searchsorted(np.cumsum(sizes + 1), np.array(found, np.int64), side="right").tolist())
+
+
+STRETCH = ("id", "text_hash", "start", "text", "a", "b")
 
 
 def _locate(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
     """The windows around located phrases: their digests with the smallest and largest document, and the stretches again."""
-    names = ["kind", "shard", "salt", "digest", "low", "high", "id", "text_hash", "start", "text", "a", "b"]
+    names = ["kind", "shard", "salt", "d1", "d2", "low", "high", *STRETCH]
     ints = pa.list_(pa.int32())
-    kinds = [pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.string(), ints, ints]
-    group, search, low, high = None, Occurrences(), {}, {}
-
-    def counted() -> pa.RecordBatch:
-        n = len(low)
-        arrays = [pa.array([0] * n, pa.int32()), pa.array([group[0]] * n if n else [], pa.int32()), pa.nulls(n, pa.int32())]
-        arrays += [pa.array(list(low), pa.binary()), pa.array(list(low.values()), pa.int64()), pa.array([high[d] for d in low], pa.int64())]
-        arrays += [pa.nulls(n, t) for t in kinds[6:]]
-        return pa.RecordBatch.from_arrays(arrays, names)
-
-    for batch in batches:
+    kinds = [pa.int32(), pa.int32(), pa.int32(), *[pa.int64()] * 6, pa.int32(), pa.string(), ints, ints]
+    group, search = None, Occurrences()
+    for batch in chunks(batches):
+        texts = batch.column("text")
+        _, ends, codes, hashes = (words := text_words(texts))
+        sizes = pc.utf8_length(words[0]).to_numpy(zero_copy_only=False).astype(np.int64)
+        columns = (batch.column(c).to_pylist() for c in ("shard", "salt", "kind", "id", "text_hash", "start", "text", "at", "a", "b"))
         out: list[tuple] = []
-        for shard, salt, kind, number, text_hash, start, text, at, a, b in zip(
-            *(batch.column(c).to_pylist() for c in ("shard", "salt", "kind", "id", "text_hash", "start", "text", "at", "a", "b"))
-        ):
+        first, last, owner = [], [], []
+        for row, (shard, salt, kind, number, text_hash, start, text, at, a, b) in enumerate(zip(*columns)):
             if group != (shard, salt):
-                if low:
-                    yield counted()
-                group, search, low, high = (shard, salt), Occurrences(), {}, {}
+                group, search = (shard, salt), Occurrences()
             if kind == 0:
                 search.add(text)
                 continue
-            words = text.split(" ")
-            places = search.places(text, words)
+            places = search.places(text, sizes[ends[row] : ends[row + 1]])
             good = [k for k, place in enumerate(at) if place in places]
             if not good:
                 continue
-            starts = [i for k in good for i in range(a[k], b[k] + 1)]
-            for digest in window_digests([w.encode() for w in words], starts, window):
-                if digest not in low:
-                    low[digest] = high[digest] = number
-                elif number < low[digest]:
-                    low[digest] = number
-                elif number > high[digest]:
-                    high[digest] = number
-            out.append((1, shard, salt, None, None, None, number, text_hash, start, text, [a[k] for k in good], [b[k] for k in good]))
-            if len(low) > WINDOWS:
-                yield counted()
-                low, high = {}, {}
+            first.extend(ends[row] + a[k] for k in good)
+            last.extend(ends[row] + b[k] for k in good)
+            owner.extend((shard, number) for _ in good)
+            out.append((1, shard, salt, None, None, None, None, number, text_hash, start, text, [a[k] for k in good], [b[k] for k in good]))
         yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], t) for k, t in enumerate(kinds)], names)
-    if low:
-        yield counted()
+        if not first:
+            continue
+        first, last, owner = np.array(first), np.array(last), np.array(owner, np.int64)
+        at = spans(first, last)
+        shard, number = (np.repeat(owner[:, k], last - first + 1) for k in (0, 1))
+        d1, d2 = (d[at] for d in window_digests(codes, hashes, window))
+        by = np.lexsort((number, d2, d1, shard))
+        shard, d1, d2, number = shard[by], d1[by], d2[by], number[by]
+        new = np.flatnonzero(np.concatenate(([True], (shard[1:] != shard[:-1]) | (d1[1:] != d1[:-1]) | (d2[1:] != d2[:-1]))))
+        end = np.append(new[1:], len(number)) - 1
+        n = len(new)
+        arrays = [pa.array(np.zeros(n, np.int32)), pa.array(shard[new].astype(np.int32)), pa.nulls(n, pa.int32())]
+        arrays += [pa.array(x) for x in (d1[new], d2[new], number[new], number[end])]
+        yield pa.RecordBatch.from_arrays([*arrays, *[pa.nulls(n, t) for t in kinds[7:]]], names)
+
+
+class Known:
+    """Repeated windows of a shard by digest, with the smallest document that has each."""
+
+    def __init__(self) -> None:
+        self.parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        self.sorted: tuple[np.ndarray, np.ndarray, np.ndarray] | None = None
+
+    def add(self, d1: np.ndarray, d2: np.ndarray, low: int) -> None:
+        self.parts.append((d1, d2, np.full(len(d1), low)))
+
+    def smallest(self, d1: np.ndarray, d2: np.ndarray, otherwise: np.ndarray) -> np.ndarray:
+        """The smallest document of each window, ``otherwise`` where it is not repeated."""
+        if self.sorted is None:
+            columns = [np.concatenate(c) for c in zip(*self.parts)] if self.parts else [np.zeros(0, np.int64)] * 3
+            by = np.lexsort((columns[1], columns[0]))
+            self.sorted = tuple(c[by] for c in columns)
+        one, two, low = self.sorted
+        out = otherwise.copy()
+        at = np.searchsorted(one, d1)
+        open_ = np.arange(len(d1))
+        while len(open_):  # once, unless two windows have the same first digest
+            open_ = open_[at[open_] < len(one)]
+            open_ = open_[one[at[open_]] == d1[open_]]
+            hit = two[at[open_]] == d2[open_]
+            out[open_[hit]] = low[at[open_[hit]]]
+            open_ = open_[~hit]
+            at[open_] += 1
+        return out
 
 
 def _judge(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
     """Stretches of words that lie in windows which a smaller document has as well."""
-    group, known = None, {}
-    for batch in batches:
-        out: list[tuple[int, int, int, int]] = []
-        columns = ("shard", "sub", "salt", "digests", "low", "id", "text_hash", "start", "text", "a", "b")
-        for shard, sub, salt, digests, low, number, text_hash, start, text, a, b in zip(*(batch.column(c).to_pylist() for c in columns)):
-            if group != (shard, sub, salt):
-                group, known = (shard, sub, salt), {}
-            if digests is not None:
-                known.update(dict.fromkeys(digests, low))
+    group, known = None, Known()
+    for batch in chunks(batches):
+        keys = list(zip(*(batch.column(c).to_pylist() for c in ("shard", "sub", "salt"))))
+        low = batch.column("low").to_pylist()
+        k = 0
+        while k < len(keys):
+            if group != keys[k]:
+                group, known = keys[k], Known()
+            if low[k] is not None:
+                known.add(*(batch.column(c)[k].values.to_numpy() for c in ("d1", "d2")), low[k])
+                k += 1
                 continue
-            starts = [i for first, last in zip(a, b) for i in range(first, last + 1)]
-            own = window_digests(text.encode().split(b" "), starts, window)
-            gone = [i for i, d in zip(starts, own) if d in known and known[d] < number]
-            first = None
-            for i, after in zip(gone, [*gone[1:], None]):
-                first = i if first is None else first
-                if after is None or after > i + window:
-                    out.append((number, text_hash, start + first, start + i + window))
-                    first = None
-        arrays = [pa.array([r[k] for r in out], t) for k, t in enumerate((pa.int64(), pa.int64(), pa.int32(), pa.int32()))]
-        yield pa.RecordBatch.from_arrays(arrays, ["id", "text_hash", "start", "end"])
+            end = k
+            while end < len(keys) and keys[end] == group:
+                end += 1
+            yield _removed(batch.slice(k, end - k), known, window)
+            k = end
+
+
+def _removed(rows: pa.RecordBatch, known: Known, window: int) -> pa.RecordBatch:
+    _, ends, codes, hashes = text_words(rows.column("text"))
+    blocks = np.diff(rows.column("a").offsets.to_numpy())
+    a, b = (rows.column(c).flatten().to_numpy().astype(np.int64) for c in ("a", "b"))
+    base = np.repeat(ends[:-1], blocks)
+    at = spans(base + a, base + b)
+    row = np.repeat(np.repeat(np.arange(rows.num_rows), blocks), b - a + 1)
+    number = rows.column("id").to_numpy()[row]
+    d1, d2 = (d[at] for d in window_digests(codes, hashes, window))
+    gone = np.flatnonzero(known.smallest(d1, d2, number) < number)
+    at, row = at[gone], row[gone]
+    new = np.ones(len(at), bool)
+    new[1:] = (row[1:] != row[:-1]) | (at[1:] > at[:-1] + window)
+    first = np.flatnonzero(new)
+    last = np.append(first[1:], len(at))[: len(first)] - 1
+    own = row[first]
+    shift = rows.column("start").to_numpy()[own] - ends[own]
+    stretch = [(at[first] + shift).astype(np.int32), (at[last] + shift + window).astype(np.int32)]
+    arrays = [rows.column(c).take(pa.array(own)) for c in ("id", "text_hash")]
+    return pa.RecordBatch.from_arrays([*arrays, *map(pa.array, stretch)], ["id", "text_hash", "start", "end"])
 
 
 def _finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -262,25 +336,27 @@ def repeated_stretches(docs: DataFrame, window: int, phrase: int, id_column: str
     streamed = cut.repartition(tasks, "shard", "salt").sortWithinPartitions("shard", "salt", "kind")
     located = streamed.mapInArrow(
         lambda b: _locate(b, window),
-        "kind int, shard int, salt int, digest binary, low bigint, high bigint, id bigint, text_hash bigint, start int, text string, a array<int>, b array<int>",
+        "kind int, shard int, salt int, d1 bigint, d2 bigint, low bigint, high bigint, id bigint, text_hash bigint, start int, text string, a array<int>, b array<int>",
     )
     located = staged(located, "passage-located")
-    again = located.where("kind = 0").groupBy("shard", "digest").agg(F.min("low").alias("low"), F.max("high").alias("high"))
-    again = staged(again.where("low < high").select("shard", "digest", "low"), "passage-windows")
+    again = located.where("kind = 0").groupBy("shard", "d1", "d2").agg(F.min("low").alias("low"), F.max("high").alias("high"))
+    again = staged(again.where("low < high").select("shard", "d1", "d2", "low"), "passage-windows")
     # a shard with very many windows is parted once more, by their digests; its stretches go to every part
     subs = F.ceil(F.count(F.lit(1)) / WINDOWS).cast("int").alias("subs")
     parts = staged(again.groupBy("shard").agg(subs).join(sizes, "shard"), "passage-parts")
-    sub = F.pmod(F.xxhash64("digest"), F.col("subs")).cast("int").alias("sub")
+    sub = F.pmod(F.xxhash64("d1", "d2"), F.col("subs")).cast("int").alias("sub")
     nothing = {"id": "bigint", "text_hash": "bigint", "start": "int", "text": "string", "a": "array<int>", "b": "array<int>"}
-    held = again.join(parts, "shard").groupBy("shard", sub, "salts", "low").agg(F.collect_list("digest").alias("digests"))
-    held = held.select(
-        "shard", "sub", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), "digests", "low", *[F.lit(None).cast(t).alias(c) for c, t in nothing.items()]
-    )
+    held = again.join(parts, "shard").groupBy("shard", sub, "salts", "low")
+    held = held.agg(F.collect_list(F.struct("d1", "d2")).alias("digests")).select(
+        "shard", "sub", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), "digests.d1", "digests.d2", "low",
+        *[F.lit(None).cast(t).alias(c) for c, t in nothing.items()],
+    )
+    none = [F.lit(None).cast("array<bigint>").alias(c) for c in ("d1", "d2")]
     searched = located.where("kind = 1").join(parts, "shard").select(
-        "shard", F.explode(F.sequence(F.lit(0), F.col("subs") - 1)).alias("sub"), "salt", F.lit(None).cast("array<binary>").alias("digests"), F.lit(None).cast("bigint").alias("low"), *nothing
+        "shard", F.explode(F.sequence(F.lit(0), F.col("subs") - 1)).alias("sub"), "salt", *none, F.lit(None).cast("bigint").alias("low"), *nothing
     )
     both = held.unionByName(searched).repartition(tasks, "shard", "sub", "salt")
-    gaps = both.sortWithinPartitions("shard", "sub", "salt", F.col("digests").isNull()).mapInArrow(
+    gaps = both.sortWithinPartitions("shard", "sub", "salt", F.col("low").isNull()).mapInArrow(
         lambda b: _judge(b, window), "id bigint, text_hash bigint, start int, end int"
     )
     return staged(gaps.groupBy(*key).agg(F.collect_set(F.struct("start", "end")).alias("gaps")), "passage-gaps")

@@ -232,9 +232,12 @@ def test_fingerprints_of_documents(spark):
 QUESTION = "A train with 120 seats leaves the old station at 9 and carries 45 people for 30 miles before Maria counts the 45 people again"
 
 
+LONG = " ".join(random.Random(77).sample(VOCABULARY, 60))
+
+
 @pytest.fixture(scope="module")
 def benchmark(spark):
-    items = [(1, QUESTION), (2, "short one here now"), (3, None), (None, "no id at all for this one"), (4, "two words")]
+    items = [(1, QUESTION), (2, "short one here now"), (3, None), (None, "no id at all for this one"), (4, "two words"), (5, LONG)]
     return spark.createDataFrame(items, "item_id int, text string")
 
 
@@ -249,13 +252,19 @@ def test_decontamination_of_planted_cases(spark, benchmark):
         6: None,
         7: "two words",
         8: QUESTION[: len(QUESTION) // 4],
+        9: prose(rng, 20) + " " + " ".join(LONG.split()[20:44]) + " " + prose(rng, 20),  # 24 tokens of 60 in a row
+        10: " ".join(LONG.split()[20:32]) + " " + prose(rng, 20),  # 12 in a row
+        11: "here are two words among others",
+        12: prose(rng, 200_000),
+        13: QUESTION.replace("120", "9").replace("45", "9").replace("30", "9"),  # three values become one
     }
     df = spark.createDataFrame([(k, t, 1) for k, t in texts.items()] + [(1, texts[1], 1)], "doc_id bigint, text string, item_id int")
     rows = {(r.id, r.item_id): r for r in find_contamination(df, benchmark).collect()}
-    assert set(rows) == {(1, 1), (2, 1), (5, 2)}
+    assert set(rows) == {(1, 1), (2, 1), (5, 2), (7, 4), (9, 5), (13, 1)}
+    assert rows[9, 5].coverage < 0.5 and rows[13, 1].n_changed == 3
     assert rows[1, 1].n_changed == 0 and rows[1, 1].coverage > 0.9 and rows[2, 1].n_changed >= 3
     left = drop_contaminated(df, benchmark)
-    assert left.columns == df.columns and sorted(r.doc_id for r in left.collect()) == [3, 4, 6, 7, 8]
+    assert left.columns == df.columns and sorted(r.doc_id for r in left.collect()) == [3, 4, 6, 8, 10, 11, 12]
     assert find_contamination(df.limit(0), benchmark).count() == 0
     assert drop_contaminated(df, benchmark.limit(0)).count() == df.count()
 

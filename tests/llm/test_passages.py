@@ -2,10 +2,11 @@
 
 import random
 
+import numpy as np
 import pytest
 
 from segloom.llm import passages
-from segloom.llm.passages import Occurrences, drop_repeated_passages, window_digests
+from segloom.llm.passages import Known, Occurrences, drop_repeated_passages, window_digests
 
 
 def brute_force(rows, window):
@@ -86,10 +87,26 @@ def test_places_of_phrases():
     for phrase in ("a b", "b a", "b", "ab c", "ü a"):
         search.add(phrase)
     text = "a b a bb ab c ü a b"
-    assert search.places(text, text.split(" ")) == {0, 1, 4, 6, 7, 8}
-    assert Occurrences().places("a b", ["a", "b"]) == set()
-
-
-def test_digests_tell_words_from_their_joints():
-    assert window_digests([b"ab", b"c"], [0], 2) != window_digests([b"a", b"bc"], [0], 2)
-    assert window_digests([b"x", b"a", b"b"], [1], 2) == window_digests([b"a", b"b", b"y"], [0], 2)
+    assert search.places(text, np.array([len(w) for w in text.split(" ")])) == {0, 1, 4, 6, 7, 8}
+    assert Occurrences().places("a b", np.array([1, 1])) == set()
+
+
+@pytest.mark.parametrize("window", [1, 2, 5, 8, 50])
+def test_digests_of_windows(window):
+    rng = random.Random(window)
+    codes = np.array([rng.randrange(3) for _ in range(400)] * 2)
+    hashes = np.array([rng.randrange(2**64) for _ in range(3)], np.uint64)
+    one, two = window_digests(codes, hashes, window)
+    places = range(len(codes) - window + 1)
+    bodies = [tuple(codes[k : k + window]) for k in places]
+    for digest in (one, two):
+        assert len({(b, digest[k]) for k, b in zip(places, bodies)}) == len(set(bodies)) == len({digest[k] for k in places})
+
+
+def test_known_windows_with_equal_first_digests():
+    known = Known()
+    known.add(np.array([5, 7, 7]), np.array([1, 2, 3]), 40)
+    known.add(np.array([7]), np.array([4]), 30)
+    found = known.smallest(np.array([7, 5, 7, 9, 7, 7]), np.array([4, 1, 3, 1, 2, 9]), np.full(6, 99))
+    assert found.tolist() == [30, 40, 40, 99, 40, 99]
+    assert Known().smallest(np.array([1]), np.array([1]), np.array([3])).tolist() == [3]
