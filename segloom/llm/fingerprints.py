@@ -14,17 +14,14 @@ from pyspark.sql import functions as F
 
 from segloom.llm.common import packed, with_package
 
-WINDOW = 64
-#: A window is selected if it is the rarest of this many or more of the 64 stretches of 64 windows around it.
-POPULAR = 16
+WINDOW = 32
+#: A window is selected if it is the rarest of this many or more of the 32 stretches of 32 windows around it.
+POPULAR = 8
 FILTER_BITS = 2048
 HASHES = 5
 #: Features in a filter before the next one is begun.
 CAPACITY = 160
 ENTROPY_BINS = 1024
-#: Texts with fewer bytes give all their windows of SHORT_WINDOW bytes.
-SHORT_TEXT = 256
-SHORT_WINDOW = 8
 #: Bytes that are worked on together, so that they stay near the processor.
 AT_ONCE = 1 << 17
 #: Bytes of text in a part of the ordered table.
@@ -32,10 +29,10 @@ PART_BYTES = 16 << 20
 
 
 def entropy_bins(octets: np.ndarray) -> np.ndarray:
-    """The entropy of each window of 64 bytes, in equal steps.
+    """The entropy of each window of ``WINDOW`` bytes, in equal steps.
 
     Windows are moved by a byte at a time: the sum of n log n over byte counts changes by what the
-    entering byte finds of its kind within 63 bytes before it, and the leaving one after it.
+    entering byte finds of its kind within the window's bytes before it, and the leaving one after it.
     """
     n = len(octets)
     if n < WINDOW:
@@ -103,32 +100,45 @@ def digests(texts: list[bytes], rank: np.ndarray) -> list[Digest]:
 
 
 def _digests(texts: list[bytes], rank: np.ndarray) -> list[Digest]:
+    """A text's features are the windows that are the rarest of ``POPULAR`` stretches or more, the first among equals.
+
+    A text of fewer than ``WINDOW`` windows is one stretch. Where no window is that popular (a unit repeats), the most
+    popular ones are taken, so that every text but the empty one has a feature; one shorter than a window is
+    filled up.
+    """
     octets = np.frombuffer(b"".join(texts), np.uint8)
     starts = np.concatenate(([0], np.cumsum([len(t) for t in texts]))).astype(np.int64)
-    chosen = np.zeros(0, np.int64)
-    hashes = np.zeros(0, np.uint64)
-    if max(map(len, texts), default=0) >= SHORT_TEXT:
-        place = np.arange(max(len(octets) - WINDOW + 1, 0))
-        low = (rank[entropy_bins(octets)] << 40) | place
-        span = 1
+    popular = np.zeros(len(octets) + 1, np.int64)
+    if len(octets) >= WINDOW:
+        place = np.arange(len(octets) - WINDOW + 1)
+        rare = (rank[entropy_bins(octets)] << 40) | place
+        low, span = rare, 1
         while span < WINDOW:
-            low = np.minimum(low[:-span], low[span:])
+            low = np.minimum(low[:-span], low[span:]) if len(low) > span else low[:0]
             span *= 2
         inside = np.zeros(len(low), bool)  # stretches that lie in one text
+        alone = []
         for a, b in zip(starts.tolist(), starts[1:].tolist()):
-            if b - a >= SHORT_TEXT:
+            if b - a >= 2 * WINDOW - 1:
                 inside[a : b - 2 * WINDOW + 2] = True
-        rarest = low[inside] & ((1 << 40) - 1)
-        chosen = np.nonzero(np.bincount(rarest, minlength=len(octets)) >= POPULAR)[0]
-        hashes = window_hashes(octets, chosen, WINDOW // 8)
+            elif b - a >= WINDOW:
+                alone.append(int(rare[a : b - WINDOW + 1].min()) & ((1 << 40) - 1))
+        popular[: len(octets)] = np.bincount(low[inside] & ((1 << 40) - 1), minlength=len(octets))
+        popular[alone] = POPULAR
+        found = np.add.reduceat(popular >= POPULAR, np.minimum(starts[:-1], len(octets)))
+        for k in np.flatnonzero((found == 0) & (np.diff(starts) >= WINDOW)).tolist():
+            own = popular[starts[k] : starts[k + 1]]
+            own[own == own.max()] = POPULAR
+    chosen = np.flatnonzero(popular >= POPULAR)
+    hashes = window_hashes(octets, chosen, WINDOW // 8) if len(chosen) else np.zeros(0, np.uint64)
     cut = np.searchsorted(chosen, starts)
     out = []
     for k, text in enumerate(texts):
-        if len(text) >= SHORT_TEXT:
+        if len(text) >= WINDOW:
             out.append(digest_of(hashes[cut[k] : cut[k + 1]]))
         elif text:
-            own = np.frombuffer(text.ljust(SHORT_WINDOW, b"\0"), np.uint8)
-            out.append(digest_of(window_hashes(own, np.arange(len(own) - SHORT_WINDOW + 1), 1)))
+            own = np.frombuffer(text.ljust(WINDOW, b"\0"), np.uint8)
+            out.append(digest_of(window_hashes(own, np.zeros(1, np.int64), WINDOW // 8) + np.uint64(len(text))))
         else:
             out.append(digest_of(np.zeros(0, np.uint64)))
     return out
@@ -243,7 +253,7 @@ def plan_order(rows: DataFrame) -> Order:
 def fingerprint_documents(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """Digests of every text and of the text as edited by the next document's.
 
-    Windows of 64 bytes are ranked by how rare their entropy is among all windows of the table; a
+    Windows of ``WINDOW`` bytes are ranked by how rare their entropy is among all windows of the table; a
     window that is the rarest of its surroundings is a feature, and features go into a chain of
     Bloom filters. The edited text has its last ``n_chars // 2`` code points replaced by the first
     as many (or all) of the next document's, in ascending order of id, the first after the last. Returns ``id``,
@@ -252,14 +262,16 @@ def fingerprint_documents(docs: DataFrame, id_column: str = "doc_id", text_colum
     Texts cross the network once: they go to parts of the order, and the first row of each part also
     to the part before, as the successor of its last row.
 
-    Defined cases: null and empty texts have no features and are alike (1) with each other only; rows
-    with one id follow each other in the order of their text's hash, rows without id come first; a table
-    of one row is its own successor; an empty table gives an empty table. Texts under 256 bytes give all
-    windows of 8 bytes, so they are not like longer ones.
+    Defined cases: null and empty texts have no features and are alike (1) with each other only; all other texts
+    have some, of one kind, whatever their length; rows with one id follow each other in the order of their text's
+    hash, rows without id come first, in that order (spread over the places below -2**62, with such ids); a table
+    of one row is its own successor; an empty table gives an empty table.
     """
     with_package(docs.sparkSession)
-    place = F.coalesce("id", F.lit(-(1 << 63)).cast("bigint")).alias("place")
-    rows = packed(docs, id_column, text_column).select("id", place, F.xxhash64("text").alias("text_hash"), "text")
+    rows = packed(docs, id_column, text_column).select("id", F.xxhash64("text").alias("text_hash"), "text")
+    # rows without id lie at many places, so that they do not all go to one part
+    nowhere = F.lit(-(1 << 63)).cast("bigint") + F.shiftright(F.col("text_hash"), 2) + F.lit(1 << 61)
+    rows = rows.select("id", F.coalesce("id", nowhere).alias("place"), "text_hash", "text")
     order = plan_order(rows)
     rank = entropy_ranks(rows)
 

@@ -15,11 +15,13 @@ from segloom.llm.decontaminate import drop_contaminated, find_contamination
 from segloom.llm.fingerprints import (
     ENTROPY_BINS,
     WINDOW,
+    digest_of,
     digests,
     edit,
     entropy_bins,
     fingerprint_documents,
     likeness,
+    window_hashes,
 )
 from segloom.llm.language import identify_languages
 from segloom.llm.quality import fit_quality, quality_score
@@ -194,8 +196,78 @@ def test_window_entropy_against_brute_force():
     for at, found in enumerate(entropy_bins(octets).tolist()):
         share = np.bincount(octets[at : at + WINDOW]) / WINDOW
         bits = -sum(p * math.log2(p) for p in share if p)
-        assert abs(found - bits / 6 * (ENTROPY_BINS - 1)) <= 1.001
-    assert len(entropy_bins(octets[:63])) == 0
+        assert abs(found - bits / math.log2(WINDOW) * (ENTROPY_BINS - 1)) <= 1.001
+    assert len(entropy_bins(octets[: WINDOW - 1])) == 0
+
+
+def brute_features(text, rank):
+    """Places of the windows that are selected."""
+    bins = entropy_bins(np.frombuffer(text, np.uint8)).tolist()
+    if not bins:
+        return [0] if text else []
+    if len(bins) < WINDOW:
+        return [min(range(len(bins)), key=lambda k: (rank[bins[k]], k))]
+    popular = Counter(min(range(s, s + WINDOW), key=lambda k: (rank[bins[k]], k)) for s in range(len(bins) - WINDOW + 1))
+    least = min(8, max(popular.values()))
+    return sorted(k for k, n in popular.items() if n >= least)
+
+
+def odd_bytes():
+    rng = random.Random(12)
+    plain = [prose(rng, n).encode() for n in (1, 3, 8, 12, 30, 200, 900)]
+    units = [(u * 1500)[:1500] for u in (b"a", b"=-", b"ha! ", b"buy now! ", b"0123456789abcdef", bytes(range(40)))]
+    return [*plain, *units, b"x" * 31, b"x" * 32, b"x" * 62, b"x" * 63, b"x" * 64, b"q", b"", bytes(rng.randrange(256) for _ in range(3000))]
+
+
+@pytest.mark.parametrize("seed", [0, 1])
+def test_window_choice_against_brute_force(seed):
+    rank = np.random.default_rng(seed).permutation(ENTROPY_BINS) if seed else np.arange(ENTROPY_BINS)
+    texts = odd_bytes()
+    for text, got in zip(texts, digests(texts, rank)):
+        places = np.array(brute_features(text, rank), np.int64)
+        own = np.frombuffer(text.ljust(WINDOW, b"\0"), np.uint8)
+        hashes = window_hashes(own, places, WINDOW // 8) if len(places) else np.zeros(0, np.uint64)
+        want = digest_of(hashes if len(text) >= WINDOW else hashes + np.uint64(len(text)))
+        assert got.text() == want.text()
+        assert (got.features > 0) == (len(text) > 0)
+
+
+def brute_likeness(one, other):
+    if one.features > other.features:
+        one, other = other, one
+    if not one.features:
+        return float(not other.features)
+    left, right = ([set(np.flatnonzero(f).tolist()) for f in d.filters] for d in (one, other))
+    total, rest = 0.0, one.features
+    for f in left:
+        weight = min(160, rest)
+        rest -= weight
+        best = 0.0
+        for g in right:
+            chance, most = len(f) * len(g) / 2048, min(len(f), len(g))
+            best = max(best, (len(f & g) - chance) / max(most - chance, 1e-9))
+        total += weight * min(best, 1.0)
+    return total / one.features
+
+
+def test_likeness_against_brute_force():
+    rng, rank = random.Random(3), np.arange(ENTROPY_BINS)
+    base = prose(rng, 2500)
+    texts = odd_bytes() + [base.encode(), base[: len(base) // 2].encode(), (base[:3000] + prose(rng, 600)).encode()]
+    own = digests(texts, rank)
+    for a in own:
+        for b in own:
+            assert abs(likeness(a, b) - brute_likeness(a, b)) < 1e-5
+    repeated = own[7:13]  # texts of one repeated unit are like themselves only
+    assert all(likeness(a, b) < 0.5 and likeness(a, own[-5]) < 0.5 for a in repeated for b in repeated if a is not b)
+
+
+def test_a_beginning_is_like_its_text_at_any_length():
+    rng, rank = random.Random(8), np.arange(ENTROPY_BINS)
+    for size in (200, 300, 362, 1000):
+        text = prose(rng, 400).encode()[:size]
+        whole, most, other = digests([text, text[: size * 5 // 6], prose(rng, 400).encode()[:size]], rank)
+        assert likeness(whole, most) > 0.6 > 0.35 > likeness(whole, other)
 
 
 def test_digests_follow_the_text():
