@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 import pyarrow as pa
@@ -17,10 +18,34 @@ ASCII_LOWER = ASCII_UPPER.lower()
 ASCII_SPACE = " \t\n\x0b\x0c\r"
 
 
+#: Paths of the tables that are staged within each open ``scratch``.
+_scratch: list[list[str]] = []
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Removes what is staged within, at the end; no frame that reads it may be used after that."""
+    paths: list[str] = []
+    _scratch.append(paths)
+    try:
+        yield
+    finally:
+        _scratch.pop()
+        for path in paths:
+            remove(spark, path)
+
+
+def remove(spark: SparkSession, uri: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(uri)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def staged(df: DataFrame, label: str) -> DataFrame:
     """``df`` written once to the shared folder and read back, so that no executor holds the only copy."""
     spark = df.sparkSession
     path = fresh_path(spark, label)
+    if _scratch:
+        _scratch[-1].append(path)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import functools
+import json
 import os
 import re
 from array import array
@@ -10,6 +11,7 @@ from array import array
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import regex
 
 #: Entries of a worker's memories of pieces and of words, each of at most ``LONGEST_KNOWN`` characters: some
 #: 70 MB a memory, 150 MB at the very most. A full one starts anew.
@@ -25,6 +27,13 @@ SEPARATORS = [*"\x1c\x1d\x1e\x1f"]
 
 #: Fixed value: the last letter of Latin Extended-B.
 LAST_LATIN = "\u024f"
+#: Fixed value: the words of byte-level vocabularies.
+BYTE_LEVEL_WORDS = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: Pieces of Latin letters, digits and marks (one blank or line feed before them), which all versions of Unicode and of
+#: the library split alike.
+PLAIN_PIECE = re.compile(r"[ \n]?[!-~\xa1-\xac\xae-\u024f]+")
+#: The same without blanks, and without letters that lower case or composition makes longer.
+PLAIN_WORDS = re.compile(r"[!-~\xc0-\u012f\u0131-\u024f]+")
 #: Marks that often end a word; a run of them is a token run of its own after letters.
 TAIL = ".,;:!?|%*$#&"
 
@@ -61,6 +70,19 @@ class TextEncoder:
         self.letters = byte_letters() if type(self.model).__name__ == "BPE" and "ByteLevel" in kind else None
         self.known: dict[str, bytes] = {}
         self.words: dict[str, bytes] = {}
+        self.split = self._word_pattern(path) if self.letters else None
+
+    def _word_pattern(self, path: str) -> regex.Pattern | None:
+        """What the library takes for words, and a line feed; None if its steps are not those known here."""
+        with open(path, encoding="utf-8") as file:
+            spec = json.load(file)
+        first = (spec["pre_tokenizer"].get("pretokenizers") or [spec["pre_tokenizer"]])[0]
+        if self.drops_space:
+            steps = [n["type"] for n in (spec["normalizer"] or {}).get("normalizers", [])]
+            known = steps == ["NFC", "Replace", "Lowercase"] and first["type"] == "Split"
+            return regex.compile(first["pattern"]["Regex"] + r"|\n") if known else None
+        plain = spec["normalizer"] is None and first["type"] == "ByteLevel" and first["use_regex"] and not first["add_prefix_space"]
+        return regex.compile(BYTE_LEVEL_WORDS) if plain else None
 
     @property
     def width(self) -> int:
@@ -96,7 +118,7 @@ class TextEncoder:
         pieces, codes = codes.dictionary.to_pylist(), codes.indices.to_numpy().astype(np.int64)
         found = list(map(self.known.get, pieces))
         if None in found:
-            fresh = self._learn({p for p, ids in zip(pieces, found) if ids is None})
+            fresh = self._learn_many([p for p, ids in zip(pieces, found) if ids is None])
             found = [fresh[p] if ids is None else ids for p, ids in zip(pieces, found)]
         for n, k in enumerate(alone):
             codes[ends[k]] = len(pieces) + n
@@ -152,6 +174,37 @@ class TextEncoder:
                 del words[word]
         return ids
 
+    def _learn_many(self, pieces: list[str]) -> dict[str, bytes]:
+        """Ids of new pieces: plain ones are split into words all at once, and the library's model gets each new word."""
+        plain = PLAIN_WORDS if self.drops_space else PLAIN_PIECE
+        fast = [p for p in pieces if plain.fullmatch(p)] if self.split else []
+        bodies = [p.lower() for p in fast] if self.drops_space else [p[1:] if p[0] == "\n" else p for p in fast]
+        words = self.split.findall("\n".join([*bodies, ""])) if fast else []
+        known, letters = self.words, self.letters
+        if len(known) > KNOWN_WORDS:
+            known = self.words = {}
+        for word in {w for w in words if w not in known}:
+            symbols = word.replace(" ", letters[32]) if word.isascii() and word != "\n" else "".join([letters[b] for b in word.encode()])
+            known[word] = self.pack([t.id for t in self.model.tokenize(symbols)])
+        fresh: dict[str, bytes] = {}
+        line = b"" if self.drops_space else known.get("\n", b"")
+        own, own_words = iter(fast), []
+        for word in words:
+            if word == "\n":
+                piece = next(own)
+                ids = b"".join(own_words)
+                fresh[piece] = line + ids if piece[0] == "\n" else ids
+                own_words = []
+            else:
+                own_words.append(known[word])
+        rest = [p for p in pieces if p not in fresh]
+        if rest:
+            fresh.update(self._learn(set(rest)))
+        if len(self.known) + len(fresh) > KNOWN_PIECES:
+            self.known = {}
+        self.known.update((p, i) for p, i in fresh.items() if len(p) <= LONGEST_KNOWN)
+        return fresh
+
     def _symbols(self, word: str) -> str | None:
         """A word of plain letters as the library's model takes it, for which the rest of the library changes nothing."""
         letters = word[1:] if word[:1] == " " else word
