@@ -13,10 +13,10 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import regex
 
-#: Entries of a worker's memories of pieces and of words, each of at most ``LONGEST_KNOWN`` characters: some
-#: 70 MB a memory, 150 MB at the very most. A full one starts anew.
+#: Entries of a worker's memory of words (and of pieces, for counts), each of at most ``LONGEST_KNOWN`` characters: some
+#: 100 MB, 200 MB at the very most. A full one starts anew.
 KNOWN_PIECES = 300_000
-KNOWN_WORDS = 300_000
+KNOWN_WORDS = 400_000
 LONGEST_KNOWN = 64
 
 #: White space besides the blank and the line feed, as Unicode has it.
@@ -29,11 +29,15 @@ SEPARATORS = [*"\x1c\x1d\x1e\x1f"]
 LAST_LATIN = "\u024f"
 #: Fixed value: the words of byte-level vocabularies.
 BYTE_LEVEL_WORDS = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: What lies between pieces that are split together; no plain piece has it.
+BETWEEN = "\r"
 #: Pieces of Latin letters, digits and marks (one blank or line feed before them), which all versions of Unicode and of
 #: the library split alike.
-PLAIN_PIECE = re.compile(r"[ \n]?[!-~\xa1-\xac\xae-\u024f]+")
-#: The same without blanks, and without letters that lower case or composition makes longer.
-PLAIN_WORDS = re.compile(r"[!-~\xc0-\u012f\u0131-\u024f]+")
+PLAIN_PIECE = r"^[ \n]?[!-~\x{a1}-\x{ac}\x{ae}-\x{24f}]+$"
+#: A piece that is one word of Latin letters.
+ONE_WORD = r"^ ?[A-Za-z\x{c0}-\x{d6}\x{d8}-\x{f6}\x{f8}-\x{12f}\x{131}-\x{24f}]+$"
+#: Plain pieces without blanks, and without letters that lower case or composition makes longer.
+PLAIN_WORDS = r"^[!-~\x{c0}-\x{12f}\x{131}-\x{24f}]+$"
 #: Marks that often end a word; a run of them is a token run of its own after letters.
 TAIL = ".,;:!?|%*$#&"
 
@@ -51,7 +55,8 @@ class TextEncoder:
     A text is cut only where no token can cross, so that a piece has the same ids alone as in its
     text. With a tokenizer that drops white space that is any blank or line feed. With a
     byte-level one, a blank belongs to the word after it: a cut goes before a blank or line feed,
-    and texts with runs of white space are cut before each run. Texts that hold a special
+    and texts with runs of white space are cut before each run. Plain pieces are split into words as the library
+    does, and its model gets each new word; other pieces go to the library. Texts that hold a special
     token's string, or a character that could be taken for white space by one side only, go to
     the library whole.
     """
@@ -68,19 +73,18 @@ class TextEncoder:
         self.specials = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.model = self.tokenizer.model
         self.letters = byte_letters() if type(self.model).__name__ == "BPE" and "ByteLevel" in kind else None
-        self.known: dict[str, bytes] = {}
-        self.words: dict[str, bytes] = {}
         self.split = self._word_pattern(path) if self.letters else None
+        self.known: dict[str, bytes] = {}
 
     def _word_pattern(self, path: str) -> regex.Pattern | None:
-        """What the library takes for words, and a line feed; None if its steps are not those known here."""
+        """What the library takes for words, and the mark between pieces; None if its steps are not those known here."""
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
         first = (spec["pre_tokenizer"].get("pretokenizers") or [spec["pre_tokenizer"]])[0]
         if self.drops_space:
             steps = [n["type"] for n in (spec["normalizer"] or {}).get("normalizers", [])]
             known = steps == ["NFC", "Replace", "Lowercase"] and first["type"] == "Split"
-            return regex.compile(first["pattern"]["Regex"] + r"|\n") if known else None
+            return regex.compile(f"{first['pattern']['Regex']}|{BETWEEN}") if known else None
         plain = spec["normalizer"] is None and first["type"] == "ByteLevel" and first["use_regex"] and not first["add_prefix_space"]
         return regex.compile(BYTE_LEVEL_WORDS) if plain else None
 
@@ -88,22 +92,14 @@ class TextEncoder:
     def width(self) -> int:
         return 4 if self.wide else 2
 
-    def pieces(self, text: str) -> list[str] | None:
-        line = self._marked(text)
-        return None if line is None else line.split(" " if self.drops_space else "\0")
-
-    def _plain(self, text: str) -> str | list[str] | None:
-        if any(s in text for s in self.specials) or "\0" in text or any(c in text for c in SEPARATORS):
-            return None
-        runs = "  " in text or "\n\n" in text or " \n" in text or "\n " in text
-        if runs or text[-1:] in (" ", "\n") or any(c in text for c in OTHER_SPACE):
-            return re.findall(r"\s*\S+|\s+", text)
-        return text.replace(" ", "\0 ").replace("\n", "\0\n")
+    def encode(self, text: str) -> bytes:
+        """The ids as little-endian unsigned numbers of ``width`` bytes."""
+        return self.encode_all([text])[0].tobytes()
 
     def encode_all(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts in a row, and where each text's ids begin (one more than texts).
 
-        Pieces are cut and told apart for all texts at once, so that each distinct one is looked up once.
+        Pieces are cut and told apart for all texts at once, so that each distinct one is worked on once.
         """
         marked, alone = [], {}
         for k, text in enumerate(texts):
@@ -114,121 +110,83 @@ class TextEncoder:
             marked.append(line)
         lists = pc.split_pattern(pa.array(marked, pa.string()), " " if self.drops_space else "\0")
         ends = lists.offsets.to_numpy().astype(np.int64)
-        codes = lists.values.dictionary_encode()
-        pieces, codes = codes.dictionary.to_pylist(), codes.indices.to_numpy().astype(np.int64)
-        found = list(map(self.known.get, pieces))
-        if None in found:
-            fresh = self._learn_many([p for p, ids in zip(pieces, found) if ids is None])
-            found = [fresh[p] if ids is None else ids for p, ids in zip(pieces, found)]
+        pieces = lists.values.dictionary_encode()
+        slots, flat, sizes = self._piece_ids(pieces.dictionary, list(alone.values()))
+        codes = slots[pieces.indices.to_numpy()]
         for n, k in enumerate(alone):
-            codes[ends[k]] = len(pieces) + n
-        found.extend(alone.values())
-        own = np.frombuffer(b"".join(found), f"<u{self.width}")
-        sizes = np.fromiter(map(len, found), np.int64, len(found)) // self.width
-        starts = np.cumsum(sizes) - sizes
-        many = sizes[codes]
-        after = np.concatenate(([0], np.cumsum(many)))
-        places = np.repeat(starts[codes] - after[:-1], many) + np.arange(after[-1])
-        return own[places], after[ends]
-
-    def _marked(self, text: str) -> str | None:
-        """The text with a mark where it is cut."""
+            codes[ends[k]] = len(slots) + n
+        ids, after = gathered(flat, sizes, codes)
+        return ids, after[ends]
+
+    def _piece_ids(self, pieces: pa.Array, more: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Each piece's place among all, and the ids of all in that order with their numbers; ``more`` come last."""
+        one, plain = np.zeros((2, len(pieces)), bool)
+        if self.split:
+            one, plain = (pc.match_substring_regex(pieces, p).to_numpy(zero_copy_only=False) for p in (ONE_WORD, PLAIN_WORDS if self.drops_space else PLAIN_PIECE))
+            plain = plain & ~one
+        other = ~(one | plain)
+        slots = np.empty(len(pieces), np.int64)
+        slots[np.concatenate([np.flatnonzero(kind) for kind in (one, plain, other)])] = np.arange(len(pieces))
+        single, several, others = (pieces.filter(pa.array(kind)).to_pylist() for kind in (one, plain, other))
+        line = BETWEEN.join([*several, ""])
         if self.drops_space:
-            return None if any(s in text for s in self.specials) else text.replace("\n", " ")
-        pieces = self._plain(text)
-        return pieces if pieces is None or isinstance(pieces, str) else "\0".join(pieces)
-
-    def encode(self, text: str) -> bytes:
-        """The ids as little-endian unsigned numbers of ``width`` bytes."""
-        pieces = self.pieces(text)
-        if pieces is None:
-            return self.pack(self.tokenizer.encode(text, add_special_tokens=False).ids)
-        found = list(map(self.known.get, pieces))
-        if None in found:
-            fresh = self._learn({p for p, ids in zip(pieces, found) if ids is None})
-            found = [fresh[p] if ids is None else ids for p, ids in zip(pieces, found)]
-        return b"".join(found)
-
-    def _learn(self, pieces: set[str]) -> dict[str, bytes]:
-        """Ids of new pieces; words are kept apart from the marks after them, so few are new."""
-        parts = {p: self._parts(p) for p in pieces}
-        wanted = [w for w in {w for pair in parts.values() for w in pair if w} if w not in self.words]
-        if len(self.known) > KNOWN_PIECES:
-            self.known = {}
-        words = self.words
-        if wanted:
-            plain = {w: self._symbols(w) for w in wanted}
-            fresh = {w: self.pack([t.id for t in self.model.tokenize(s)]) for w, s in plain.items() if s}
-            others = [w for w in wanted if not plain[w]]
-            encoded = self.tokenizer.encode_batch_fast(others, add_special_tokens=False)
-            fresh.update((w, self.pack(e.ids)) for w, e in zip(others, encoded))
-            if len(words) > KNOWN_WORDS:
-                words = {w: words[w] for pair in parts.values() for w in pair if w in words}
-                self.words = words
-            words.update(fresh)
-        words[""] = b""
-        ids = {p: words[word] + words[tail] for p, (word, tail) in parts.items()}
-        self.known.update((p, i) for p, i in ids.items() if len(p) <= LONGEST_KNOWN)
-        for word in wanted:
-            if len(word) > LONGEST_KNOWN:
-                del words[word]
-        return ids
-
-    def _learn_many(self, pieces: list[str]) -> dict[str, bytes]:
-        """Ids of new pieces: plain ones are split into words all at once, and the library's model gets each new word."""
-        plain = PLAIN_WORDS if self.drops_space else PLAIN_PIECE
-        fast = [p for p in pieces if plain.fullmatch(p)] if self.split else []
-        bodies = [p.lower() for p in fast] if self.drops_space else [p[1:] if p[0] == "\n" else p for p in fast]
-        words = self.split.findall("\n".join([*bodies, ""])) if fast else []
-        known, letters = self.words, self.letters
-        if len(known) > KNOWN_WORDS:
-            known = self.words = {}
-        for word in {w for w in words if w not in known}:
-            symbols = word.replace(" ", letters[32]) if word.isascii() and word != "\n" else "".join([letters[b] for b in word.encode()])
-            known[word] = self.pack([t.id for t in self.model.tokenize(symbols)])
-        fresh: dict[str, bytes] = {}
-        line = b"" if self.drops_space else known.get("\n", b"")
-        own, own_words = iter(fast), []
-        for word in words:
-            if word == "\n":
-                piece = next(own)
-                ids = b"".join(own_words)
-                fresh[piece] = line + ids if piece[0] == "\n" else ids
-                own_words = []
-            else:
-                own_words.append(known[word])
-        rest = [p for p in pieces if p not in fresh]
-        if rest:
-            fresh.update(self._learn(set(rest)))
-        if len(self.known) + len(fresh) > KNOWN_PIECES:
+            single, line = [w.lower() for w in single], line.lower()
+        words = pa.array(self.split.findall(line) if several else [], pa.string()).dictionary_encode()
+        distinct, word = words.dictionary.to_pylist(), words.indices.to_numpy().astype(np.int64)
+        between = word == (distinct.index(BETWEEN) if several else -1)
+        word = len(single) + word[~between]
+        upto = np.flatnonzero(between) + 1 - np.arange(1, len(several) + 1)  # words up to the end of each piece of several
+        table = [*self._remembered(single, True), *self._remembered(distinct, True), *self._remembered(others, False), *more]
+        own = np.frombuffer(b"".join(table), f"<u{self.width}")
+        many = np.fromiter(map(len, table), np.int64, len(table)) // self.width
+        first, last = np.arange(len(single)), np.arange(len(single) + len(distinct), len(table))
+        flat, after = gathered(own, many, np.concatenate((first, word, last)))
+        bounds = (np.arange(len(single) + 1), len(single) + upto, len(single) + len(word) + np.arange(1, len(last) + 1))
+        return slots, flat, np.diff(after[np.concatenate(bounds)])
+
+    def _remembered(self, texts: list[str], words: bool) -> list[bytes]:
+        """Ids of words (for the library's model) or of pieces (for the library)."""
+        found = list(map(self.known.get, texts))
+        if None not in found:
+            return found
+        new = [t for t, ids in zip(texts, found) if ids is None]
+        if words:
+            space, letters = self.letters[32], self.letters
+            symbols = [w.replace(" ", space) if w.isascii() and w.isprintable() else "".join([letters[b] for b in w.encode()]) for w in new]
+            encoded = [self.pack([t.id for t in self.model.tokenize(s)]) for s in symbols]
+        else:
+            encoded = [self.pack(e.ids) for e in self.tokenizer.encode_batch_fast(new, add_special_tokens=False)]
+        if len(self.known) + len(new) > KNOWN_WORDS:
             self.known = {}
-        self.known.update((p, i) for p, i in fresh.items() if len(p) <= LONGEST_KNOWN)
-        return fresh
+        self.known.update((t, i) for t, i in zip(new, encoded) if len(t) <= LONGEST_KNOWN)
+        fresh = iter(encoded)
+        return [next(fresh) if ids is None else ids for ids in found]
 
-    def _symbols(self, word: str) -> str | None:
-        """A word of plain letters as the library's model takes it, for which the rest of the library changes nothing."""
-        letters = word[1:] if word[:1] == " " else word
-        if self.letters is None or not letters.isalpha():
+    def _marked(self, text: str) -> str | None:
+        """The text with a mark where it is cut; None if it has to be encoded as a whole."""
+        if any(s in text for s in self.specials):
             return None
-        if word.isascii():
-            return word.replace(" ", self.letters[32])
-        if self.drops_space or max(word) > LAST_LATIN:
+        if self.drops_space:
+            return text.replace("\n", " ")
+        if "\0" in text or any(c in text for c in SEPARATORS):
             return None
-        return "".join([self.letters[b] for b in word.encode()])
-
-    def _parts(self, piece: str) -> tuple[str, str]:
-        word = piece.rstrip(TAIL)
-        letters = word[1:] if word[:1] == " " else word
-        if not letters.isalpha():
-            return piece, ""
-        if self.drops_space and word.isascii():
-            return word.lower(), piece[len(word) :]
-        return word, piece[len(word) :]
+        runs = "  " in text or "\n\n" in text or " \n" in text or "\n " in text
+        if runs or text[-1:] in (" ", "\n") or any(c in text for c in OTHER_SPACE):
+            return "\0".join(re.findall(r"\s*\S+|\s+", text))
+        return text.replace(" ", "\0 ").replace("\n", "\0\n")
 
     def pack(self, ids: list[int]) -> bytes:
         return array(self.code, ids).tobytes()
 
 
+def gathered(flat: np.ndarray, sizes: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The stretches of ``flat`` (of ``sizes``) that ``codes`` name, in a row, and where each begins (one more)."""
+    many = sizes[codes]
+    after = np.concatenate(([0], np.cumsum(many)))
+    places = np.repeat((np.cumsum(sizes) - sizes)[codes] - after[:-1], many) + np.arange(after[-1])
+    return flat[places], after
+
+
 @functools.lru_cache(maxsize=2)
 def text_encoder(path: str) -> TextEncoder:
     """One per worker process and vocabulary."""

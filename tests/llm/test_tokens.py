@@ -23,6 +23,15 @@ ODD = [
 ]
 
 
+def latin_texts():
+    """Plain pieces of every kind, with all Latin letters and marks."""
+    rng = random.Random(6)
+    letters = [chr(c) for c in range(0x21, 0x250) if chr(c).isprintable()]
+    words = ["".join(rng.choice(letters if rng.random() < 0.5 else letters[:94]) for _ in range(rng.randrange(1, 9))) for _ in range(4000)]
+    words += ["it's", "I'LL", "we'd've", "word,", "(word)", "2024-05", "x²", "1½", "İx", "ŉ", "ǰa"]
+    return [" ".join(rng.choices(words, k=30)).replace(words[7], "\n") for _ in range(300)] + ["\n".join(words[:200])]
+
+
 def odd_texts():
     rng = random.Random(5)
     return ODD + ["".join(rng.choice(" \n\tab'sLé́Σ!?\xa0 -日1") for _ in range(rng.randrange(40))) for _ in range(800)]
@@ -37,10 +46,9 @@ def test_ids_as_the_library_gives_them(path):
 
 @pytest.mark.parametrize("path", [WORDS, BYTES])
 def test_ids_of_many_texts_at_once(path, monkeypatch):
-    monkeypatch.setattr(tokens, "KNOWN_PIECES", 50)
     monkeypatch.setattr(tokens, "KNOWN_WORDS", 50)
     library, own = Tokenizer.from_file(path), TextEncoder(path)
-    texts = odd_texts()
+    texts = odd_texts() + latin_texts()
     want = [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
     for size in (1, 7, 1000):
         for k in range(0, len(texts) if size > 1 else 60, size):
