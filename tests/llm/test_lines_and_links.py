@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from segloom.llm.components import connected_components
+from segloom.llm.components import _with_minimum, connected_components
 from segloom.llm.line_dedup import dedup_lines
 from segloom.llm.simhash import (
     drop_near_duplicates,
@@ -114,6 +114,32 @@ def test_components_of_chains_and_hubs(spark):
     assert connected_components(spark.createDataFrame([], "a bigint, b bigint")).count() == 0
 
 
+def test_a_hub_is_split_between_tasks(spark):
+    """Half of all links are at one node; the minimum is joined back without a broadcast."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "200KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "200KB",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        links = spark.range(0, 400_000, 1, 8).selectExpr("IF(id % 2 = 0, 0L, id) AS node", "xxhash64(id) AS neighbour")
+        # the sums keep the columns, which would else not be exchanged
+        sums = [F.count(F.lit(1)).alias("n"), F.bit_xor("neighbour"), F.bit_xor("low")]
+        tasks = _with_minimum(links).groupBy(F.spark_partition_id()).agg(*sums).collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    sizes = sorted(r["n"] for r in tasks)
+    assert sum(sizes) == 400_000
+    assert sizes[-1] < 60_000  # of 200,000 at the hub
+
+
 def test_near_duplicates_of_odd_tables(spark):
     long = " ".join(f"word{k}" for k in range(2000))
     texts = [None, "", " \n", long, long + " end", "one two", "ONE  two", "other words here"]

@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from segloom.llm import toxicity
+from segloom.llm import language, quality, toxicity
 from segloom.llm.calibrate import isotonic
 from segloom.llm.decontaminate import drop_contaminated, find_contamination
 from segloom.llm.fingerprints import (
@@ -357,3 +357,71 @@ def test_languages_from_several_kinds_of_evidence(spark):
     assert by[500].lang == "de" and by[501].lang == "en" and by[502].host == "" and 0 < by[502].probability <= 1
     assert identify_languages(pages.limit(0), docs).count() == 0
     assert {r.lang for r in identify_languages(pages, docs.limit(0)).collect()} == {"und"}
+
+
+def test_languages_against_brute_force(spark):
+    """Trigram model, votes, smoothed priors and posteriors of the smallest tables."""
+    folder = "/root/testdata/sf0.001"
+    docs = [(r.lang, r.text or "") for r in spark.read.parquet(f"{folder}/documents.parquet").collect() if r.lang is not None]
+    pages = {r.page_id: (r.url or "", r.html or "") for r in spark.read.parquet(f"{folder}/pages.parquet").collect()}
+    langs = sorted({lang for lang, _ in docs})
+    seen = {lang: Counter() for lang in langs}
+    for lang, text in docs:
+        seen[lang].update(language.trigrams(text).tolist())
+    size = {lang: sum(seen[lang].values()) + 0.5 * language.TRIGRAMS for lang in langs}
+    texts, parts = {}, {}
+    for k, (url, page) in pages.items():
+        found = language.trigrams(language.visible(page)).tolist()
+        weight = min(language.TEXT_WEIGHT, len(found))
+        texts[k] = [weight * sum(math.log((seen[x][t] + 0.5) / size[x]) for t in found) / len(found) if found else 0.0 for x in langs]
+        parts[k] = (*language.address(url), language.declared(page), langs[int(np.argmax(texts[k]))] if found else None)
+    votes = [Counter((parts[k][at], parts[k][4]) for k in pages if parts[k][4]) for at in range(4)]
+    total = Counter(parts[k][4] for k in pages if parts[k][4])
+    base = {x: (total[x] + 1) / (sum(total.values()) + len(langs)) for x in langs}
+    for row in QUERIES["op7_language"](spark, folder).collect():
+        own = parts[row.page_id]
+        assert (row.host, row.suffix, row.declared, row.text_lang) == (own[0], own[2], own[3], own[4])
+        host, domain, suffix, claim = ({x: votes[at][own[at], x] - (x == own[4]) for x in langs} for at in range(4))
+        domain = {x: (domain[x] + language.DOMAIN_WEIGHT * base[x]) / (sum(domain.values()) + language.DOMAIN_WEIGHT) for x in langs}
+        prior = {x: (host[x] + language.HOST_WEIGHT * domain[x]) / (sum(host.values()) + language.HOST_WEIGHT) for x in langs}
+        evidence = [
+            t + math.log(prior[x]) + math.log((suffix[x] + 0.5) / (total[x] + 1)) + math.log((claim[x] + 0.5) / (total[x] + 1))
+            for x, t in zip(langs, texts[row.page_id])
+        ]
+        chance = np.exp(np.array(evidence) - max(evidence))
+        chance /= chance.sum()
+        assert abs(row.probability - chance.max()) < 1e-3
+        assert chance[langs.index(row.lang)] > chance.max() - 1e-3
+
+
+def test_quality_against_brute_force(spark):
+    """Statistics, features, normal equations, calibration and scores of the smallest tables, in one piece."""
+    folder = "/root/testdata/sf0.001"
+    table = spark.read.parquet(f"{folder}/documents.parquet")
+    fold = F.pmod(F.xxhash64(F.lit("fold"), "doc_id"), F.lit(2)).alias("fold")
+    docs = {r.doc_id: (r.text or "", r.fold) for r in table.select("doc_id", "text", fold).collect()}
+    labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{folder}/labels.parquet").collect()}
+    rows = [k for k in labels if k in docs and zlib.crc32(str(k).encode()) % 4 != 2]
+    stats = {k: np.array(quality.statistics(text)) for k, (text, _) in docs.items()}
+    known = np.array([stats[k] for k in rows])
+    mean, scale = known.mean(0), known.std(0)
+    scale[scale < 1e-9] = 1.0
+    y, half = np.array([labels[k] for k in rows], float), np.array([docs[k][1] for k in rows])
+    z = quality.fourier(known, mean, scale)
+
+    def ridge(some):
+        a, n = z[some].T @ z[some], some.sum()
+        penalty = np.full(len(a), quality.RIDGE * max(n, 1) / len(a))
+        penalty[0] = 1e-9
+        return np.linalg.solve(a + np.diag(penalty), z[some].T @ y[some])
+
+    raw = np.where(half == 0, z @ ridge(half == 1), z @ ridge(half == 0))
+    bins = np.clip(np.round(raw * quality.BINS), -quality.BINS, 2 * quality.BINS)
+    x = np.unique(bins)
+    knots, values = isotonic(x / quality.BINS, *(np.array([f[bins == b].sum() for b in x]) for f in (y, np.ones(len(y)))))
+    weights = ridge(np.ones(len(y), bool))
+    got = {r.doc_id: r.score for r in QUERIES["op9_quality"](spark, folder).collect()}
+    assert set(got) == set(docs)
+    for k, score in got.items():
+        want = np.interp(quality.fourier(stats[k][None], mean, scale) @ weights, knots, values)[0]
+        assert abs(score - min(max(want, 0.0), 1.0)) < 1e-3
