@@ -10,7 +10,9 @@ With S segments and P partitions there are three cases:
 
 The rank never gathers a partition in one task unless the table is small. Otherwise one range exchange
 puts all rows in the order of (partition id, order key), in tasks of about ``rows_per_cell`` rows
-(*cells*), whatever the skew of the partition key and however it goes along with the order. Copies of a row
+(*cells*), whatever the skew of the partition key and however it goes along with the order. If that would take
+more than ``MANY_TASKS`` tasks, cells are larger, up to ``ROWS_PER_CELL`` rows: every task costs the driver 300 sampled
+keys and its own report. Copies of a row
 are told apart by where they were read, so they are cut like any others. The ordered rows are written once;
 the rows of each partition id in each cell are counted, running totals of these few counts say where a cell's
 first row ranks, and a row's rank is that plus its place in the cell.
@@ -44,6 +46,8 @@ SAMPLE = 20_000
 KEYS_PER_TASK, MOST_KEYS = 100, 1_000_000
 # Characters of texts among them, in all.
 KEY_ROOM = 1 << 27
+# So many tasks are enough for cells of fewer than ROWS_PER_CELL rows; more rows make the cells larger.
+MANY_TASKS = 1_000
 # Most tasks of the one exchange of all rows; beyond it they grow and spill.
 MAX_TASKS = 50_000
 # Counts of cells and partition ids that are broadcast; more are joined by a shuffle.
@@ -108,7 +112,8 @@ def assign_segments(
     columns; rows that are equal in both are copies of one another. ``unique`` promises that ``order_by``
     alone tells all rows apart, which spares reading and hashing the other columns. ``df`` is read more
     than once, so it should be a staged table rather than a long query. A table of more than ``rows_per_cell`` rows
-    is put in order and written once, at ``staging``, which the result reads.
+    is put in order and written once, at ``staging``, which the result reads. Which cells it is cut into changes nothing
+    in the result.
     """
     _require_free(df, SEGMENT)
     if not spec.spreads:
@@ -177,7 +182,8 @@ def with_partition_rank(
         # Rows that tie in all of ``order`` are copies of each other, so a retry that swaps them changes nothing.
         return rows.withColumn(names.rank, rank.cast("long")).select(*columns, PID, names.rank), names.rank
 
-    spark, tasks = df.sparkSession, exchange_tasks(df, -(-total // rows_per_cell))
+    spark, tasks = df.sparkSession, exchange_tasks(df, cell_count(total, rows_per_cell))
+    rows_per_cell = max(rows_per_cell, -(-total // tasks))
     rows = rows.withColumn(names.place, F.monotonically_increasing_id())
     keys = _range_keys(rows, [*order, names.place], total, rows_per_cell, tasks)
     ordered = rows.repartitionByRange(tasks, *keys).sortWithinPartitions(PID, *order, names.place)
@@ -242,6 +248,11 @@ def _key_length(rows: DataFrame, name: str, total: int, rows_per_cell: int, task
     return lengths[-1]
 
 
+def cell_count(total: int, rows_per_cell: int) -> int:
+    """Cells of about ``rows_per_cell`` rows; beyond ``MANY_TASKS`` no more than of ``ROWS_PER_CELL`` rows."""
+    return min(-(-total // rows_per_cell), max(-(-total // ROWS_PER_CELL), MANY_TASKS))
+
+
 def exchange_tasks(df: DataFrame, wanted: int) -> int:
     """Tasks of an exchange: at least the session's setting, more for more data."""
     configured = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))

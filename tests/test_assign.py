@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from segloom.operators import assign
 from segloom.operators.assign import SegmentBlocks, assign_segments, segment_range
 from segloom.operators.manifest import segment_balance, segment_fill, segment_purity
 from segloom.session import fresh_path
@@ -142,6 +143,24 @@ def test_copies_and_texts_that_begin_alike_fill_no_cell(spark):
     assert same and most <= 4 * 1000
 
 
+def test_small_cells_do_not_make_ever_more_tasks(spark, monkeypatch):
+    """Each task sends sampled keys and a report to the driver; 2,000 cells of 10 rows were 2,000 tasks."""
+    monkeypatch.setattr(assign, "MANY_TASKS", 12)
+    rows, by = spark.range(20_000).selectExpr("id", "id % 7 AS k"), PartitionSpec("k", "modulo", 3, 8)
+    path = fresh_path(spark, "dealt")
+    cut = assign_segments(rows, by, ["id"], 10, staging=path)
+    assert spark.read.parquet(path).select("__cell").distinct().count() <= 12
+    assert cut.count() == 20_000 and cut.exceptAll(assign_segments(rows, by, ["id"], 10**9)).count() == 0
+
+
+@pytest.mark.parametrize(
+    "total, rows_per_cell, cells",
+    [(10, 3, 4), (999_000, 1_000, 999), (54_000_000, 1_000, 1_000), (2 * 10**9, 1_000, 2_000), (2 * 10**9, 10**6, 2_000), (2 * 10**9, 10**7, 200)],
+)
+def test_cells_by_rows(total, rows_per_cell, cells):
+    assert assign.cell_count(total, rows_per_cell) == cells
+
+
 def test_folding_adds_no_shuffle(spark, data):
     orders = spark.read.parquet(f"{data}/orders.parquet")
     folded = assign_segments(orders, spec(12, 5, "hashcode", "o_orderkey"))
