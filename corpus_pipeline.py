@@ -47,6 +47,7 @@ def unique_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def unique_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group that five-word shingles with a similarity of 0.8 or more connect.
 
+    SimHash fingerprints are searched first; what they leave apart is searched by shingles, and texts decide.
     It is the one with the smallest id, a row without id only if none has one. Null, empty and blank texts are one
     group, repeated rows another; an empty table gives an empty one.
     """
@@ -74,7 +75,7 @@ def packed_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 STAGES: list[tuple[str, Stage]] = [
     ("quality classifier", good_documents),
     ("line dedup", unique_lines),
-    ("near-dedup", unique_documents),
+    ("simhash near-dedup", unique_documents),
     ("benchmark decontamination", unseen_documents),
     ("best-fit packing", packed_sequences),
 ]

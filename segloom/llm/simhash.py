@@ -32,11 +32,11 @@ def fingerprint(text: str, words: int) -> int:
         starts = np.concatenate(([0], ends[: -words] + 1)).tolist()
         digest = xxhash.xxh64_intdigest
         found = [digest(line[a:b], SEED) for a, b in zip(starts, ends[words - 1 :].tolist())]
-    return _majority(np.array(found, dtype=np.uint64))
+    return majority(np.array(found, dtype=np.uint64))
 
 
-def _majority(found: np.ndarray, step: int = 65_536) -> int:
-    """The bits set in over half of the hashes."""
+def majority(found: np.ndarray, step: int = 65_536) -> int:
+    """The bits set in over half of the hashes, as a signed number; none: zero."""
     ones = np.zeros(BITS, dtype=np.int64)
     for at in range(0, len(found), step):
         octets = found[at : at + step].astype(">u8").view(np.uint8).reshape(-1, 8)

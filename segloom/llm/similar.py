@@ -1,4 +1,4 @@
-"""Near-duplicates by the similarity of shingle sets: an exact prefix-filtered join with verified pairs."""
+"""Near-duplicates by the similarity of shingle sets: SimHash, then an exact prefix-filtered join, with verified pairs."""
 
 from __future__ import annotations
 
@@ -14,11 +14,14 @@ from pyspark.sql import functions as F
 
 from segloom.llm.common import packed, staged, unpacked, with_package
 from segloom.llm.components import connected_components
+from segloom.llm.simhash import fingerprint_links, majority
 
 SEED = 42
 #: Words of a shingle, and the Jaccard similarity of shingle sets from which two texts are near-duplicates.
 WORDS = 5
 SIMILARITY = 0.8
+#: Differing bits of the SimHash fingerprints up to which two texts are looked at first.
+DISTANCE = 4
 #: Share of the texts (one of so many) that common shingles are counted in, and the count that makes one common.
 SAMPLE = 8
 COMMON = 64
@@ -109,16 +112,17 @@ def common_shingles(rows: DataFrame, words: int, similarity: float) -> np.ndarra
 
 
 def with_sets(rows: DataFrame, words: int, similarity: float) -> DataFrame:
-    """``id``, ``text_hash``, ``node`` (hash of the shingle set), its size ``n``, sketch and ``prefix`` of every row."""
+    """``id``, ``text_hash``, ``node`` (hash of the shingle set), its size ``n``, SimHash ``fp``, sketch and ``prefix`` of every row."""
     common = rows.sparkSession.sparkContext.broadcast(common_shingles(rows, words, similarity))
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            node, size, last, bits, first, fine = [], [], [], [], [], []
+            node, size, last, bits, first, fine, fps = [], [], [], [], [], [], []
             for text in batch.column("text").to_pylist():
                 found = shingle_set(text, words)
                 node.append(xxhash.xxh64_intdigest(found.tobytes(), SEED))
                 size.append(len(found))
+                fps.append(majority(found))
                 bits.append(sketch(found))
                 fine.append(fine_sketch(found))
                 first.append(prefix(found, common.value, similarity).view(np.int64))
@@ -133,13 +137,14 @@ def with_sets(rows: DataFrame, words: int, similarity: float) -> DataFrame:
                 *[pa.array(bits[:, k].copy()) for k in range(len(SKETCH))],
                 pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)),
                 pa.array(fine, pa.binary()),
+                pa.array(fps, pa.int64()),
             ]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), batch.column("text_hash"), *arrays], ["id", "text_hash", "node", "n", "last", *SKETCH, "prefix", "fine"]
+                [batch.column("id"), batch.column("text_hash"), *arrays], ["id", "text_hash", "node", "n", "last", *SKETCH, "prefix", "fine", "fp"]
             )
 
     bits = ", ".join(f"{s} bigint" for s in SKETCH)
-    return rows.mapInArrow(describe, f"id bigint, text_hash bigint, node bigint, n int, last bigint, {bits}, prefix array<bigint>, fine binary")
+    return rows.mapInArrow(describe, f"id bigint, text_hash bigint, node bigint, n int, last bigint, {bits}, prefix array<bigint>, fine binary, fp bigint")
 
 
 def _may_reach(a: str, b: str, similarity: float) -> Column:
@@ -213,14 +218,42 @@ def verified(pairs: DataFrame, sets: DataFrame, rows: DataFrame, words: int, sim
     return staged(texts.mapInArrow(compare, "a bigint, b bigint").distinct(), "similar-links")
 
 
+def fingerprint_pairs(sets: DataFrame, distance: int = DISTANCE) -> DataFrame:
+    """Pairs ``a``, ``b`` of nodes that connect all whose SimHash fingerprints are within ``distance`` bits.
+
+    Sets of one fingerprint are paired with the smallest of them, and these by ``fingerprint_links``: no more pairs
+    than sets and links.
+    """
+    fps = staged(sets.groupBy("fp").agg(F.min("node").alias("low")), "similar-fps")
+    same = sets.select("node", "fp").join(fps, "fp").where("node <> low").select("low", "node")
+    ends = [fps.select(F.col("fp").alias(side), F.col("low").alias(f"low_{side}")) for side in "ab"]
+    links = fingerprint_links(fps.select("fp"), distance).join(ends[0], "a").join(ends[1], "b")
+    pairs = same.toDF("x", "y").unionByName(links.select(F.col("low_a").alias("x"), F.col("low_b").alias("y")))
+    return staged(pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), "similar-fingerprints")
+
+
+def left_apart(pairs: DataFrame, groups: DataFrame) -> DataFrame:
+    """Those of the ``pairs`` whose nodes are not in one of the ``groups`` (``node``, ``component``)."""
+    sides = [groups.select(F.col("node").alias(side), F.col("component").alias(f"of_{side}")) for side in "ab"]
+    named = pairs.join(sides[0], "a", "left").join(sides[1], "b", "left")
+    return named.where(F.coalesce("of_a", "a") != F.coalesce("of_b", "b")).select("a", "b")
+
+
 def similar_links(sets: DataFrame, rows: DataFrame, words: int, similarity: float) -> DataFrame:
     """Links ``a``, ``b`` with the connected components of all pairs of sets of at least ``similarity``.
 
-    Similar sets share a shingle of their prefixes. Each node is first compared with one other, of those that
-    are the smallest around one of its shingles the one it shares most with; then all pairs around a
-    shingle that are not yet connected are compared. Sizes, sketches, the number of shared shingles and at last
+    SimHash comes first: each node is compared with the smallest that ``fingerprint_pairs`` pairs it with. That misses
+    most pairs that are just similar enough, and what it leaves apart is searched by shingles, which misses none:
+    similar sets share a shingle of their prefixes. Each node is compared with one other, of those that
+    are the smallest around one of its shingles the one it shares most with, and then all pairs around a
+    shingle that are not yet connected are. Sizes, sketches, the number of shared shingles and at last
     sketches as fine as the sets rule pairs out before their texts meet.
     """
+    # one pair for a node: the smallest that its sketch does not rule out
+    asked = near_enough(fingerprint_pairs(sets), sets, similarity).groupBy("b").agg(F.min("a").alias("a"))
+    asked = staged(asked.select("a", "b"), "similar-hashed")
+    links = verified(asked, sets, rows, words, similarity)
+    alike = staged(connected_components(links), "similar-alike")
     keys = sets.select("node", F.explode("prefix").alias("h"))
     ends = keys.groupBy("h").agg(F.min("node").alias("low"), F.max("node").alias("high"))
     met = staged(keys.join(ends.where("low < high").select("h", "low"), "h"), "similar-met")
@@ -228,8 +261,9 @@ def similar_links(sets: DataFrame, rows: DataFrame, words: int, similarity: floa
     star = met.where("low < node").groupBy(F.col("low").alias("a"), F.col("node").alias("b")).agg(F.count(F.lit(1)).alias("shared"))
     star = star.join(plain.alias("l"), F.col("a") == F.col("l.node")).join(plain.alias("r"), F.col("b") == F.col("r.node"))
     star = star.where(_may_reach("l", "r", similarity)).groupBy("b").agg(F.max(F.struct("shared", "a")).alias("best"))
-    star = staged(star.select("best.a", "b"), "similar-pairs")
-    links = verified(star, sets, rows, words, similarity)
+    star = staged(left_apart(star.select("best.a", "b"), alike), "similar-pairs")
+    links = staged(links.unionByName(verified(star, sets, rows, words, similarity)), "similar-first")
+    asked = asked.unionByName(star)
     groups = staged(connected_components(links), "similar-groups")
     held = met.select("h", "node").join(groups, "node", "left")
     held = staged(held.select("h", "node", F.coalesce("component", "node").alias("component")), "similar-held")
@@ -245,7 +279,7 @@ def similar_links(sets: DataFrame, rows: DataFrame, words: int, similarity: floa
     rest = rest.select(*sides).groupBy("node_l", "n_l", "last_l", "node_r", "n_r", "last_r").agg(F.count(F.lit(1)).alias("shared"))
     rest = rest.where(_overlap_bound(similarity) >= similarity / (1 + similarity) * (F.col("n_l") + F.col("n_r")) - 1e-6)
     rest = rest.select(F.least("node_l", "node_r").alias("a"), F.greatest("node_l", "node_r").alias("b"))
-    rest = staged(rest.join(star, ["a", "b"], "left_anti"), "similar-rest")
+    rest = staged(rest.join(asked, ["a", "b"], "left_anti"), "similar-rest")
     rest = staged(near_enough(rest, sets, similarity), "similar-near")
     return links.unionByName(verified(rest, sets, rows, words, similarity))
 
@@ -256,7 +290,7 @@ def similar_groups(docs: DataFrame, words: int, similarity: float, id_column: st
     rows = packed(docs, id_column, text_column).select("id", F.xxhash64("text").alias("text_hash"), "text")
     marked = staged(with_sets(rows, words, similarity), "similar")
     place = F.struct(F.col("id").isNull().alias("last"), "id", "text_hash")
-    sets = marked.groupBy("node").agg(F.min(place).alias("first"), *[F.first(c).alias(c) for c in ("n", "last", *SKETCH, "prefix", "fine")])
+    sets = marked.groupBy("node").agg(F.min(place).alias("first"), *[F.first(c).alias(c) for c in ("n", "last", *SKETCH, "prefix", "fine", "fp")])
     sets = staged(sets, "similar-sets")
     groups = connected_components(similar_links(sets, rows, words, similarity))
     firsts = sets.select("node", "first").join(groups, "node", "left")

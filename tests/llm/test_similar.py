@@ -118,3 +118,52 @@ def test_similar_rows_with_clashing_columns_and_a_long_text(spark):
     df = spark.createDataFrame(rows, "doc_id bigint, text string, node int, nth int")
     left = drop_similar(df)
     assert left.columns == df.columns and sorted(r.doc_id for r in left.collect()) == [1, 3]
+
+
+def test_simhash_is_the_first_search(spark, monkeypatch):
+    """Fingerprints within 4 bits are found, and each text is compared with one of them first and not again."""
+    from segloom.llm.common import packed
+
+    rng = random.Random(9)
+    texts = []
+    for _ in range(12):
+        base = rng.choices(VOCABULARY, k=400)
+        texts += [" ".join(base), " ".join([*base, "end"]), " ".join([*base[:-2], "other", "end"]), " ".join([*base[:200], *base])]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(3)
+    rows = packed(df, "doc_id", "text").select("id", F.xxhash64("text").alias("text_hash"), "text")
+    sets = similar.with_sets(rows, 5, 0.8).cache()
+    near = {r.node: r.fp for r in sets.collect()}
+    for text in texts[:8]:
+        found = similar.shingle_set(text, 5)
+        ones = [sum(int(h) >> b & 1 for h in found) for b in range(64)]
+        want = sum(1 << b for b in range(64) if 2 * ones[b] > len(found))
+        assert want - (want >> 63 << 64) in near.values()
+
+    def groups(pairs):
+        root = {n: n for n in near}
+        for a, b in pairs:
+            while root[a] != a:
+                a = root[a]
+            while root[b] != b:
+                b = root[b]
+            root[max(a, b)] = min(a, b)
+
+        def top(n):
+            return n if root[n] == n else top(root[n])
+
+        return {n: top(n) for n in near}
+
+    close = [(a, b) for a, b in combinations(near, 2) if ((near[a] ^ near[b]) & (2**64 - 1)).bit_count() <= 4]
+    pairs = [tuple(r) for r in similar.fingerprint_pairs(sets).collect()]
+    assert len(close) >= 12 and groups(pairs) == groups(close)
+    asked = []
+    real = similar.verified
+
+    def listing(pairs, *rest):
+        asked.append({tuple(r) for r in pairs.collect()})
+        return real(pairs, *rest)
+
+    monkeypatch.setattr(similar, "verified", listing)
+    assert sorted(r.doc_id for r in drop_similar(df).collect()) == survivors(texts)
+    assert asked[0] <= set(pairs) and len(asked[0]) == len({b for _, b in asked[0]}) >= 12
+    assert not any(asked[0] & later for later in asked[1:])
