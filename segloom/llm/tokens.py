@@ -7,6 +7,7 @@ import json
 import os
 import re
 from array import array
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -14,7 +15,7 @@ import pyarrow.compute as pc
 import regex
 
 #: Entries of a worker's memory of words (and of pieces, for counts), each of at most ``LONGEST_KNOWN`` characters: some
-#: 100 MB, 200 MB at the very most. A full one starts anew.
+#: 100 MB, 200 MB at the very most. A full one starts anew; that of ids with the words at hand.
 KNOWN_PIECES = 300_000
 KNOWN_WORDS = 400_000
 LONGEST_KNOWN = 64
@@ -29,15 +30,17 @@ SEPARATORS = [*"\x1c\x1d\x1e\x1f"]
 LAST_LATIN = "\u024f"
 #: Fixed value: the words of byte-level vocabularies.
 BYTE_LEVEL_WORDS = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: Fixed value: the words of lower-case vocabularies that drop white space, each digit alone.
+DIGITS_ALONE = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 #: What lies between pieces that are split together; no plain piece has it.
 BETWEEN = "\r"
 #: Pieces of Latin letters, digits and marks (one blank or line feed before them), which all versions of Unicode and of
 #: the library split alike.
 PLAIN_PIECE = r"^[ \n]?[!-~\x{a1}-\x{ac}\x{ae}-\x{24f}]+$"
-#: A piece that is one word of Latin letters.
-ONE_WORD = r"^ ?[A-Za-z\x{c0}-\x{d6}\x{d8}-\x{f6}\x{f8}-\x{12f}\x{131}-\x{24f}]+$"
 #: Plain pieces without blanks, and without letters that lower case or composition makes longer.
 PLAIN_WORDS = r"^[!-~\x{c0}-\x{12f}\x{131}-\x{24f}]+$"
+#: Kinds of plain characters: the blank, letters, digits, other marks, the line feed. Words end where the kind changes.
+BLANK, LETTER, DIGIT, MARK, FEED = range(5)
 #: Marks that often end a word; a run of them is a token run of its own after letters.
 TAIL = ".,;:!?|%*$#&"
 
@@ -49,6 +52,48 @@ def byte_letters() -> list[str]:
     return [chr(b if b in plain else next(spare)) for b in range(256)]
 
 
+def plain_kinds() -> np.ndarray:
+    """The kind of each character up to ``LAST_LATIN``."""
+    kinds = np.full(ord(LAST_LATIN) + 1, MARK, np.uint8)
+    for c in map(chr, range(len(kinds))):
+        if regex.match(r"[\p{L}\p{N}]", c):
+            kinds[ord(c)] = LETTER if regex.match(r"\p{L}", c) else DIGIT
+    kinds[[ord(" "), ord("\n")]] = BLANK, FEED
+    return kinds
+
+
+KINDS = plain_kinds()
+
+
+def plain_words(pieces: pa.Array, digits_alone: bool) -> tuple[pa.Array, np.ndarray]:
+    """The words of plain pieces without apostrophes in a row, and how many each piece has.
+
+    A word is a run of characters of one kind with the blank before it, or one digit if ``digits_alone``.
+    """
+    if not len(pieces):
+        return pa.array([], pa.string()), np.zeros(0, np.int64)
+    ends = np.frombuffer(pieces.buffers()[1], "<i4")[pieces.offset : pieces.offset + len(pieces) + 1]
+    data = np.frombuffer(pieces.buffers()[2], np.uint8)[ends[0] : ends[-1]]
+    first = np.flatnonzero(data >= 0xC0)  # of the two bytes of a character beyond ASCII
+    code = data.astype(np.uint16)
+    code[first] = (code[first] & 0x1F) << 6 | (code[first + 1] & 0x3F)
+    code[first + 1] = code[first]
+    kind = KINDS[code]
+    begins = np.empty(len(data), bool)
+    begins[1:] = (kind[1:] != kind[:-1]) & (kind[:-1] != BLANK)
+    if digits_alone:
+        begins |= kind == DIGIT
+        begins[first + 1] = False
+    begins[ends[:-1] - ends[0]] = True
+    places = np.append(np.flatnonzero(begins), len(data))
+    words = pa.StringArray.from_buffers(len(places) - 1, pa.py_buffer(places.astype("<i4")), pa.py_buffer(data))
+    return words, np.diff(np.searchsorted(places, ends - ends[0]))
+
+
+def strings(values: pa.Array) -> list[str]:
+    return values.to_numpy(zero_copy_only=False).tolist()
+
+
 class TextEncoder:
     """Ids by the tokenizers library, pieced together from texts' cut-out pieces.
 
@@ -74,7 +119,8 @@ class TextEncoder:
         self.model = self.tokenizer.model
         self.letters = byte_letters() if type(self.model).__name__ == "BPE" and "ByteLevel" in kind else None
         self.split = self._word_pattern(path) if self.letters else None
-        self.known: dict[str, bytes] = {}
+        self.known: dict[str, int] = {}  # places in sizes
+        self.flat, self.sizes = np.zeros(0, f"<u{self.width}"), np.zeros(0, np.int64)
 
     def _word_pattern(self, path: str) -> regex.Pattern | None:
         """What the library takes for words, and the mark between pieces; None if its steps are not those known here."""
@@ -120,47 +166,66 @@ class TextEncoder:
 
     def _piece_ids(self, pieces: pa.Array, more: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Each piece's place among all, and the ids of all in that order with their numbers; ``more`` come last."""
-        one, plain = np.zeros((2, len(pieces)), bool)
+        plain, quoted = np.zeros((2, len(pieces)), bool)
         if self.split:
-            one, plain = (pc.match_substring_regex(pieces, p).to_numpy(zero_copy_only=False) for p in (ONE_WORD, PLAIN_WORDS if self.drops_space else PLAIN_PIECE))
-            plain = plain & ~one
-        other = ~(one | plain)
+            plain = pc.match_substring_regex(pieces, PLAIN_WORDS if self.drops_space else PLAIN_PIECE).to_numpy(zero_copy_only=False)
+            by_kind = self.split.pattern.startswith((DIGITS_ALONE + "|" + BETWEEN, BYTE_LEVEL_WORDS))
+            quoted = plain & pc.match_substring(pieces, "'" if by_kind else "").to_numpy(zero_copy_only=False)
+            plain = plain & ~quoted
+        other = ~(plain | quoted)
         slots = np.empty(len(pieces), np.int64)
-        slots[np.concatenate([np.flatnonzero(kind) for kind in (one, plain, other)])] = np.arange(len(pieces))
-        single, several, others = (pieces.filter(pa.array(kind)).to_pylist() for kind in (one, plain, other))
-        line = BETWEEN.join([*several, ""])
+        slots[np.concatenate([np.flatnonzero(kind) for kind in (plain, quoted, other)])] = np.arange(len(pieces))
+        words, many = plain_words(pieces.filter(pa.array(plain)), self.drops_space)
+        several = strings(pieces.filter(pa.array(quoted)))
+        if several:  # what an apostrophe begins depends on what is before it
+            line = BETWEEN.join([*several, ""])
+            found = pa.array(self.split.findall(line.lower() if self.drops_space else line), pa.string())
+            between = pc.equal(found, BETWEEN)
+            many = np.concatenate((many, np.diff(np.flatnonzero(between.to_numpy(zero_copy_only=False)), prepend=-1) - 1))
+            words = pa.concat_arrays([words, found.filter(pc.invert(between))])
+        words = words.dictionary_encode()
+        distinct = strings(words.dictionary)
         if self.drops_space:
-            single, line = [w.lower() for w in single], line.lower()
-        words = pa.array(self.split.findall(line) if several else [], pa.string()).dictionary_encode()
-        distinct, word = words.dictionary.to_pylist(), words.indices.to_numpy().astype(np.int64)
-        between = word == (distinct.index(BETWEEN) if several else -1)
-        word = len(single) + word[~between]
-        upto = np.flatnonzero(between) + 1 - np.arange(1, len(several) + 1)  # words up to the end of each piece of several
-        table = [*self._remembered(single, True), *self._remembered(distinct, True), *self._remembered(others, False), *more]
-        own = np.frombuffer(b"".join(table), f"<u{self.width}")
-        many = np.fromiter(map(len, table), np.int64, len(table)) // self.width
-        first, last = np.arange(len(single)), np.arange(len(single) + len(distinct), len(table))
-        flat, after = gathered(own, many, np.concatenate((first, word, last)))
-        bounds = (np.arange(len(single) + 1), len(single) + upto, len(single) + len(word) + np.arange(1, len(last) + 1))
-        return slots, flat, np.diff(after[np.concatenate(bounds)])
-
-    def _remembered(self, texts: list[str], words: bool) -> list[bytes]:
-        """Ids of words (for the library's model) or of pieces (for the library)."""
-        found = list(map(self.known.get, texts))
-        if None not in found:
-            return found
-        new = [t for t, ids in zip(texts, found) if ids is None]
-        if words:
-            space, letters = self.letters[32], self.letters
-            symbols = [w.replace(" ", space) if w.isascii() and w.isprintable() else "".join([letters[b] for b in w.encode()]) for w in new]
-            encoded = [self.pack([t.id for t in self.model.tokenize(s)]) for s in symbols]
-        else:
-            encoded = [self.pack(e.ids) for e in self.tokenizer.encode_batch_fast(new, add_special_tokens=False)]
-        if len(self.known) + len(new) > KNOWN_WORDS:
-            self.known = {}
-        self.known.update((t, i) for t, i in zip(new, encoded) if len(t) <= LONGEST_KNOWN)
-        fresh = iter(encoded)
-        return [next(fresh) if ids is None else ids for ids in found]
+            distinct = [w.lower() for w in distinct]
+        flat, sizes, places = self._places(distinct, strings(pieces.filter(pa.array(other))))
+        codes = np.concatenate((places[: len(distinct)][words.indices.to_numpy()], places[len(distinct) :]))
+        flat, after = gathered(flat, sizes, codes)
+        upto = np.cumsum(np.concatenate((many, np.ones(len(codes) - len(words), np.int64))))
+        sizes = np.diff(after[np.concatenate(([0], upto))])
+        flat = np.concatenate((flat, np.frombuffer(b"".join(more), flat.dtype)))
+        return slots, flat, np.concatenate((sizes, np.fromiter(map(len, more), np.int64, len(more)) // self.width))
+
+    def _places(self, words: list[str], others: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids and their numbers, and each text's place among them: words (for the library's model), then pieces (for the library)."""
+        texts = [*words, *others]
+        places = np.fromiter(map(self.known.get, texts, repeat(-1)), np.int64, len(texts))
+        new = np.flatnonzero(places < 0)
+        if not len(new):
+            return self.flat, self.sizes, places
+        ids, many = array(self.code), []
+        letters, tokenize = self.letters, self.model.tokenize
+        for k in new[: np.searchsorted(new, len(words))].tolist():
+            word = texts[k]
+            plain = word.isascii() and word.isprintable()
+            found = tokenize(word.replace(" ", letters[32]) if plain else "".join([letters[b] for b in word.encode()]))
+            ids.extend([t.id for t in found])
+            many.append(len(found))
+        pieces = [texts[k] for k in new[len(many) :].tolist()]
+        for found in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False):
+            ids.extend(found.ids)
+            many.append(len(found.ids))
+        flat = np.concatenate((self.flat, np.frombuffer(ids, self.flat.dtype)))
+        sizes = np.concatenate((self.sizes, np.array(many, np.int64)))
+        places[new] = np.arange(len(self.sizes), len(sizes))
+        if len(sizes) > KNOWN_WORDS:
+            self.known, self.flat, self.sizes = {}, self.flat[:0], self.sizes[:0]
+            new = np.arange(len(texts))
+        kept = [k for k in new.tolist() if len(texts[k]) <= LONGEST_KNOWN][:KNOWN_WORDS]
+        held = places[kept]
+        self.known.update(zip([texts[k] for k in kept], range(len(self.sizes), len(self.sizes) + len(kept))))
+        self.flat = np.concatenate((self.flat, gathered(flat, sizes, held)[0]))
+        self.sizes = np.concatenate((self.sizes, sizes[held]))
+        return flat, sizes, places
 
     def _marked(self, text: str) -> str | None:
         """The text with a mark where it is cut; None if it has to be encoded as a whole."""

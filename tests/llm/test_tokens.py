@@ -1,10 +1,13 @@
 """Token ids, counts, packing and token files against the tokenizers library."""
 
+import json
 import random
 import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 from tokenizers import Tokenizer
 
@@ -12,7 +15,7 @@ from segloom.llm import tokens
 from segloom.llm.packing import pack_documents, sum_of_squares
 from segloom.llm.rans import Table, decode_blocks, encode_blocks, read_token_files, scale_counts, write_token_files
 from segloom.llm.token_count import TokenCounter, count_tokens
-from segloom.llm.tokens import TextEncoder
+from segloom.llm.tokens import LAST_LATIN, PLAIN_PIECE, TextEncoder, plain_words
 from segloom.session import fresh_path
 
 WORDS = public_tokenizers.path("word_bpe_49k.json")
@@ -57,6 +60,64 @@ def test_ids_of_many_texts_at_once(path, monkeypatch):
     assert [a.tolist() for a in own.encode_all([])] == [[], [0]]
 
 
+class CountingModel:
+    def __init__(self, model):
+        self.model, self.calls = model, 0
+
+    def tokenize(self, word):
+        self.calls += 1
+        return self.model.tokenize(word)
+
+
+@pytest.mark.parametrize("path", [WORDS, BYTES])
+def test_a_full_memory_keeps_the_words_at_hand(path, monkeypatch):
+    monkeypatch.setattr(tokens, "KNOWN_WORDS", 300)
+    library, own = Tokenizer.from_file(path), TextEncoder(path)
+    own.model = CountingModel(own.model)
+    words = [a + b + c for a in "bdfgklm" for b in "aeiou" for c in "nrstvwxz"]
+    often, later = [f"x {' '.join(words[:160])}", "日本 語"], [f"x {' '.join(words[160:])} 本日"]
+    own.encode_all([" ".join(w + "q" for w in words[:100])])
+    own.encode_all(often)
+    own.encode_all(often + later)  # more than it holds, with those it had
+    calls, held = own.model.calls, len(own.known)
+    ids, ends = own.encode_all(often + later)
+    assert own.model.calls == calls and 280 < held <= len(own.sizes) <= 300 and len(own.flat) == own.sizes.sum()
+    assert [ids[a:b].tolist() for a, b in zip(ends, ends[1:])] == [e.ids for e in library.encode_batch(often + later, add_special_tokens=False)]
+    long = ["y" * 5000 + " " + "日" * 5000]
+    own.encode_all(long)
+    assert len(own.flat) == own.sizes.sum() < 2000  # long ones are not held
+
+
+@pytest.mark.parametrize("path", [WORDS, BYTES])
+def test_plain_words_as_the_pattern_has_them(path):
+    rng, own = random.Random(7), TextEncoder(path)
+    alone = own.drops_space
+    letters = pa.array(map(chr, range(0x21, ord(LAST_LATIN) + 1)))
+    letters = [c for c in letters.filter(pc.match_substring_regex(letters, PLAIN_PIECE)).to_pylist() if c != "'"]
+    letters += ["²", "½", "7", "a", "é"] * 20
+    pieces = [a + b for a in letters[:420] for b in ".a1é²"] + ["".join(rng.choices(letters, k=rng.randrange(1, 12))) for _ in range(3000)]
+    if not alone:
+        pieces = [rng.choice(["", " ", "\n"]) + p for p in pieces]
+    found, many = plain_words(pa.array(pieces).slice(3), alone)
+    found, ends = found.to_pylist(), np.cumsum(many).tolist()
+    assert [found[a:b] for a, b in zip([0, *ends], ends)] == [own.split.findall(p) for p in pieces[3:]]
+    assert plain_words(pa.array([], pa.string()), alone)[0].to_pylist() == []
+
+
+def test_words_of_another_pattern(tmp_path):
+    with open(WORDS, encoding="utf-8") as file:
+        spec = json.load(file)
+    split = spec["pre_tokenizer"]["pretokenizers"][0]
+    assert split["pattern"]["Regex"] == tokens.DIGITS_ALONE
+    split["pattern"]["Regex"] = r"\p{L}+|\p{N}{1,3}|[^\s\p{L}\p{N}]"
+    path = tmp_path / "other.json"
+    path.write_text(json.dumps(spec), encoding="utf-8")
+    library, own = Tokenizer.from_file(str(path)), TextEncoder(str(path))
+    texts = ["a12345b it's... 7 2024-05!!", *latin_texts()[:20]]
+    ids, ends = own.encode_all(texts)
+    assert [ids[a:b].tolist() for a, b in zip(ends, ends[1:])] == [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+
+
 def test_counts_of_all_letters():
     library, own = Tokenizer.from_file(WORDS), TokenCounter(WORDS)
     texts = [f"a{chr(c)}b {chr(c)}" for c in range(0x20000) if not 0xD800 <= c < 0xE000]
