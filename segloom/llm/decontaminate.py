@@ -71,9 +71,11 @@ def with_template(rows: DataFrame) -> DataFrame:
 
 
 def windows(tokens: DataFrame, keep: list[str], width: int) -> DataFrame:
-    """A row per run of ``width`` tokens: ``keep``, ``at``, ``h`` (hash of their hashes) and ``tokens``.
+    """A row per run of ``width`` tokens: ``keep``, ``at``, ``h`` (hash of their hashes) and ``slots``.
 
-    Only hashes are exploded; the token array goes along by reference within generated code.
+    Only hashes are exploded; the token array goes along by reference within generated code, and ends there. What leaves
+    it are the runs that a join finds, all those of a text before the next step takes one: with the array in each, they
+    would take the text's length times their number.
     """
     runs = F.greatest(F.size("tokens") - (width - 1), F.lit(0))
     # as columns of their own below the explode, else they would be built again for every run
@@ -82,13 +84,17 @@ def windows(tokens: DataFrame, keep: list[str], width: int) -> DataFrame:
     # the outer form infers no filter that would be pushed below and evaluate the template twice
     rows = rows.select(*keep, "tokens", "hs", F.posexplode_outer("first").alias("at", "h0")).where("h0 is not null")
     run = [F.col("h0"), *[F.get("hs", F.col("at") + k) for k in range(1, width)]]
-    return rows.select(*keep, "at", F.xxhash64(*run, F.lit(width)).alias("h"), "tokens")
+    return rows.select(*keep, "at", F.xxhash64(*run, F.lit(width)).alias("h"), slots(width).alias("slots"))
 
 
 def slots(width: int) -> Column:
-    """Type and value of the placeholders of a run, in order."""
-    run = F.slice(F.col("tokens"), F.col("at") + 1, F.lit(width))
-    return F.filter(run, lambda t: t["kind"].isNotNull())
+    """Type and value of the placeholders of a run, in order.
+
+    Without functions that take a function: those leave generated code, and the token array would go with them.
+    """
+    run = [F.get("tokens", F.col("at") + k) for k in range(width)]
+    placed = [F.array(F.struct(t["kind"].alias("kind"), t["value"].alias("value"))) for t in run]
+    return F.flatten(F.array(*[F.when(t["kind"].isNotNull(), one).otherwise(F.slice(one, 1, 0)) for t, one in zip(run, placed)]))
 
 
 def _verbatim(pairs: Column) -> Column:
@@ -139,15 +145,14 @@ def find_contamination(
     value_pairs = F.zip_with("item_slots", "slots", lambda a, b: F.struct(a["kind"].alias("kind"), a["value"].alias("old"), b["value"].alias("new")))
     for n in range(1, width + 1):
         right = windows(items.where(size >= n) if n == width else items.where(size == n), ["item_id"], n)
-        right = right.select("item_id", F.col("at").alias("item_at"), "h", slots(n).alias("item_slots"))
+        right = right.select("item_id", F.col("at").alias("item_at"), "h", F.col("slots").alias("item_slots"))
         # a benchmark is small and read again here; its count decides how it travels
         many = right.count()
         if not many and n < width:
             continue
         right = F.broadcast(right) if many <= BROADCAST_ROWS else right
         left = windows(rows.where(size == n) if n < SHORTEST else rows, ["id", "text_hash"], n)
-        met = left.join(right, "h").select("id", "text_hash", "item_id", "at", "item_at", slots(n).alias("slots"), "item_slots")
-        met = met.select("id", "text_hash", "item_id", "at", "item_at", value_pairs.alias("pairs"))
+        met = left.join(right, "h").select("id", "text_hash", "item_id", "at", "item_at", value_pairs.alias("pairs"))
         parts.append(met.where(_verbatim(F.col("pairs"))) if n < SHORTEST else met)
     found = parts[0]
     for part in parts[1:]:

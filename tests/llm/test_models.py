@@ -341,6 +341,17 @@ def test_decontamination_of_planted_cases(spark, benchmark):
     assert drop_contaminated(df, benchmark.limit(0)).count() == df.count()
 
 
+def test_a_long_text_with_many_found_windows(spark, benchmark):
+    rng = random.Random(21)
+    # the text's tokens once for each window found would be some 20 GB
+    text = " ".join(f"{prose(rng, 400)}. {QUESTION.replace('120', str(500 + k))}." for k in range(200))
+    df = spark.createDataFrame([(1, text), (2, prose(rng, 100))], "doc_id bigint, text string")
+    row = find_contamination(df, benchmark).first()
+    assert (row.id, row.item_id, row.n_windows, row.coverage) == (1, 1, row.item_windows, 1.0)
+    assert row.n_changed >= 200
+    assert [r.doc_id for r in drop_contaminated(df, benchmark).collect()] == [2]
+
+
 def test_languages_from_several_kinds_of_evidence(spark):
     docs = spark.createDataFrame(
         [(k, "the and with that " * 20, "en") for k in range(20)] + [(k, "der die und nicht " * 20, "de") for k in range(20)] + [(99, "x", None)],
