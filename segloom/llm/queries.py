@@ -27,8 +27,8 @@ from segloom.session import fresh_path
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+def table(spark: SparkSession, sf_dir: str, name: str, **options: str) -> DataFrame:
+    return spark.read.options(**options).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -48,7 +48,9 @@ def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    # vectored reads keep a copy of each column chunk beside the heap, in every thread that reads
+    docs = table(spark, sf_dir, "documents", **{"parquet.hadoop.vectored.io.enabled": "false"})
+    found = find_contamination(docs, table(spark, sf_dir, "benchmark"))
     return found.withColumnRenamed("id", "doc_id").drop("text_hash")
 
 
